@@ -403,12 +403,16 @@ gazetteer AS (
   SELECT array_to_string({words("array_to_string(regexp_split_to_array(trim(text), ' +')[1:3], ' ')")}, ' ')
            AS phrase, item_id % 3 AS kind, 'Name ' || item_id AS name
   FROM benchmark),
-places_of AS (
-  SELECT item_id, w, unnest(generate_series(1, len(w))) AS pos
+placed AS (
+  SELECT item_id, unnest(w) AS term, unnest(generate_series(1, len(w))) AS pos
   FROM (SELECT item_id, {words('text')} AS w FROM feed)),
+windows AS (
+  SELECT item_id, pos, term AS w0, lead(term, 1) OVER o AS w1, lead(term, 2) OVER o AS w2
+  FROM placed WINDOW o AS (PARTITION BY item_id ORDER BY pos)),
 runs AS (
-  SELECT item_id, pos, n, array_to_string(w[pos:pos + n - 1], ' ') AS phrase
-  FROM places_of, (VALUES (1), (2), (3)) lengths(n) WHERE pos + n - 1 <= len(w)),
+  SELECT item_id, pos, 1 AS n, w0 AS phrase FROM windows
+  UNION ALL SELECT item_id, pos, 2, w0 || ' ' || w1 FROM windows
+  UNION ALL SELECT item_id, pos, 3, w0 || ' ' || w1 || ' ' || w2 FROM windows),
 ranked AS (
   SELECT item_id, kind, name,
          row_number() OVER (PARTITION BY item_id, kind ORDER BY pos, n DESC, name) AS r

@@ -43,28 +43,22 @@ def phrase_key(text: Column) -> Column:
     return F.array_join(terms(text), " ")
 
 
-def phrases(words: Column, longest: int) -> Column:
-    """All runs of 1 to ``longest`` words as ``array<struct<pos, words, phrase>>``.
+def word_windows(words: Column, longest: int) -> Column:
+    """For each word the struct ``w0, w1, ...`` of it and the ``longest - 1`` words after it.
 
-    ``words`` is zipped with copies of itself moved by one word each, so that each element holds
-    only the few words it needs.
+    Made by zipping ``words`` with copies of itself moved by one word each.
     """
-    shifted = [words.alias("w0")] + [
-        F.slice(words, F.lit(k + 1), F.size(words)).alias(f"w{k}") for k in range(1, longest)
-    ]
-
-    def runs(row: Column, pos: Column) -> Column:
-        return F.filter(
-            F.array(*[
-                F.struct(
-                    pos.alias("pos"), F.lit(n).alias("words"),
-                    F.when(row[f"w{n - 1}"].isNotNull(),
-                           F.concat_ws(" ", *[row[f"w{k}"] for k in range(n)])).alias("phrase"))
-                for n in range(1, longest + 1)
-            ]),
-            lambda run: run["phrase"].isNotNull())
-
-    return F.flatten(F.transform(F.arrays_zip(*shifted), runs))
+    return F.arrays_zip(words.alias("w0"), *[
+        F.slice(words, F.lit(k + 1), F.size(words)).alias(f"w{k}") for k in range(1, longest)])
+
+
+def runs_from(longest: int) -> Column:
+    """``array<struct<words, phrase>>`` of the phrases of 1 to ``longest`` words from ``w0`` on."""
+    return F.array(*[
+        F.struct(F.lit(n).alias("words"),
+                 F.when(F.col(f"w{n - 1}").isNotNull(),
+                        F.concat_ws(" ", *[f"w{k}" for k in range(n)])).alias("phrase"))
+        for n in range(1, longest + 1)])
 
 
 def mask(text: Column, pattern: str, replacement: str) -> Column:

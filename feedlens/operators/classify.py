@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.text import terms
 from feedlens.operators.scoring import ONCE, TermWeights, best_label, combine, score_items
-from feedlens.session import materialize
+from feedlens.session import materialize, spread
 
 LOG_SCALE = 1_000_000
 
@@ -31,7 +31,7 @@ def learn_bayes(labelled: DataFrame, labels: Sequence[str], smoothing: int = 1)
 
     Weights are log-probabilities times a million, rounded. The empty term holds the priors.
     """
-    rows = labelled.select("label", F.explode(
+    rows = spread(labelled.select("label", "text")).select("label", F.explode(
         F.concat(F.array(F.lit(ONCE)), terms(F.col("text")))).alias("term"))
     counts = materialize(
         rows.groupBy("term").agg(*[F.count_if(F.col("label") == label).alias(f"n{i}")

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import phrase_key, phrases, terms
+from feedlens.functions.text import phrase_key, runs_from, terms, word_windows
 from feedlens.schema import ENTITY_KINDS
-from feedlens.session import BROADCAST_BYTES, lookup_join, materialize
+from feedlens.session import BROADCAST_BYTES, fits_broadcast, materialize, spread
 
 LONGEST_PHRASE = 3
 
@@ -28,12 +28,20 @@ def match_entities(items: DataFrame, gazetteer: DataFrame, longest: int = LONGES
     """``item_id`` and one column per kind, for the items that name anything.
 
     The earliest phrase of a kind wins, then the longest, then the smaller name. ``gazetteer`` is
-    a prepared one; ``longest`` is the number of words in its longest phrase.
+    a prepared one; ``longest`` is the number of words in its longest phrase. Phrases are only
+    put together where a gazetteer phrase can start; with a gazetteer too large to broadcast they
+    are joined with a shuffle, in which AQE cuts the partitions of hot phrases.
     """
-    runs = (items.select("item_id", terms(F.col("text")).alias("words"))
-            .select("item_id", F.explode(phrases(F.col("words"), longest)).alias("run"))
-            .select("item_id", "run.*"))
-    found = lookup_join(runs, gazetteer, ["phrase"], "inner", limit)
+    windows = (spread(items.select("item_id", "text"), "item_id")
+               .select("item_id", terms(F.col("text")).alias("words"))
+               .select("item_id", F.posexplode(word_windows(F.col("words"), longest)))
+               .select("item_id", "pos", "col.*"))
+    small = fits_broadcast(gazetteer, limit)
+    if small:
+        starts = gazetteer.select(F.substring_index("phrase", " ", 1).alias("w0")).distinct()
+        windows = windows.join(F.broadcast(starts), "w0", "left_semi")
+    runs = windows.select("item_id", "pos", F.inline(runs_from(longest)))
+    found = runs.join(F.broadcast(gazetteer) if small else gazetteer, "phrase")
     place = F.struct("pos", (-F.col("words")).alias("words"), "name")
     return (found.groupBy("item_id")
             .agg(*[F.min(F.when(F.col("kind") == kind, place)).alias(kind)

@@ -27,16 +27,17 @@ def location_moods(gold: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("items")))
 
 
-def find_place(location: Column, places: Sequence[Place] = PLACES) -> Column:
-    """``struct<lat, lon>`` of the first listed place whose name is in the location, or null.
+def find_place(column: str, places: Sequence[Place] = PLACES) -> Column:
+    """``struct<lat, lon>`` of the first listed place whose name is in ``column``, or null.
 
     Case and accents are ignored. The list is short and ordered, so it is one CASE expression.
     """
-    folded = F.collate(location, "UNICODE_CI_AI")
-    return F.coalesce(*[
-        F.when(F.contains(folded, F.collate(F.lit(name), "UNICODE_CI_AI")),
-               F.struct(F.lit(lat).alias("lat"), F.lit(lon).alias("lon")))
-        for name, lat, lon in places])
+    def quoted(name: str) -> str:
+        return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return F.expr("CASE " + " ".join(
+        f"WHEN contains({column} COLLATE UNICODE_CI_AI, {quoted(name)} COLLATE UNICODE_CI_AI) "
+        f"THEN named_struct('lat', {lat}D, 'lon', {lon}D)" for name, lat, lon in places) + " END")
 
 
 def place_mood(gold: DataFrame, places: Sequence[Place] = PLACES) -> DataFrame:
@@ -45,7 +46,7 @@ def place_mood(gold: DataFrame, places: Sequence[Place] = PLACES) -> DataFrame:
     Locations are counted first, so the search runs once per distinct location. Names that share
     coordinates are one place, shown under the smallest of the locations.
     """
-    spots = (location_moods(gold).withColumn("spot", find_place(F.col("location"), places))
+    spots = (location_moods(gold).withColumn("spot", find_place("location", places))
              .filter(F.col("spot").isNotNull())
              .select("spot.*", "location", "sentiment", "items"))
     per_place = spots.groupBy("lat", "lon").agg(

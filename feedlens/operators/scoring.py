@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import terms
-from feedlens.session import BROADCAST_BYTES, fits_broadcast, materialize
+from feedlens.session import BROADCAST_BYTES, fits_broadcast, materialize, spread
 
 ONCE = ""
 
@@ -63,7 +63,7 @@ def score_items(items: DataFrame, weights: CombinedWeights,
     adds them up before the only shuffle. Weights too large for that are joined by term; then an
     item's equal terms are counted first, and AQE cuts the partitions of hot terms.
     """
-    rows = item_terms(items)
+    rows = item_terms(spread(items.select("item_id", "text"), "item_id"))
     if fits_broadcast(weights.table, limit):
         hits = rows.join(F.broadcast(weights.table), "term", "left")
         times = F.lit(1).cast("bigint")

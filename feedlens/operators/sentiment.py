@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.text import terms
 from feedlens.operators.scoring import TermWeights, combine, score_items
-from feedlens.session import materialize
+from feedlens.session import materialize, spread
 
 POLARITY = ("positive", "negative")
 MIXED_PERCENT = 80
@@ -25,7 +25,8 @@ def learn_lexicon(rated: DataFrame, min_support: int = 20, min_weight: int = 100
     ``min_support`` times, or with a weight below ``min_weight`` either way, are left out.
     """
     counts = materialize(
-        rated.select("rating", F.explode(terms(F.col("text"))).alias("term"))
+        spread(rated.select("rating", "text"))
+        .select("rating", F.explode(terms(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count_if(F.col("rating") == "positive").alias("pos"),
              F.count_if(F.col("rating") == "negative").alias("neg")), "lexicon")

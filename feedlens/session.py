@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 192 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -45,13 +46,42 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(table: DataFrame) -> Column:
+    """Size of a row in memory, about: text by its length, numbers by 8 bytes each."""
+    size = F.lit(0)
+    for field in table.schema:
+        name = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            part = F.octet_length(name) + 8
+        elif (isinstance(field.dataType, T.ArrayType)
+              and isinstance(field.dataType.elementType, T.NumericType)):
+            part = 8 * F.size(name) + 24
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            part = 4 * F.octet_length(F.to_json(F.struct(name)))
+        else:
+            part = F.lit(8)
+        size = size + F.coalesce(part, F.lit(8))
+    return size
+
+
 def fits_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of ``table``, measured as text, stay within ``limit`` bytes.
+    """Whether the rows of ``table`` measure no more than ``limit`` bytes.
 
     One aggregate over the table, so hand in a stored or materialized one.
     """
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    return (table.agg(size.alias("bytes")).first()["bytes"] or 0) <= limit
+    return (table.agg(F.sum(row_bytes(table)).alias("bytes")).first()["bytes"] or 0) <= limit
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of very few input files over all cores, for work that is heavy per row.
+
+    A table of at least as many files as there are cores is left alone, so large data is not
+    shuffled for this.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if 0 < len(rows.inputFiles()) < cores:
+        return rows.repartition(2 * cores, *keys)
+    return rows
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner",

@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +51,11 @@ class FeedStore:
     def create(self) -> FeedStore:
         """Make the folders of the tables that do not exist yet; existing ones stay as they are."""
         for part, schema in PARTS.items():
-            self.spark.createDataFrame([], schema).write.mode("append") \
-                .partitionBy("batch").parquet(self.path(part))
+            try:
+                self.read(part)
+            except AnalysisException:
+                self.spark.createDataFrame([], schema).write.mode("append") \
+                    .partitionBy("batch").parquet(self.path(part))
         return self
 
     def read(self, part: str) -> DataFrame:
@@ -101,11 +105,12 @@ class FeedStore:
             marked = rows.join(known, KEY, "left")
             new = marked.filter(F.col("_known").isNull()).withColumn(
                 "ingestion_time", instant(as_of))
-            self.write_batch("items", new, batch)
+            added = Observation()
+            self.write_batch("items", new.observe(added, F.count(F.lit(1)).alias("new")), batch)
             self.write_batch("refreshes", marked.filter(F.col("_known")), batch)
         finally:
             rows.unpersist()
-        return self.items().filter(F.col("batch") == batch).count()
+        return added.get["new"]
 
     def fold_refreshes(self, batch: int) -> None:
         """Rewrite the newest counts up to ``batch`` as that batch's refreshes.

@@ -1,0 +1,115 @@
+import random
+
+from conftest import at, table
+from pyspark.sql import functions as F
+
+from feedlens.operators.gold import gold_items
+from feedlens.operators.upsert import dedup_batch, merge_feed, not_in
+from feedlens.schema import ENTITIES_TYPE, SILVER_SCHEMA
+from feedlens.sources.store import FeedStore
+
+DAY1, DAY2, DAY3 = at("2026-01-01"), at("2026-01-02"), at("2026-01-03")
+COLUMNS = ("item_id", "text", "reactions", "ingestion_time")
+
+
+def test_highest_counts_win_in_a_batch(feed):
+    batch = feed({"item_id": "a", "text": "low", "reactions": 1, "comments": 9},
+                 {"item_id": "a", "text": "high", "reactions": 20},
+                 {"item_id": "b", "text": "m"}, {"item_id": "b", "text": "n"},
+                 {"item_id": "b", "text": "n"})
+    assert table(dedup_batch(batch), "item_id", "text") == [("a", "high"), ("b", "n")]
+
+
+def test_merge_refreshes_counts_only(spark, feed):
+    target = feed({"item_id": "a", "text": "old", "reactions": 1}, {"item_id": "b"}) \
+        .withColumn("ingestion_time", F.lit(DAY1))
+    incoming = feed({"item_id": "a", "text": "edited", "reactions": 5}, {"item_id": "c"})
+    merged = merge_feed(target, incoming, DAY2)
+    assert merged.columns == target.columns
+    assert table(merged, *COLUMNS) == [
+        ("a", "old", 5, DAY1), ("b", "words", 0, DAY1), ("c", "words", 0, DAY2)]
+    assert table(not_in(incoming, target), "item_id") == [("c",)]
+    again = merge_feed(merged, incoming, DAY3)
+    assert table(again, *COLUMNS) == table(merged, *COLUMNS)
+
+
+def batches(feed, seed):
+    pick = random.Random(seed)
+    return [feed(*[{"item_id": f"k{pick.randrange(12)}", "text": f"t{pick.randrange(3)}",
+                    "reactions": pick.randrange(100)} for _ in range(8)]) for _ in range(4)]
+
+
+def test_store_equals_merging_the_batches(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    merged = feed().withColumn("ingestion_time", F.lit(None).cast("timestamp"))
+    for number, batch in enumerate(batches(feed, 7)):
+        moment = at(f"2026-01-0{number + 1}")
+        before = merged.count()
+        merged = spark.createDataFrame(
+            merge_feed(merged, dedup_batch(batch), moment).collect(), merged.schema)
+        assert store.upsert(batch, number, moment) == merged.count() - before
+        store.create()
+        assert store.upsert(batch, number, moment) == merged.count() - before
+        assert table(store.bronze()) == table(merged)
+    store.fold_refreshes(3)
+    assert table(store.bronze()) == table(merged)
+    assert table(store.current_counts()) == table(
+        merged, "item_id", "reactions", "comments", "reposts")
+
+
+def test_order_of_disjoint_batches_does_not_matter(spark, feed, tmp_path):
+    one = feed({"item_id": "a", "reactions": 1}, {"item_id": "b"})
+    two = feed({"item_id": "c"}, {"item_id": "d", "reactions": 4})
+    results = []
+    for name, order in (("x", (one, two)), ("y", (two, one))):
+        store = FeedStore(spark, str(tmp_path / name)).create()
+        for number, batch in enumerate(order):
+            store.upsert(batch, number, DAY1)
+        results.append(table(store.bronze()))
+    assert results[0] == results[1]
+
+
+def silver_rows(spark, *rows):
+    return spark.createDataFrame(
+        [tuple({"entities": (None, "Acme", None), **row}.get(c) for c in SILVER_SCHEMA.names)
+         for row in rows], SILVER_SCHEMA)
+
+
+def test_gold_engagement(spark, feed):
+    silver = silver_rows(spark, {"item_id": "a"}, {"item_id": "b"}, {"item_id": "c"})
+    big = 2_000_000_000
+    bronze = feed({"item_id": "a", "reactions": big, "comments": big, "reposts": 1},
+                  {"item_id": "b", "reactions": None, "comments": 2})
+    gold = gold_items(silver, bronze)
+    assert table(gold, "item_id", "company", "engagement") == [
+        ("a", "Acme", 2 * big + 1), ("b", "Acme", 2), ("c", "Acme", 0)]
+    assert dict(gold.dtypes)["engagement"] == "bigint"
+    assert silver.schema["entities"].dataType == ENTITIES_TYPE
+
+
+def test_gold_is_rebuilt_for_touched_days_only(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    first = [{"item_id": "a", "created_at": DAY1}, {"item_id": "b", "created_at": DAY2},
+             {"item_id": "n", "created_at": None}]
+    store.upsert(feed(*first), 0, DAY3)
+    store.write_silver(silver_rows(spark, *first), 0)
+    store.write_gold()
+    assert store.gold().count() == 3
+    files = {f for f in store.gold().inputFiles() if "2026-01-01" in f}
+    store.upsert(feed({"item_id": "b", "reactions": 9}, {"item_id": "n", "reactions": 1},
+                      {"item_id": "c", "created_at": DAY3}), 1, DAY3)
+    store.write_silver(silver_rows(spark, {"item_id": "c", "created_at": DAY3}), 1)
+    store.write_gold(1)
+    assert table(store.gold(), "item_id", "engagement") == [("a", 0), ("b", 9), ("c", 0), ("n", 1)]
+    assert {f for f in store.gold().inputFiles() if "2026-01-01" in f} == files
+    assert [r["item_id"] for r in store.preview("gold", 2).collect()] == ["c", "b"]
+
+
+def test_pending_items(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed({"item_id": "a"}), 0, DAY1)
+    store.upsert(feed({"item_id": "a"}, {"item_id": "b"}), 1, DAY1)
+    assert table(store.pending(1), "item_id") == [("b",)]
+    assert table(store.pending(1, catch_up=True), "item_id") == [("a",), ("b",)]
+    store.write_silver(silver_rows(spark, {"item_id": "a"}), 0)
+    assert table(store.pending(1, catch_up=True), "item_id") == [("b",)]
