@@ -366,21 +366,14 @@ def action_rules(spark, sf_dir):
                                          action.alias("action"))
 
 
-def load_demo():
-    """A stand-in for a model: answers with the length of the prompt."""
-    def reply(prompts):
-        return ('{"bucket": "monitor", "action": "Read ' + prompts.str.len().astype("string")
-                + ' characters"}')
-    return reply
-
-
 @query
 def infer_batch(spark, sf_dir):
-    import sys
+    def load():
+        """A stand-in for a model: answers with the length of the prompt."""
+        return lambda prompts: ('{"bucket": "monitor", "action": "Read '
+                                + prompts.str.len().astype("string") + ' characters"}')
 
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    replies = infer(fx.bronze(spark, sf_dir).select("item_id", "text"), load_demo, "Post: ")
+    replies = infer(fx.bronze(spark, sf_dir).select("item_id", "text"), load, "Post: ")
     bucket, action = parse_reply(F.col("reply"))
     return replies.select("item_id", bucket.alias("bucket"), action.alias("action"))
 
