@@ -161,4 +161,4 @@ def enrichment(spark: SparkSession, sf_dir: str) -> Enrichment:
     return prepare_enrichment(
         lexicon(spark, sf_dir), label_weights(spark, sf_dir, TOPICS),
         label_weights(spark, sf_dir, THEMES), language_model(spark, sf_dir),
-        gazetteer(spark, sf_dir), memory(spark, sf_dir))
+        gazetteer(spark, sf_dir), materialize(memory(spark, sf_dir), "memory"))

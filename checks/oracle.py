@@ -304,9 +304,18 @@ on_feed("silver_pending", f"SELECT item_id, text FROM feed WHERE created_at >= {
 on_gold("gold_table", f"""
 SELECT * REPLACE (CASE WHEN created_at < {SPLIT} THEN engagement ELSE 0 END AS engagement)
 FROM gold""")
-on_feed("layer_preview", f"""
+on_feed("bronze_preview", f"""
 SELECT {BRONZE_COLS}, {SPLIT} AS ingestion_time FROM feed WHERE created_at < {SPLIT}
 ORDER BY created_at DESC, item_id LIMIT 50""")
+on_gold("silver_preview", """
+SELECT g.item_id, g.item_type, g.parent_id, g.created_at, g.author_headline, f.lang, g.source,
+       g.url, original_text, g.sentiment, g.topic, g.theme, text_en, g.action_bucket,
+       recommended_action, g.speaker, g.company, g.location
+FROM gold g JOIN feed f USING (item_id) ORDER BY g.created_at DESC, g.item_id LIMIT 50""")
+on_gold("gold_preview", "SELECT * FROM gold ORDER BY created_at DESC, item_id LIMIT 50")
+on_feed("json_preview", """
+SELECT item_id, CASE WHEN source <> 'file' THEN item_type END AS item_type, lang, text FROM feed
+ORDER BY item_id, text LIMIT 10""")
 
 # ---- enrichment ---------------------------------------------------------------------------------
 
@@ -479,14 +488,14 @@ SELECT item_id, lang, sentiment, topic, theme, speaker, company, location, text_
        recommended_action, text AS original_text
 FROM enriched""", *ENRICH_PARTS)
 
-PIPELINE_FEED = FEED.replace("feed AS (", "labelled_feed AS (") + """,
+LAYERS_FEED = FEED.replace("feed AS (", "labelled_feed AS (") + """,
 feed AS (
   SELECT * REPLACE (CASE WHEN reactions > 5 THEN reactions ELSE 0 END AS reactions,
                     CASE WHEN source <> 'file' THEN lang END AS lang,
                     CASE WHEN source <> 'file' THEN url END AS url,
                     CASE WHEN source <> 'file' THEN author_headline END AS author_headline)
   FROM labelled_feed)"""
-ORACLE["pipeline_run"] = "WITH " + ",".join((PIPELINE_FEED, *ENRICH_PARTS)) + """
+ORACLE["all_layers"] = "WITH " + ",".join((LAYERS_FEED, *ENRICH_PARTS)) + """
 SELECT item_id, item_type, parent_id, created_at, sentiment, topic, theme, speaker, company,
        location, CAST(reactions AS BIGINT) + comments + reposts AS engagement, author_headline,
        text_en, text AS original_text, action_bucket, recommended_action, url, source

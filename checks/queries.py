@@ -25,7 +25,7 @@ from feedlens.plans import metrics
 from feedlens.plans.runs import incoming_from_folder, run_all, run_bronze
 from feedlens.schema import (COUNT_COLS, LOCAL_ZONE, TOPICS, FeedConfig)
 from feedlens.session import scratch_path
-from feedlens.sources.files import read_drop, write_json
+from feedlens.sources.files import preview_json, read_drop, write_json
 from feedlens.sources.payloads import (COMMENTS_PAYLOAD, METADATA_PAYLOAD, POSTS_PAYLOAD,
                                        flatten_comments, flatten_metadata, flatten_posts,
                                        payload_feed)
@@ -157,7 +157,7 @@ def rejected_count(spark, sf_dir):
 def landed(rows: DataFrame, schema) -> DataFrame:
     """Rows as landed JSON text, read back with the payload's schema."""
     body = F.to_json(F.struct(*rows.columns))
-    return rows.select(F.from_json(body, schema).alias("r")).select("r.*")
+    return rows.select(F.inline(F.array(F.from_json(body, schema))))
 
 
 def millis(name: str):
@@ -276,12 +276,29 @@ def store_upsert(spark, sf_dir):
 
 
 @query
-def layer_preview(spark, sf_dir):
+def bronze_preview(spark, sf_dir):
     return metrics.newest(stored(spark, sf_dir), 50)
 
 
 @query
-def pipeline_run(spark, sf_dir):
+def silver_preview(spark, sf_dir):
+    return metrics.newest(fx.silver(spark, sf_dir), 50).select("*", "entities.*").drop("entities")
+
+
+@query
+def gold_preview(spark, sf_dir):
+    return metrics.newest(fx.gold(spark, sf_dir), 50)
+
+
+@query
+def json_preview(spark, sf_dir):
+    folder = scratch_path(spark, "preview")
+    write_json(raw_rows(spark, sf_dir), folder)
+    return preview_json(spark, folder)
+
+
+@query
+def all_layers(spark, sf_dir):
     """Files to Gold in one go."""
     store = FeedStore(spark, scratch_path(spark, "run")).create()
     incoming = incoming_from_folder(store, drop_folder(spark, sf_dir), CONFIG, fx.AS_OF)

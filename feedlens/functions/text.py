@@ -12,18 +12,17 @@ ESCAPED = (r"\\([\\()\[\]{}@#*_~<>|])", "$1")
 # ---- end of fixed values ------------------------------------------------------------------------
 
 LETTERS = "[a-zà-öø-ÿ]+"
-SURROUNDING_SPACE = r"(?U)^\s+|\s+$"
-NON_SPACE = r"(?U)\S"
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(text: Column) -> Column:
     """Remove white space of every kind from both ends."""
-    return F.regexp_replace(text, SURROUNDING_SPACE, "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def has_text(text: Column) -> Column:
     """True where there is something besides white space; false for null."""
-    return F.coalesce(text.rlike(NON_SPACE), F.lit(False))
+    return F.coalesce(F.ltrim(text, F.lit(WHITE_SPACE)) != "", F.lit(False))
 
 
 def clean_markup(text: Column) -> Column:

@@ -43,10 +43,13 @@ def find_place(column: str, places: Sequence[Place] = PLACES) -> Column:
 def place_mood(gold: DataFrame, places: Sequence[Place] = PLACES) -> DataFrame:
     """One row per place on the map: items, count per sentiment, leading mood, name and radius.
 
-    Locations are counted first, so the search runs once per distinct location. Names that share
-    coordinates are one place, shown under the smallest of the locations.
+    Names that share coordinates are one place, shown under the smallest of the locations.
+
+    The search runs once per distinct location. It is tied to the count, which is never 0, as
+    the optimizer would otherwise move the filter below the grouping and search in every item.
     """
-    spots = (location_moods(gold).withColumn("spot", find_place("location", places))
+    spot = F.when(F.col("items") > 0, find_place("location", places))
+    spots = (location_moods(gold).withColumn("spot", spot)
              .filter(F.col("spot").isNotNull())
              .select("spot.*", "location", "sentiment", "items"))
     per_place = spots.groupBy("lat", "lon").agg(

@@ -37,15 +37,16 @@ class CombinedWeights:
 
 def combine(parts: Mapping[str, TermWeights]) -> CombinedWeights:
     """Put classifiers side by side, so that a feed is split into terms and joined once."""
+    widths = {name: len(part.labels) for name, part in parts.items()}
     table = None
     for name, part in parts.items():
-        named = part.table.select("term", F.col("weights").alias(name))
-        table = named if table is None else table.join(named, "term", "full_outer")
-    widths = {name: len(part.labels) for name, part in parts.items()}
+        rows = part.table.select("term", F.col("weights").alias(name))
+        table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
     if len(parts) > 1:
         zeros = {name: F.array(*[F.lit(0).cast("bigint")] * n) for name, n in widths.items()}
-        table = materialize(
-            table.withColumns({n: F.coalesce(n, zero) for n, zero in zeros.items()}), "weights")
+        table = materialize(table.groupBy("term").agg(*[
+            F.coalesce(F.first(name, ignorenulls=True), zero).alias(name)
+            for name, zero in zeros.items()]), "weights")
     return CombinedWeights(table, widths)
 
 

@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +37,12 @@ PARTS = {
 GOLD_DAY = "created_day"
 
 
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows created on one of ``days``, a table with one row per day."""
+    day = F.to_date("created_at")
+    return rows.join(F.broadcast(days), day.eqNullSafe(days[GOLD_DAY]), "left_semi")
+
+
 class FeedStore:
     """Bronze, Silver and Gold below one folder."""
 
@@ -51,11 +56,8 @@ class FeedStore:
     def create(self) -> FeedStore:
         """Make the folders of the tables that do not exist yet; existing ones stay as they are."""
         for part, schema in PARTS.items():
-            try:
-                self.read(part)
-            except AnalysisException:
-                self.spark.createDataFrame([], schema).write.mode("append") \
-                    .partitionBy("batch").parquet(self.path(part))
+            self.spark.createDataFrame([], schema).write.mode("ignore") \
+                .partitionBy("batch").parquet(self.path(part))
         return self
 
     def read(self, part: str) -> DataFrame:
@@ -88,8 +90,10 @@ class FeedStore:
         return self.with_current_counts(self.items().drop("batch")) \
             .select(*BRONZE_COLS, "ingestion_time")
 
-    def current_counts(self) -> DataFrame:
-        return self.with_current_counts(self.items().select(KEY, *COUNT_COLS))
+    def current_counts(self, days: DataFrame | None = None) -> DataFrame:
+        """Key and counts of now; with ``days``, of the items created on these days."""
+        items = self.items() if days is None else on_days(self.items(), days)
+        return self.with_current_counts(items.select(KEY, *COUNT_COLS))
 
     def upsert(self, incoming: DataFrame, batch: int, as_of: datetime | Column) -> int:
         """Merge a batch into Bronze and return how many items are new.
@@ -164,13 +168,12 @@ class FeedStore:
         Days are replaced when the job commits, so a failed run leaves the old ones in place. A
         day with very many items is written by several tasks.
         """
-        silver = self.silver().withColumn(GOLD_DAY, F.to_date("created_at"))
+        silver, days = self.silver(), None
         if batch is not None:
-            days = self.touched_days(batch).withColumnRenamed(GOLD_DAY, "_day")
-            silver = silver.join(F.broadcast(days), F.col(GOLD_DAY).eqNullSafe(F.col("_day")),
-                                 "left_semi")
-        gold = gold_items(silver, self.current_counts()) \
-            .withColumn(GOLD_DAY, F.to_date("created_at"))
+            days = self.touched_days(batch)
+            silver = on_days(silver, days)
+        gold = gold_items(silver, self.current_counts(days)).withColumn(
+            GOLD_DAY, F.to_date("created_at"))
         (gold.hint("rebalance", GOLD_DAY).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(GOLD_DAY)
          .parquet(self.path("gold")))

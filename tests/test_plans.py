@@ -22,7 +22,7 @@ def test_no_python_and_no_cross_join(spark, name):
 
 
 @pytest.mark.parametrize("name", ["recent_items", "top_problems", "top_theme", "top_locations",
-                                  "wall", "layer_preview"])
+                                  "wall", "bronze_preview"])
 def test_top_k_keeps_k_rows_per_task(spark, name):
     assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF_DIR))
 
