@@ -119,7 +119,7 @@ def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(learn_lexicon(rated(spark, sf_dir)), "words")
+    return learn_lexicon(rated(spark, sf_dir))
 
 
 def language_model(spark: SparkSession, sf_dir: str):
@@ -136,7 +136,7 @@ def label_terms(spark: SparkSession, sf_dir: str, labels: tuple[str, ...]) -> Da
 
 
 def label_weights(spark: SparkSession, sf_dir: str, labels: tuple[str, ...]):
-    return list_weights(materialize(label_terms(spark, sf_dir, labels), "terms"), labels)
+    return list_weights(label_terms(spark, sf_dir, labels), labels)
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,21 +31,21 @@ def learn_bayes(labelled: DataFrame, labels: Sequence[str], smoothing: int = 1)
 
     Weights are log-probabilities times a million, rounded. The empty term holds the priors.
     """
-    rows = spread(labelled.select("label", "text")).select("label", F.explode(
+    rows = spread(labelled.select("label", "text"), "text").select("label", F.explode(
         F.concat(F.array(F.lit(ONCE)), terms(F.col("text")))).alias("term"))
     counts = materialize(
         rows.groupBy("term").agg(*[F.count_if(F.col("label") == label).alias(f"n{i}")
-                                   for i, label in enumerate(labels)]), "bayes")
-    words = counts.filter(F.col("term") != ONCE).agg(
-        F.count("*").alias("terms"),
-        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(labels))])
-    items = counts.filter(F.col("term") == ONCE).select(
-        sum((F.col(f"n{i}") for i in range(len(labels))), start=F.lit(0)).alias("n"))
+                                   for i, label in enumerate(labels)]), "bayes").table
+    once = F.col("term") == ONCE
+    slots = [f"n{i}" for i in range(len(labels))]
+    sizes = counts.agg(
+        F.count_if(~once).alias("terms"),
+        F.coalesce(F.sum(F.when(once, sum(F.col(n) for n in slots))), F.lit(0)).alias("items"),
+        *[F.coalesce(F.sum(F.when(~once, F.col(n))), F.lit(0)).alias(n) for n in slots]).first()
 
     def weight(i: int):
-        in_label = words.select(F.col(f"n{i}") + smoothing * F.col("terms")).scalar()
-        in_all = items.select(F.col("n") + smoothing * len(labels)).scalar()
-        size = F.when(F.col("term") == ONCE, in_all).otherwise(in_label)
+        size = F.when(once, F.lit(sizes["items"] + smoothing * len(labels))).otherwise(
+            F.lit(sizes[f"n{i}"] + smoothing * sizes["terms"]))
         share = (F.col(f"n{i}") + smoothing) / size
         return F.round(LOG_SCALE * F.ln(share)).cast("bigint")
 

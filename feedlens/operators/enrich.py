@@ -15,6 +15,7 @@ from feedlens.operators.scoring import CombinedWeights, TermWeights, best_label,
 from feedlens.operators.sentiment import lexicon_weights, sentiment_of
 from feedlens.operators.translate import translate
 from feedlens.schema import ENTITY_KINDS, SILVER_SCHEMA
+from feedlens.session import Measured, measured
 
 DEFAULT_TOPIC = "general chatter"
 DEFAULT_THEME = "other"
@@ -28,21 +29,21 @@ class Enrichment:
     topics: tuple[str, ...]
     themes: tuple[str, ...]
     languages: tuple[str, ...]
-    gazetteer: DataFrame
-    memory: DataFrame
+    gazetteer: Measured
+    memory: Measured
     rules: tuple[Rule, ...] = DEFAULT_RULES
     longest_phrase: int = LONGEST_PHRASE
     reply: Callable[[DataFrame], DataFrame] | None = None
 
 
 def prepare_enrichment(lexicon: DataFrame, topics: TermWeights, themes: TermWeights,
-                       languages: TermWeights, gazetteer: DataFrame, memory: DataFrame,
-                       **settings) -> Enrichment:
-    """Join the term tables into one and bring the gazetteer into matching form."""
+                       languages: TermWeights, gazetteer: DataFrame,
+                       memory: DataFrame | Measured, **settings) -> Enrichment:
+    """Join the term tables into one, bring the gazetteer into matching form, measure the memory."""
     weights = combine({"tone": lexicon_weights(lexicon), "topic": topics, "theme": themes,
                        "language": languages})
     return Enrichment(weights, topics.labels, themes.labels, languages.labels,
-                      prepare_gazetteer(gazetteer), memory, **settings)
+                      prepare_gazetteer(gazetteer), measured(memory), **settings)
 
 
 def enrich(items: DataFrame, using: Enrichment) -> DataFrame:

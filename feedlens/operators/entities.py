@@ -11,19 +11,19 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.text import phrase_key, runs_from, terms, word_windows
 from feedlens.schema import ENTITY_KINDS
-from feedlens.session import BROADCAST_BYTES, fits_broadcast, materialize, spread
+from feedlens.session import BROADCAST_BYTES, Measured, materialize, spread
 
 LONGEST_PHRASE = 3
 
 
-def prepare_gazetteer(gazetteer: DataFrame) -> DataFrame:
+def prepare_gazetteer(gazetteer: DataFrame) -> Measured:
     """``phrase``, ``kind`` and ``name`` with phrases in matching form, each row once."""
     return materialize(
         gazetteer.select(phrase_key(F.col("phrase")).alias("phrase"), "kind", "name")
         .filter(F.col("phrase") != "").distinct(), "gazetteer")
 
 
-def match_entities(items: DataFrame, gazetteer: DataFrame, longest: int = LONGEST_PHRASE,
+def match_entities(items: DataFrame, gazetteer: Measured, longest: int = LONGEST_PHRASE,
                    limit: int = BROADCAST_BYTES) -> DataFrame:
     """``item_id`` and one column per kind, for the items that name anything.
 
@@ -36,12 +36,13 @@ def match_entities(items: DataFrame, gazetteer: DataFrame, longest: int = LONGES
                .select("item_id", terms(F.col("text")).alias("words"))
                .select("item_id", F.posexplode(word_windows(F.col("words"), longest)))
                .select("item_id", "pos", "col.*"))
-    small = fits_broadcast(gazetteer, limit)
-    if small:
-        starts = gazetteer.select(F.substring_index("phrase", " ", 1).alias("w0")).distinct()
+    names = gazetteer.table
+    if gazetteer.fits(limit):
+        names = F.broadcast(names)
+        starts = gazetteer.table.select(F.substring_index("phrase", " ", 1).alias("w0")).distinct()
         windows = windows.join(F.broadcast(starts), "w0", "left_semi")
     runs = windows.select("item_id", "pos", F.inline(runs_from(longest)))
-    found = runs.join(F.broadcast(gazetteer) if small else gazetteer, "phrase")
+    found = runs.join(names, "phrase")
     place = F.struct("pos", (-F.col("words")).alias("words"), "name")
     return (found.groupBy("item_id")
             .agg(*[F.min(F.when(F.col("kind") == kind, place)).alias(kind)

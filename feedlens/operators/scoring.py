@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import terms
-from feedlens.session import BROADCAST_BYTES, fits_broadcast, materialize, spread
+from feedlens.session import BROADCAST_BYTES, Measured, materialize, spread
 
 ONCE = ""
 
@@ -31,23 +31,29 @@ class TermWeights:
 class CombinedWeights:
     """Several classifiers side by side: a term's weights for all of them in one row."""
 
-    table: DataFrame
+    stored: Measured
     widths: dict[str, int]
 
 
+def slot_names(widths: Mapping[str, int]) -> list[str]:
+    return [f"{name}_{i}" for name, width in widths.items() for i in range(width)]
+
+
 def combine(parts: Mapping[str, TermWeights]) -> CombinedWeights:
     """Put classifiers side by side, so that a feed is split into terms and joined once."""
     widths = {name: len(part.labels) for name, part in parts.items()}
     table = None
     for name, part in parts.items():
-        rows = part.table.select("term", F.col("weights").alias(name))
+        rows = part.table.select("term", *[
+            F.col("weights")[i].alias(f"{name}_{i}") for i in range(widths[name])])
         table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
     if len(parts) > 1:
-        zeros = {name: F.array(*[F.lit(0).cast("bigint")] * n) for name, n in widths.items()}
-        table = materialize(table.groupBy("term").agg(*[
-            F.coalesce(F.first(name, ignorenulls=True), zero).alias(name)
-            for name, zero in zeros.items()]), "weights")
-    return CombinedWeights(table, widths)
+        table = table.groupBy("term").agg(*[
+            F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in slot_names(widths)])
+    table = table.select("term", *[
+        F.array(*[F.col(f"{name}_{i}") for i in range(width)]).alias(name)
+        for name, width in widths.items()])
+    return CombinedWeights(materialize(table, "weights"), widths)
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -65,17 +71,17 @@ def score_items(items: DataFrame, weights: CombinedWeights,
     item's equal terms are counted first, and AQE cuts the partitions of hot terms.
     """
     rows = item_terms(spread(items.select("item_id", "text"), "item_id"))
-    if fits_broadcast(weights.table, limit):
-        hits = rows.join(F.broadcast(weights.table), "term", "left")
+    table = weights.stored.table
+    if weights.stored.fits(limit):
+        hits = rows.join(F.broadcast(table), "term", "left")
         times = F.lit(1).cast("bigint")
     else:
         counted = rows.groupBy("item_id", "term").agg(F.count("*").alias("n"))
-        hits = counted.join(weights.table, "term", "left")
+        hits = counted.join(table, "term", "left")
         times = F.col("n")
-    slots = [(name, i) for name, width in weights.widths.items() for i in range(width)]
     sums = hits.groupBy("item_id").agg(*[
         F.coalesce(F.sum(times * F.col(name)[i]), F.lit(0).cast("bigint")).alias(f"{name}_{i}")
-        for name, i in slots])
+        for name, width in weights.widths.items() for i in range(width)])
     return sums.select("item_id", *[
         F.array(*[F.col(f"{name}_{i}") for i in range(width)]).alias(name)
         for name, width in weights.widths.items()])

@@ -25,17 +25,17 @@ def learn_lexicon(rated: DataFrame, min_support: int = 20, min_weight: int = 100
     ``min_support`` times, or with a weight below ``min_weight`` either way, are left out.
     """
     counts = materialize(
-        spread(rated.select("rating", "text"))
+        spread(rated.select("rating", "text"), "text")
         .select("rating", F.explode(terms(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count_if(F.col("rating") == "positive").alias("pos"),
-             F.count_if(F.col("rating") == "negative").alias("neg")), "lexicon")
+             F.count_if(F.col("rating") == "negative").alias("neg")), "lexicon").table
     totals = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-                        F.count("*").alias("terms"))
+                        F.count("*").alias("terms")).first()
 
     def log_share(side: str) -> Column:
-        size = totals.select(F.col(side) + smoothing * F.col("terms")).scalar()
-        return F.ln((F.col(side) + smoothing) / size)
+        size = (totals[side] or 0) + smoothing * totals["terms"]
+        return F.ln((F.col(side) + smoothing) / F.lit(size))
 
     weight = F.round(1000 * (log_share("pos") - log_share("neg"))).cast("bigint")
     return (counts.filter(F.col("pos") + F.col("neg") >= min_support)

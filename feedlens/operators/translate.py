@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.session import BROADCAST_BYTES, lookup_join
+from feedlens.session import BROADCAST_BYTES, Measured, lookup_join, measured
 
 MEMORY_KEY = ["lang", "text_hash"]
 
@@ -22,7 +22,7 @@ def is_english() -> Column:
     return F.coalesce(F.col("lang") == "en", F.lit(False))
 
 
-def translate(items: DataFrame, memory: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def translate(items: DataFrame, memory: DataFrame | Measured, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``items`` with ``text_en``: English as it is, the rest from the memory or null.
 
     ``memory`` has ``lang``, ``text_hash`` and ``text_en``, one row per text and none in English.
@@ -31,9 +31,10 @@ def translate(items: DataFrame, memory: DataFrame, limit: int = BROADCAST_BYTES)
     """
     keyed = items.withColumn(
         "text_hash", F.when(is_english(), F.col("item_id")).otherwise(text_hash(F.col("text"))))
-    known = memory.filter(F.col("lang") != "en").select(
+    memory = measured(memory)
+    known = memory.table.filter(F.col("lang") != "en").select(
         *MEMORY_KEY, F.col("text_en").alias("_found"))
-    return (lookup_join(keyed, known, MEMORY_KEY, "left", limit)
+    return (lookup_join(keyed, Measured(known, memory.bytes), MEMORY_KEY, "left", limit)
             .withColumn("text_en", F.when(is_english(), F.col("text")).otherwise(F.col("_found")))
             .drop("_found", "text_hash").select(*items.columns, "text_en"))
 

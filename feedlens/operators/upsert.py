@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.times import instant
 from feedlens.schema import BRONZE_COLS, COUNT_COLS
-from feedlens.session import fits_broadcast
+from feedlens.session import BROADCAST_BYTES, measured
 
 KEY = "item_id"
 
@@ -30,13 +30,14 @@ def dedup_batch(batch: DataFrame) -> DataFrame:
             .select(*[F.col(KEY) if c == KEY else F.col(f"_best.{c}") for c in batch.columns]))
 
 
-def existing_keys(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def existing_keys(incoming: DataFrame, stored: DataFrame,
+                  limit: int = BROADCAST_BYTES) -> DataFrame:
     """Those keys of ``stored`` that can matter to ``incoming``.
 
     A batch measured to be small is broadcast over the stored keys, which then need no shuffle.
     """
     keys = stored.select(KEY)
-    if fits_broadcast(incoming.select(KEY)):
+    if measured(incoming.select(KEY)).fits(limit):
         return keys.join(F.broadcast(incoming.select(KEY)), KEY, "left_semi")
     return keys
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,11 +24,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, ``spark.checkpoint.dir``; a temporary one only where unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="feedlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or _temporary_dir(spark.sparkContext.applicationId))
+
+
+@cache
+def _temporary_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="feedlens-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -34,18 +38,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/feedlens/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage in storage that outlives any executor, so that a table used more than once
-    (a learned model) is computed once.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_bytes(table: DataFrame) -> Column:
     """Size of a row in memory, about: text by its length, numbers by 8 bytes each."""
     size = F.lit(0)
@@ -64,12 +56,37 @@ def row_bytes(table: DataFrame) -> Column:
     return size
 
 
-def fits_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of ``table`` measure no more than ``limit`` bytes.
+@dataclass(frozen=True)
+class Measured:
+    """A table and the bytes that its rows take."""
 
-    One aggregate over the table, so hand in a stored or materialized one.
+    table: DataFrame
+    bytes: int
+
+    def fits(self, limit: int = BROADCAST_BYTES) -> bool:
+        """Whether it may be broadcast."""
+        return self.bytes <= limit
+
+
+def measured(table: DataFrame | Measured) -> Measured:
+    """Measure a table with one aggregate over it; best handed a stored one."""
+    if isinstance(table, Measured):
+        return table
+    size = table.agg(F.sum(row_bytes(table)).alias("bytes")).first()["bytes"]
+    return Measured(table, size or 0)
+
+
+def materialize(df: DataFrame, name: str) -> Measured:
+    """Write ``df`` to the shared folder and read it back, measured on the way.
+
+    Cuts the lineage in storage that outlives any executor, so that a table used more than once
+    (a learned model) is computed once.
     """
-    return (table.agg(F.sum(row_bytes(table)).alias("bytes")).first()["bytes"] or 0) <= limit
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    size = Observation()
+    df.observe(size, F.sum(row_bytes(df)).alias("bytes")).write.parquet(path)
+    return Measured(spark.read.schema(df.schema).parquet(path), size.get["bytes"] or 0)
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
@@ -84,14 +101,14 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     return rows
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner",
+def lookup_join(rows: DataFrame, lookup: DataFrame | Measured, on: list[str], how: str = "inner",
                 limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join many rows to a look-up table whose keys may be hot in ``rows``.
 
     A table measured to be small is broadcast, so ``rows`` do not move. A larger one is joined
     with a shuffle of both sides, where AQE cuts the partition of a hot key into many tasks;
-    that needs ``table`` to be stored, not the result of an aggregate on the same key.
+    that needs the table to be stored, not the result of an aggregate on the same key.
     """
-    if fits_broadcast(table, limit):
-        return rows.join(F.broadcast(table), on, how)
+    lookup = measured(lookup)
+    table = F.broadcast(lookup.table) if lookup.fits(limit) else lookup.table
     return rows.join(table, on, how)

@@ -36,7 +36,8 @@ def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
         header = tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-        by_header.setdefault(header, []).append(path)
+        if header:
+            by_header.setdefault(header, []).append(path)
     parts = []
     for header, group in by_header.items():
         rows = (spark.read.options(**CSV_OPTIONS, enforceSchema=True)

@@ -125,7 +125,7 @@ class FeedStore:
         folded = (self.read("refreshes").filter(F.col("batch") <= batch).groupBy(KEY)
                   .agg(F.max(F.struct("batch", *COUNT_COLS)).alias("newest"))
                   .select(KEY, *[f"newest.{c}" for c in COUNT_COLS]))
-        self.write_batch("refreshes", materialize(folded, "refreshes"), batch)
+        self.write_batch("refreshes", materialize(folded, "refreshes").table, batch)
 
     # ---- Silver ----
 

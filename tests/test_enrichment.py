@@ -182,7 +182,7 @@ def test_hot_key_is_cut_when_the_table_is_large(spark):
         rows = spark.range(0, 90000, 1, 12).select(
             key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
         lookup = materialize(spark.range(90000).select(
-            F.col("id").alias("k"), (F.col("id") * 2).alias("value")), "lookup")
+            F.col("id").alias("k"), (F.col("id") * 2).alias("value")), "lookup").table
         joined = lookup_join(rows, lookup, ["k"], "left", limit=0)
         out = joined.agg(F.count("*"), F.sum("value"), F.max("payload"))
         assert out.collect()[0][0] == 90000

@@ -34,7 +34,7 @@ def test_csv_by_name_in_any_order(spark, tmp_path):
         tmp_path,
         a__csv='text,source\n"hello, ""you""\nthere",sample\n',
         b__csv="source,item_id,text,reactions,other\nfile,7,plain,12,zz\nfile,8,odd,many,zz\n",
-        c__csv="text\nonly text\n")
+        c__csv="text\nonly text\n", d__csv="")
     rows = read_drop(spark, folder)
     assert rows.columns == RAW_SCHEMA.fieldNames()
     assert table(rows, "item_id", "text", "source", "reactions") == [

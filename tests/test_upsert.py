@@ -4,7 +4,7 @@ from conftest import at, table
 from pyspark.sql import functions as F
 
 from feedlens.operators.gold import gold_items
-from feedlens.operators.upsert import dedup_batch, merge_feed, not_in
+from feedlens.operators.upsert import dedup_batch, existing_keys, merge_feed, not_in
 from feedlens.schema import ENTITIES_TYPE, SILVER_SCHEMA
 from feedlens.sources.store import FeedStore
 
@@ -33,6 +33,13 @@ def test_merge_refreshes_counts_only(spark, feed):
     assert table(again, *COLUMNS) == table(merged, *COLUMNS)
 
 
+def test_known_keys_with_and_without_broadcast(feed):
+    stored = feed({"item_id": "a"}, {"item_id": "b"}, {"item_id": "z"})
+    incoming = feed({"item_id": "a"}, {"item_id": "c"})
+    assert table(existing_keys(incoming, stored)) == [("a",)]
+    assert table(existing_keys(incoming, stored, limit=0)) == [("a",), ("b",), ("z",)]
+
+
 def batches(feed, seed):
     pick = random.Random(seed)
     return [feed(*[{"item_id": f"k{pick.randrange(12)}", "text": f"t{pick.randrange(3)}",
