@@ -25,6 +25,10 @@ BRONZE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
+GOLD_COLS = ("item_id", "item_type", "parent_id", "created_at", "sentiment", "topic", "theme",
+             "speaker", "company", "location", "engagement", "author_headline", "text_en",
+             "original_text", "action_bucket", "recommended_action", "url", "source")
+
 ITEM_TYPES = ("post", "comment")
 SENTIMENTS = ("positive", "negative", "neutral", "mixed")
 TOPICS = ("session praise", "session complaint", "logistics", "networking & hiring",
@@ -94,9 +98,9 @@ SILVER_SCHEMA = T.StructType(
        T.StructField("action_bucket", T.StringType()),
        T.StructField("recommended_action", T.StringType())])
 
-GOLD_COLS = ("item_id", "item_type", "parent_id", "created_at", "sentiment", "topic", "theme",
-             "speaker", "company", "location", "engagement", "author_headline", "text_en",
-             "original_text", "action_bucket", "recommended_action", "url", "source")
+_GOLD_TYPES = {**{f.name: f.dataType for f in SILVER_SCHEMA},
+               **{f.name: f.dataType for f in ENTITIES_TYPE}, "engagement": T.LongType()}
+GOLD_SCHEMA = T.StructType([T.StructField(c, _GOLD_TYPES[c]) for c in GOLD_COLS])
 
 
 @dataclass(frozen=True)

@@ -24,17 +24,18 @@ from feedlens.functions.times import instant
 from feedlens.operators.gold import gold_items
 from feedlens.operators.upsert import KEY, dedup_batch, existing_keys, not_in
 from feedlens.plans.metrics import newest
-from feedlens.schema import BRONZE_COLS, BRONZE_SCHEMA, COUNT_COLS, SILVER_SCHEMA
+from feedlens.schema import BRONZE_COLS, BRONZE_SCHEMA, COUNT_COLS, GOLD_SCHEMA, SILVER_SCHEMA
 from feedlens.session import materialize
 
+GOLD_DAY = "created_day"
 BATCH = T.StructField("batch", T.LongType())
 INGESTED = T.StructField("ingestion_time", T.TimestampType())
 PARTS = {
     "items": T.StructType([*BRONZE_SCHEMA, INGESTED, BATCH]),
     "refreshes": T.StructType([BRONZE_SCHEMA[c] for c in (KEY, *COUNT_COLS)] + [BATCH]),
     "silver": T.StructType([*SILVER_SCHEMA, BATCH]),
+    "gold": T.StructType([*GOLD_SCHEMA, T.StructField(GOLD_DAY, T.DateType())]),
 }
-GOLD_DAY = "created_day"
 
 
 def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ class FeedStore:
         """Make the folders of the tables that do not exist yet; existing ones stay as they are."""
         for part, schema in PARTS.items():
             self.spark.createDataFrame([], schema).write.mode("ignore") \
-                .partitionBy("batch").parquet(self.path(part))
+                .partitionBy(GOLD_DAY if part == "gold" else "batch").parquet(self.path(part))
         return self
 
     def read(self, part: str) -> DataFrame:
@@ -151,7 +152,7 @@ class FeedStore:
     # ---- Gold ----
 
     def gold(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("gold")).drop(GOLD_DAY)
+        return self.read("gold").drop(GOLD_DAY)
 
     def touched_days(self, batch: int) -> DataFrame:
         """Days with an item that ``batch`` added or refreshed; as many rows as days."""

@@ -3,9 +3,12 @@ import os
 
 from conftest import at, table
 
+from feedlens.operators.classify import learn_bayes, list_weights
+from feedlens.operators.enrich import prepare_enrichment
 from feedlens.operators.normalize import normalize
+from feedlens.plans.runs import run_all
 from feedlens.schema import FeedConfig
-from feedlens.sources.files import read_drop
+from feedlens.sources.files import read_drop, read_paths
 from feedlens.sources.store import FeedStore
 from feedlens.streaming.ingest import run_stream
 
@@ -52,3 +55,35 @@ def test_files_one_at_a_time_equal_one_batch(spark, tmp_path):
     columns = ("item_id", "reactions", "text", "created_at", "source")
     assert table(store.bronze(), *columns) == table(whole.bronze(), *columns)
     assert [r[0] for r in table(store.bronze(), "item_id")] == ["a", "b", "c", "d"]
+
+
+def small_enrichment(spark):
+    lists = spark.createDataFrame([("logistics", "queue")], "label STRING, term STRING")
+    languages = learn_bayes(spark.createDataFrame([("en", "the queue")],
+                                                  "label STRING, text STRING"), ("en",))
+    return prepare_enrichment(
+        spark.createDataFrame([("bad", -500)], "term STRING, weight BIGINT"),
+        list_weights(lists, ("logistics",)), list_weights(lists, ("logistics",)), languages,
+        spark.createDataFrame([("acme", "company", "Acme")],
+                              "phrase STRING, kind STRING, name STRING"),
+        spark.createDataFrame([], "lang STRING, text_hash STRING, text_en STRING"))
+
+
+def test_stream_through_all_layers(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    store = FeedStore(spark, str(tmp_path / "store"))
+    using = small_enrichment(spark)
+    put(drop, "1.json", row("a", 1, "bad queue at Acme"))
+    put(drop, "2.json", row("b", 2), row("a", 7, "edited"))
+    run_stream(store, str(drop), CONFIG, NOW, str(tmp_path / "progress"), using,
+               files_per_batch=1).awaitTermination()
+    columns = ("item_id", "engagement", "sentiment", "topic", "company", "action_bucket",
+               "original_text")
+    want = [("a", 7, "negative", "logistics", "Acme", "fix_ops", "bad queue at Acme"),
+            ("b", 2, "neutral", "general chatter", None, "monitor", "t")]
+    assert table(store.gold(), *columns) == want
+    # The last micro-batch again, as after a failure before its commit.
+    again = normalize(read_paths(spark, [str(drop / "2.json")]), CONFIG, NOW)
+    assert run_all(store, again, using, 1, NOW) == 1
+    assert table(store.gold(), *columns) == want

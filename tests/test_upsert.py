@@ -64,6 +64,14 @@ def test_store_equals_merging_the_batches(spark, feed, tmp_path):
         merged, "item_id", "reactions", "comments", "reposts")
 
 
+def test_nothing_to_ingest(feed, spark, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    assert store.upsert(feed({"item_id": "a"}), 0, DAY1) == 1
+    assert store.upsert(feed(), 1, DAY2) == 0
+    assert table(store.bronze(), "item_id") == [("a",)]
+    assert store.gold().count() == 0 and store.silver().count() == 0
+
+
 def test_order_of_disjoint_batches_does_not_matter(spark, feed, tmp_path):
     one = feed({"item_id": "a", "reactions": 1}, {"item_id": "b"})
     two = feed({"item_id": "c"}, {"item_id": "d", "reactions": 4})
