@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.schema import RAW_SCHEMA
+from feedlens.session import literal_path
 
 JSON_SUFFIXES = (".json", ".jsonl")
 CSV_SUFFIX = ".csv"
@@ -62,8 +63,8 @@ def union_parts(spark: SparkSession, parts: Iterable[DataFrame]) -> DataFrame:
 def read_paths(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Raw rows of the given files, each read by its suffix; other files are left out."""
     paths = list(paths)
-    json = [p for p in paths if p.endswith(JSON_SUFFIXES)]
-    csv = [p for p in paths if p.endswith(CSV_SUFFIX)]
+    json = [literal_path(p) for p in paths if p.endswith(JSON_SUFFIXES)]
+    csv = [literal_path(p) for p in paths if p.endswith(CSV_SUFFIX)]
     parts = []
     if json:
         parts.append(read_json(spark, json))

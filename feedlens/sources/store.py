@@ -100,7 +100,7 @@ class FeedStore:
         """Merge a batch into Bronze and return how many items are new.
 
         New items are added with ``as_of`` as ingestion time; known ones only get their counts
-        refreshed.
+        refreshed. Both readers give every item a key; a row without one cannot be merged.
         """
         rows = dedup_batch(incoming.select(*BRONZE_COLS)).filter(F.col(KEY).isNotNull())
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -181,6 +181,13 @@ class FeedStore:
 
     # ---- looking at layers ----
 
+    def register(self, bronze: str = "bronze_feed", silver: str = "silver_feed",
+                 gold: str = "gold_feed") -> None:
+        """Temporary views of the layers, for queries in SQL; call again to see later runs."""
+        self.bronze().createOrReplaceTempView(bronze)
+        self.silver().createOrReplaceTempView(silver)
+        self.gold().createOrReplaceTempView(gold)
+
     def preview(self, layer: str, n: int = 50, columns: Sequence[str] | None = None) -> DataFrame:
         """The ``n`` newest rows of ``bronze``, ``silver`` or ``gold``."""
         return newest({"bronze": self.bronze, "silver": self.silver, "gold": self.gold}[layer](),

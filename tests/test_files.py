@@ -50,6 +50,12 @@ def test_json_and_csv_together_other_files_left_out(spark, tmp_path):
     assert table(read_drop(spark, folder), "text") == [("c",), ("j",)]
 
 
+def test_odd_file_names(spark, tmp_path):
+    (tmp_path / "a [1] {x} 100%.json").write_text('{"text": "j"}')
+    (tmp_path / "b (2) *.csv").write_text("text\nc\n")
+    assert table(read_drop(spark, str(tmp_path)), "text") == [("c",), ("j",)]
+
+
 def test_empty_folder(spark, tmp_path):
     rows = read_drop(spark, str(tmp_path))
     assert rows.schema == RAW_SCHEMA and rows.count() == 0

@@ -51,6 +51,13 @@ def test_filters_reach_the_scan_of_a_stored_gold_table(spark, tmp_path):
     assert re.search(r"PushedFilters: \[Or\(", plan(metrics.top_problems(gold)))
 
 
+@pytest.mark.parametrize("name", ["dedup_rows", "thread_rollup", "quality_check", "top_theme",
+                                  "payload_items"])
+def test_groups_are_folded_before_the_shuffle(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "partial_" in text
+
+
 @pytest.mark.parametrize("name", ["thread_rollup", "quality_check"])
 def test_threads_and_quality_take_one_grouping_and_no_join_of_items(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

@@ -1,4 +1,4 @@
-from feedlens.session import (Measured, lookup_join, materialize, measured, scratch_path,
+from feedlens.session import (Measured, literal_path, lookup_join, materialize, measured, scratch_path,
                               shared_dir, spread)
 
 
@@ -30,10 +30,10 @@ def test_lookup_is_broadcast_by_its_measured_size(spark):
 
 
 def test_only_tables_of_few_files_are_spread(spark, tmp_path):
-    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    few, many = str(tmp_path / "few [1] files"), str(tmp_path / "many")
     spark.range(100).coalesce(1).write.parquet(few)
     spark.range(100).repartition(20).write.parquet(many)
-    assert "Repartition" in spread(spark.read.parquet(few))._jdf.queryExecution().logical() \
+    assert "Repartition" in spread(spark.read.parquet(literal_path(few)))._jdf.queryExecution().logical() \
         .toString()
     table = spark.read.parquet(many)
     assert spread(table) is table

@@ -118,6 +118,9 @@ def test_gold_is_rebuilt_for_touched_days_only(spark, feed, tmp_path):
     assert table(store.gold(), "item_id", "engagement") == [("a", 0), ("b", 9), ("c", 0), ("n", 1)]
     assert {f for f in store.gold().inputFiles() if "2026-01-01" in f} == files
     assert [r["item_id"] for r in store.preview("gold", 2).collect()] == ["c", "b"]
+    store.register(gold="metrics")
+    assert spark.sql("SELECT sum(engagement) FROM metrics").first()[0] == 10
+    assert spark.table("bronze_feed").count() == spark.table("silver_feed").count() == 4
 
 
 def test_pending_items(spark, feed, tmp_path):
