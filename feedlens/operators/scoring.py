@@ -29,16 +29,15 @@ class TermWeights:
 
 @dataclass(frozen=True)
 class CombinedWeights:
-    """Several classifiers side by side: a term's weights for all of them in one row."""
+    """Several classifiers side by side: a term's weights for all of them in one row.
+
+    A classifier that does not know the term has null there.
+    """
 
     stored: Measured
     widths: dict[str, int]
 
 
-def slot_names(widths: Mapping[str, int]) -> list[str]:
-    return [f"{name}_{i}" for name, width in widths.items() for i in range(width)]
-
-
 def combine(parts: Mapping[str, TermWeights]) -> CombinedWeights:
     """Put classifiers side by side, so that a feed is split into terms and joined once."""
     widths = {name: len(part.labels) for name, part in parts.items()}
@@ -48,10 +47,11 @@ def combine(parts: Mapping[str, TermWeights]) -> CombinedWeights:
             F.col("weights")[i].alias(f"{name}_{i}") for i in range(widths[name])])
         table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
     if len(parts) > 1:
-        table = table.groupBy("term").agg(*[
-            F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in slot_names(widths)])
+        slots = [f"{name}_{i}" for name, width in widths.items() for i in range(width)]
+        table = table.groupBy("term").agg(*[F.sum(slot).alias(slot) for slot in slots])
     table = table.select("term", *[
-        F.array(*[F.col(f"{name}_{i}") for i in range(width)]).alias(name)
+        F.when(F.col(f"{name}_0").isNotNull(),
+               F.array(*[F.col(f"{name}_{i}") for i in range(width)])).alias(name)
         for name, width in widths.items()])
     return CombinedWeights(materialize(table, "weights"), widths)
 
