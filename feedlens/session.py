@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -26,14 +28,25 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``; a temporary one only where unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None)
-            or _temporary_dir(spark.sparkContext.applicationId))
+    """The cluster's shared folder, ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session, which is one process, gets a temporary folder; on a
+    cluster that is an error, because executors would not see each other's files.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return _temporary_dir(spark.sparkContext.applicationId)
 
 
 @cache
 def _temporary_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix="feedlens-")
+    path = tempfile.mkdtemp(prefix="feedlens-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,3 +1,7 @@
+from types import SimpleNamespace
+
+import pytest
+
 from feedlens.session import (Measured, literal_path, lookup_join, materialize, measured, scratch_path,
                               shared_dir, spread)
 
@@ -7,6 +11,17 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master,
+                                                                     applicationId="test"))
+
+    assert shared_dir(session("local[2]")) == shared_dir(session("local"))
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError, match="shared folder"):
+            shared_dir(session(master))
+
+
 def test_sizes(spark):
     rows = spark.createDataFrame([("abc", [1, 2], 5), (None, None, None)],
                                  "s STRING, a ARRAY<BIGINT>, n INT")
