@@ -5,16 +5,16 @@ signature of 80 values costs 40 hash evaluations per shingle. Bands of four valu
 and the maximum of two permutations) name the buckets in which candidates meet.
 
 Links between candidates are confirmed on the full shingle sets. A bucket never emits all its
-pairs: in each round it compares a few *pivots* with its other members, takes the pivots out, and
-goes on only while its remaining members lie in different components; the number of pivots grows
-from round to round, so that every pair of a bucket is either compared or known to be connected.
+pairs: it compares one *pivot*, its most central member, with the others. Members that are not
+linked with the pivot can only be linked with members that share shingles which the pivot lacks,
+so they meet again in buckets named by those; buckets whose members are all connected are done.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import (WordCodes, discard, flat_batches, map_batches, mix64, read_table,
@@ -24,7 +24,6 @@ from feedlens.session import lookup_join, materialize
 SHINGLE = 5
 PERMUTATIONS = 40
 BANDS = 20
-PIVOTS = (2, 8)
 LOOKUP_BYTES = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20260101)
@@ -135,20 +134,52 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def _links(members: DataFrame, pivots: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Confirmed links between pivots and members of their buckets that lie elsewhere."""
-    pairs = (members.join(pivots.select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"),
-                                        F.col("root").alias("p_root")), "bucket")
-             .filter((F.col("root") != F.col("p_root"))
-                     & (100 * F.least("n", "pn") >= threshold * F.greatest("n", "pn")))
-             .select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b"))
-             .distinct())
-    left = sets.select(F.col("node").alias("a"), F.col("names").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("names").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - common
-    return (pairs.join(left, "a").join(right, "b")
-            .filter(100 * common >= threshold * union).select("a", "b"))
+def _tested(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of pivot ``p`` and ``node`` held against each other on their full sets.
+
+    Adds ``linked``, and where others share the pivot (``wide``), ``added``: those shingles of
+    the node that the pivot lacks which a partner of the node must share (see ``_rooted``).
+    """
+    c = threshold / (100 + threshold)  # linked means: common >= c * (n + pn)
+    left = sets.select(F.col("node").alias("p"), F.col("names").alias("pivot_names"))
+    joined = pairs.join(left, "p").join(sets, "node")
+    common = F.size(F.array_intersect("names", "pivot_names"))
+    joined = joined.withColumn("common", common)
+    n, pn = F.col("n"), F.col("pn")
+    linked = (100 * F.col("common") >= threshold * (n + pn - F.col("common"))).alias("linked")
+    difference = n + pn - 2 * F.col("common")
+    smallest = F.ceil(n * (threshold / 100))  # a partner's size at least
+    shared = (difference - (1 - 2 * c) * (n + smallest) + smallest - pn) / 2
+    needed = F.greatest(F.lit(1), F.ceil(shared - 1e-6).cast("int"))
+    kept = F.when(F.col("wide"), F.array_except("names", "pivot_names"))
+    return (joined.withColumn("kept", kept)
+            .select("p", "node", "n", "pn", "central", "common", linked,
+                    F.slice("kept", 1, F.greatest(F.lit(0), F.size("kept") - needed + 1))
+                    .alias("added")))
+
+
+def _both_smaller(tested: DataFrame, threshold: int) -> DataFrame:
+    """Pairs under one pivot that may be linked without a shingle that the pivot lacks, as buckets
+    of two."""
+    c = threshold / (100 + threshold)
+    wide = tested.filter("added IS NOT NULL").withColumn("difference", F.col("n") + F.col("pn")
+                                                         - 2 * F.col("common"))
+
+    def bound(one: str, two: str) -> Column:
+        n, other = F.col(f"{one}.n"), F.col(f"{two}.n")
+        return F.col(f"{one}.difference") - (1 - 2 * c) * (n + other) + other - F.col("x.pn")
+
+    x = wide.filter("NOT linked").alias("x")
+    y = wide.filter("n < pn").alias("y")
+    small, large = (f("x.n", "y.n") for f in (F.least, F.greatest))
+    near = (F.col("x.p") == F.col("y.p")) & (F.col("x.node") != F.col("y.node")) & (
+        100 * small >= threshold * large) & (bound("x", "y") <= 1e-6) & (bound("y", "x") <= 1e-6)
+    two = F.array(*[F.struct(*[F.col(f"{side}.{name}").alias(name)
+                               for name in ("node", "n", "central")]) for side in "xy"])
+    return (x.join(y, near)
+            .select(F.xxhash64(F.least("x.node", "y.node"), F.greatest("x.node", "y.node"))
+                    .alias("bucket"), F.explode(two).alias("m"))
+            .select("bucket", "m.node", "m.n", "m.central").distinct())
 
 
 def near_duplicates(documents: DataFrame, threshold: int = 85) -> DataFrame:
@@ -181,15 +212,27 @@ def near_duplicates(documents: DataFrame, threshold: int = 85) -> DataFrame:
 
 
 def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """``(node, root)`` for every node with a link."""
+    """``(node, root)`` for every node with a link.
+
+    A bucket is worked off by pivots. Say that a set x is not linked with its pivot p, and y is
+    another set of the bucket. With a and m the numbers of shingles that a set has more and less
+    than p, x and y are linked only if they share at least
+    ``(a(x) + m(x) - (1 - 2c)(n(x) + n(y)) + n(y) - n(p)) / 2`` shingles that p lacks (they can
+    share no more missing ones than y misses), or the same with x and y exchanged. So x meets its
+    partners again in the bucket of a shingle that p lacks; of x's such shingles, in one order for
+    all, only so many first ones are needed as leave fewer than the bound behind. Pairs for which
+    neither bound is above zero have a y smaller than p and near it; they are listed for a test
+    of their own. No link is lost, and a group whose members differ from their centre in ways of
+    their own costs about one test for each.
+    """
     spark = nodes.sparkSession
     buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("size"))
                          .filter("size > 1"), "shared")
     found = stored(lookup_join(buckets, shared, ["bucket"], limit=LOOKUP_BYTES), "found")
     central = materialize(found.groupBy("node").agg(F.sum("size").alias("central")), "central")
-    members = stored(lookup_join(found.drop("size"), central, ["node"], limit=LOOKUP_BYTES)
-                     .withColumn("root", F.col("node")), "members")
+    members = stored(lookup_join(found.drop("size"), central, ["node"], limit=LOOKUP_BYTES),
+                     "members")
     rooted = spark.createDataFrame([], "node long, root long")
     if members.isEmpty():
         return rooted
@@ -201,27 +244,36 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     repeated = not sets.groupBy("node").count().filter("count > 1").isEmpty()
     if repeated:  # rows that repeat a doc_id
         sets = stored(sets.groupBy("node").agg(F.first("names").alias("names")), "sets")
-    links, many = None, PIVOTS[0]
     while not members.isEmpty():
-        salt = F.pmod(F.xxhash64("node", F.lit(many)), F.lit(many))
-        pivots = stored(members.groupBy("bucket", salt.alias("salt"))
-                        .agg(F.max(F.struct("central", "node", "n", "root")).alias("p"))
-                        .select("bucket", "p.node", "p.n", "p.root"), "pivots")
-        confirmed = stored(_links(members, pivots, sets, threshold), "links")
-        links = confirmed if links is None else stored(links.unionByName(confirmed), "links")
-        rooted = components(links)
-        rest = (members.drop("root")
-                .join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti")
-                .join(rooted, "node", "left")
-                .withColumn("root", F.coalesce("root", "node")))
-        rest = stored(rest, "rest")
+        pivots = stored(members.groupBy("bucket")
+                        .agg(F.max(F.struct("central", "node", "n")).alias("p"),
+                             F.count("*").alias("size"))
+                        .select("bucket", F.col("p.node").alias("p"), F.col("p.n").alias("pn"),
+                                (F.col("size") > 2).alias("wide")), "pivots")
+        met = members.join(pivots, "bucket").filter("node <> p")
+        pairs = (met.groupBy("p", "node")
+                 .agg(F.first("n").alias("n"), F.first("pn").alias("pn"),
+                      F.first("central").alias("central"), F.max("wide").alias("wide")))
+        tested = stored(_tested(pairs, sets, threshold), "tested")
+        fresh = tested.filter("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
+        known = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        rooted = components(known.unionByName(fresh))
+        apart = (tested.filter("added IS NOT NULL")
+                 .select("p", "node", "n", "central", "linked", F.explode("added").alias("shingle")))
+        shared_by = stored(apart.groupBy("p", "shingle")
+                           .agg(F.count("*").alias("size"), F.min("linked").alias("all_linked"))
+                           .filter("size > 1 AND NOT all_linked").select("p", "shingle"), "shared")
+        again = (apart.join(shared_by, ["p", "shingle"])
+                 .select(F.xxhash64("p", "shingle").alias("bucket"), "node", "n", "central"))
+        rest = stored(again.unionByName(_both_smaller(tested, threshold))
+                      .join(rooted, "node", "left")
+                      .withColumn("root", F.coalesce("root", "node")), "rest")
         open_buckets = stored(rest.groupBy("bucket")
                               .agg(F.min("root").alias("low"), F.max("root").alias("high"))
                               .filter("low <> high").select("bucket"), "open")
-        discard(members)
-        members = stored(rest.join(open_buckets, "bucket"), "members")
-        discard(rest)
-        many *= PIVOTS[1]
+        members = stored(rest.join(open_buckets, "bucket").drop("root"), "members")
+        for table in (tested, shared_by, rest):
+            discard(table)
     return rooted
 
 

@@ -59,6 +59,25 @@ def test_star_and_chain_of_near_copies(make_docs):
     assert result(nd.near_duplicates(make_docs(*pairs))) == expected
 
 
+def test_groups_around_the_threshold(make_docs):
+    """Random edits, cuts and growth of one text: links of every kind among one bucket's sets."""
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    base = [word() for _ in range(100)]
+    pairs = []
+    for i in range(220):
+        copy = list(draw.choice([base, base, base[6:], base[:-7], base + [word()] * 3]))
+        for _ in range(draw.randrange(5)):
+            at = draw.randrange(len(copy))
+            copy[at:at + draw.randrange(2)] = [word() for _ in range(draw.randrange(2))]
+        pairs.append((i, " ".join(copy)))
+        if i % 9 == 0:
+            base = list(draw.choice([base, copy]))
+    expected = brute(pairs)
+    assert 5 < len({v[1] for v in expected.values()}) < 200
+    assert result(nd.near_duplicates(make_docs(*pairs))) == expected
+
+
 def test_edges(spark, edge_docs):
     rows = nd.near_duplicates(edge_docs)
     assert rows.columns == ["doc_id", "n_shingles", "component_id", "kept"]
