@@ -8,6 +8,7 @@ Links between candidates are confirmed on the full shingle sets. A bucket never
 pairs: it compares one *pivot*, its most central member, with the others. Members that are not
 linked with the pivot can only be linked with members that share shingles which the pivot lacks,
 so they meet again in buckets named by those; buckets whose members are all connected are done.
+Buckets of at most ``SMALL`` members are compared at once, a bounded number of pairs per member.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from feedlens.session import lookup_join, materialize
 SHINGLE = 5
 PERMUTATIONS = 40
 BANDS = 20
+SMALL = 16
 LOOKUP_BYTES = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20260101)
@@ -152,10 +154,35 @@ def _tested(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     shared = (difference - (1 - 2 * c) * (n + smallest) + smallest - pn) / 2
     needed = F.greatest(F.lit(1), F.ceil(shared - 1e-6).cast("int"))
     kept = F.when(F.col("wide"), F.array_except("names", "pivot_names"))
-    return (joined.withColumn("kept", kept)
-            .select("p", "node", "n", "pn", "central", "common", linked,
-                    F.slice("kept", 1, F.greatest(F.lit(0), F.size("kept") - needed + 1))
-                    .alias("added")))
+    return joined.select("p", "node", "n", "pn", "central", "common", linked,
+                         (n - F.col("common") - needed + 1).alias("prefix"), kept.alias("added"))
+
+
+def _meeting_again(tested: DataFrame) -> DataFrame:
+    """Buckets ``(p, shingle)`` in which sets that are not linked with p meet their partners.
+
+    A set enters those of its ``prefix`` rarest shingles that p lacks; shingles that no other set
+    under p has use up places of the prefix, and name no bucket.
+    """
+    lacking = tested.select("p", "node", "n", "central", "linked", "prefix",
+                            F.explode("added").alias("shingle"))
+    often = stored(lacking.groupBy("p", "shingle").agg(F.count("*").alias("sets"))
+                   .filter("sets > 1"), "often")
+    sizes = tested.filter("added IS NOT NULL").select(
+        "p", "node", "n", "central", "linked", "prefix", F.size("added").alias("total"))
+    shared = (lacking.select("p", "node", "shingle").join(often, ["p", "shingle"])
+              .groupBy("p", "node")
+              .agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("shared")))
+    places = F.col("prefix") - (F.col("total") - F.size("shared"))
+    entered = stored(sizes.join(shared, ["p", "node"]).filter(places > 0)
+                     .select("p", "node", "n", "central", "linked",
+                             F.explode(F.slice("shared.shingle", 1, places)).alias("shingle")),
+                     "entered")
+    open_ = stored(entered.groupBy("p", "shingle")
+                   .agg(F.count("*").alias("sets"), F.min("linked").alias("all_linked"))
+                   .filter("sets > 1 AND NOT all_linked").select("p", "shingle"), "open")
+    return (entered.join(open_, ["p", "shingle"])
+            .select(F.xxhash64("p", "shingle").alias("bucket"), "node", "n", "central"))
 
 
 def _both_smaller(tested: DataFrame, threshold: int) -> DataFrame:
@@ -219,8 +246,8 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     than p, x and y are linked only if they share at least
     ``(a(x) + m(x) - (1 - 2c)(n(x) + n(y)) + n(y) - n(p)) / 2`` shingles that p lacks (they can
     share no more missing ones than y misses), or the same with x and y exchanged. So x meets its
-    partners again in the bucket of a shingle that p lacks; of x's such shingles, in one order for
-    all, only so many first ones are needed as leave fewer than the bound behind. Pairs for which
+    partners again in the bucket of a shingle that p lacks; of x's such shingles, the rarest first,
+    only so many are needed as leave fewer than the bound behind. Pairs for which
     neither bound is above zero have a y smaller than p and near it; they are listed for a test
     of their own. No link is lost, and a group whose members differ from their centre in ways of
     their own costs about one test for each.
@@ -248,23 +275,23 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
         pivots = stored(members.groupBy("bucket")
                         .agg(F.max(F.struct("central", "node", "n")).alias("p"),
                              F.count("*").alias("size"))
-                        .select("bucket", F.col("p.node").alias("p"), F.col("p.n").alias("pn"),
-                                (F.col("size") > 2).alias("wide")), "pivots")
-        met = members.join(pivots, "bucket").filter("node <> p")
+                        .select("bucket", "size", F.col("p.node").alias("p"),
+                                F.col("p.n").alias("pn")), "pivots")
+        met = (members.join(pivots.filter(F.col("size") > SMALL).drop("size"), "bucket")
+               .filter("node <> p").withColumn("wide", F.lit(True)))
+        few = members.join(pivots.filter(F.col("size") <= SMALL).select("bucket"), "bucket")
+        other = few.select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"))
+        met = met.unionByName(few.join(other, "bucket").filter("node < p")
+                              .withColumn("wide", F.lit(False)))
         pairs = (met.groupBy("p", "node")
                  .agg(F.first("n").alias("n"), F.first("pn").alias("pn"),
                       F.first("central").alias("central"), F.max("wide").alias("wide")))
         tested = stored(_tested(pairs, sets, threshold), "tested")
         fresh = tested.filter("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
-        known = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        rooted = components(known.unionByName(fresh))
-        apart = (tested.filter("added IS NOT NULL")
-                 .select("p", "node", "n", "central", "linked", F.explode("added").alias("shingle")))
-        shared_by = stored(apart.groupBy("p", "shingle")
-                           .agg(F.count("*").alias("size"), F.min("linked").alias("all_linked"))
-                           .filter("size > 1 AND NOT all_linked").select("p", "shingle"), "shared")
-        again = (apart.join(shared_by, ["p", "shingle"])
-                 .select(F.xxhash64("p", "shingle").alias("bucket"), "node", "n", "central"))
+        if not fresh.isEmpty():
+            known = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            rooted = components(known.unionByName(fresh))
+        again = _meeting_again(tested)
         rest = stored(again.unionByName(_both_smaller(tested, threshold))
                       .join(rooted, "node", "left")
                       .withColumn("root", F.coalesce("root", "node")), "rest")
@@ -272,7 +299,7 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
                               .agg(F.min("root").alias("low"), F.max("root").alias("high"))
                               .filter("low <> high").select("bucket"), "open")
         members = stored(rest.join(open_buckets, "bucket").drop("root"), "members")
-        for table in (tested, shared_by, rest):
+        for table in (tested, rest):
             discard(table)
     return rooted
 
