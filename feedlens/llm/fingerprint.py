@@ -91,9 +91,6 @@ def parse(symbols: np.ndarray, first: np.ndarray):
         if len(symbols) == len(first):
             return
         symbols, first = name_runs(symbols, first)
-        if len(symbols) == len(first):
-            yield symbols, first
-            return
         at = np.flatnonzero(phrase_starts(symbols, first))
         lengths = np.diff(np.append(at, len(symbols)))
         within = np.arange(len(symbols)) - np.repeat(at, lengths)

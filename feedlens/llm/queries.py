@@ -5,6 +5,7 @@ from __future__ import annotations
 from feedlens.llm.decontaminate import op2_decontamination
 from feedlens.llm.fingerprint import op1_fingerprints
 from feedlens.llm.html_text import op6_html_text
+from feedlens.llm.lm_scoring import op7_lm_scores
 from feedlens.llm.near_dedup import op10_near_duplicates
 from feedlens.llm.packing import op3_packing
 from feedlens.llm.quality import op5_quality
@@ -14,5 +15,5 @@ from feedlens.llm.subwords import op4_token_counts
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_decontamination, op3_packing, op4_token_counts, op5_quality,
-    op6_html_text, op8_secret_scan, op9_sharding, op10_near_duplicates)}
+    op6_html_text, op7_lm_scores, op8_secret_scan, op9_sharding, op10_near_duplicates)}
 ORACLE: dict[str, str] = {}
