@@ -8,11 +8,14 @@ Links between candidates are confirmed on the full shingle sets. A bucket never
 pairs: it compares one *pivot*, its most central member, with the others. Members that are not
 linked with the pivot can only be linked with members that share shingles which the pivot lacks,
 so they meet again in buckets named by those; buckets whose members are all connected are done.
-Buckets of at most ``SMALL`` members are compared at once, a bounded number of pairs per member.
+Buckets of at most ``SMALL`` members are compared at once, a bounded number of pairs per member;
+the bound grows with each round, in which ever fewer members remain, so that rounds are few.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,7 +28,7 @@ from feedlens.session import lookup_join, materialize
 SHINGLE = 5
 PERMUTATIONS = 40
 BANDS = 20
-SMALL = 16
+SMALL, GROWTH = 16, 4
 LOOKUP_BYTES = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20260101)
@@ -271,15 +274,17 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     repeated = not sets.groupBy("node").count().filter("count > 1").isEmpty()
     if repeated:  # rows that repeat a doc_id
         sets = stored(sets.groupBy("node").agg(F.first("names").alias("names")), "sets")
+    links: list[DataFrame] = []
+    small = SMALL
     while not members.isEmpty():
         pivots = stored(members.groupBy("bucket")
                         .agg(F.max(F.struct("central", "node", "n")).alias("p"),
                              F.count("*").alias("size"))
                         .select("bucket", "size", F.col("p.node").alias("p"),
                                 F.col("p.n").alias("pn")), "pivots")
-        met = (members.join(pivots.filter(F.col("size") > SMALL).drop("size"), "bucket")
+        met = (members.join(pivots.filter(F.col("size") > small).drop("size"), "bucket")
                .filter("node <> p").withColumn("wide", F.lit(True)))
-        few = members.join(pivots.filter(F.col("size") <= SMALL).select("bucket"), "bucket")
+        few = members.join(pivots.filter(F.col("size") <= small).select("bucket"), "bucket")
         other = few.select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"))
         met = met.unionByName(few.join(other, "bucket").filter("node < p")
                               .withColumn("wide", F.lit(False)))
@@ -288,9 +293,10 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
                       F.first("central").alias("central"), F.max("wide").alias("wide")))
         tested = stored(_tested(pairs, sets, threshold), "tested")
         fresh = tested.filter("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
-        if not fresh.isEmpty():
-            known = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            rooted = components(known.unionByName(fresh))
+        links.append(fresh)
+        if small == SMALL:  # most links are known now; the others wait for the end
+            rooted = components(fresh)
+        small *= GROWTH
         again = _meeting_again(tested)
         rest = stored(again.unionByName(_both_smaller(tested, threshold))
                       .join(rooted, "node", "left")
@@ -299,9 +305,8 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
                               .agg(F.min("root").alias("low"), F.max("root").alias("high"))
                               .filter("low <> high").select("bucket"), "open")
         members = stored(rest.join(open_buckets, "bucket").drop("root"), "members")
-        for table in (tested, rest):
-            discard(table)
-    return rooted
+        discard(rest)
+    return components(reduce(DataFrame.unionByName, links)) if len(links) > 1 else rooted
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
