@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import flat_batches, map_batches, mix64, read_table
+from feedlens.llm.common import flat_batches, mix64, read_table
 
 SKETCH = 64
 SKETCH_LEVEL = 3
@@ -219,17 +219,13 @@ def with_successor(documents: DataFrame) -> DataFrame:
     runs = 4 * partitions
     found = rows.agg(F.min("order").alias("low"), F.percentile_approx(
         "order", [i / runs for i in range(1, runs)], 10 * runs).alias("at")).first()
-    begins = np.array(sorted({found["low"], *(found["at"] or [])} - {None}), np.int64)
-
-    def place():
-        def run(batch: pa.RecordBatch):
-            order = batch.column("order").to_numpy()
-            run_of = np.searchsorted(begins, order, side="right") - 1
-            return [run_of, begins[run_of] == order]
-
-        return run
-
-    placed = map_batches(rows, place, "bucket int, begins boolean", keep=("doc_id", "text", "order"))
+    begins = sorted({found["low"], *(found["at"] or [])} - {None})
+    table = F.lit(begins) if begins else F.array().cast("array<bigint>")
+    steps = [1 << i for i in reversed(range(max(1, len(begins)).bit_length()))]
+    place = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: at + F.when(
+        F.get(table, at + step) <= F.col("order"), step).otherwise(0))  # by halving
+    placed = rows.withColumn("bucket", place).withColumn(
+        "begins", F.get(table, "bucket") == F.col("order"))
     bucket = F.col("bucket")
     before = F.when(bucket == 0, len(begins) - 1).otherwise(bucket - 1)
     own = F.struct(bucket, F.lit(False).alias("ahead"))
