@@ -302,7 +302,7 @@ def all_layers(spark, sf_dir):
     """Files to Gold in one go."""
     store = FeedStore(spark, scratch_path(spark, "run")).create()
     incoming = incoming_from_folder(store, drop_folder(spark, sf_dir), CONFIG, fx.AS_OF)
-    run_all(store, incoming, fx.enrichment(spark, sf_dir), 0, fx.AS_OF)
+    run_all(store, incoming, fx.enrichment(spark, sf_dir), fx.AS_OF)
     return store.gold()
 
 

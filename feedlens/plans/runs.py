@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 
@@ -33,9 +34,10 @@ def run_bronze(store: FeedStore, incoming: DataFrame, batch: int, as_of: Moment)
     return store.upsert(incoming, batch, as_of)
 
 
-def run_silver(store: FeedStore, using: Enrichment, batch: int, catch_up: bool = False) -> None:
-    """Enrich the batch's new items; with ``catch_up`` also earlier ones that were left out."""
-    store.write_silver(enrich(store.pending(batch, catch_up), using), batch)
+def run_silver(store: FeedStore, using: Enrichment, batch: int) -> None:
+    """Enrich the batch's new items, and earlier ones that have no Silver row yet."""
+    if batch not in store.batches("silver", committed=True):
+        store.write_silver(enrich(store.pending(batch), using), batch)
 
 
 def run_gold(store: FeedStore, batch: int | None = None) -> None:
@@ -43,9 +45,14 @@ def run_gold(store: FeedStore, batch: int | None = None) -> None:
     store.write_gold(batch)
 
 
-def run_all(store: FeedStore, incoming: DataFrame, using: Enrichment, batch: int,
-            as_of: Moment) -> int:
-    """One batch through all layers."""
+def run_all(store: FeedStore, incoming: DataFrame, using: Enrichment, as_of: Moment,
+            run: str | None = None) -> int:
+    """One batch through all layers; returns the number of new items.
+
+    A run that failed is continued by calling it again under the same ``run`` name with the same
+    input; without a name every call is a run of its own.
+    """
+    batch = store.claim(run or f"run-{uuid4().hex}")
     new = run_bronze(store, incoming, batch, as_of)
     run_silver(store, using, batch)
     run_gold(store, batch)

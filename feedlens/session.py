@@ -105,6 +105,18 @@ def materialize(df: DataFrame, name: str) -> Measured:
     return Measured(spark.read.schema(df.schema).parquet(path), size.get["bytes"] or 0)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, for listing, removing and renaming folders."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library made."""
+    files, where = hadoop_path(spark, path)
+    files.delete(where, True)
+
+
 def literal_path(path: str) -> str:
     """A path with the signs of glob patterns escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -5,9 +5,11 @@ Bronze is kept in two parts, so that a text is written once and never rewritten:
 * ``items``: one row per item, written when it is first seen;
 * ``refreshes``: the counts of items seen again, a few bytes per row.
 
-Each run writes one ``batch=<n>`` folder per part, as a whole. A batch only looks at earlier
-batches, so running it again after a failure replaces its own folders by the same rows. Batch
-numbers grow. A reader takes an item's counts from its newest refresh.
+Each run writes one ``batch=<n>`` folder per part, as a whole. The store hands out the numbers,
+each to one named run, and gives that run the same number again after a failure. A folder whose
+write was committed is never written again, so neither another run nor a repeated one takes rows
+away. A batch only looks at earlier batches. A reader takes an item's counts from its newest
+refresh.
 """
 
 from __future__ import annotations
@@ -15,8 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +26,13 @@ from feedlens.operators.gold import gold_items
 from feedlens.operators.upsert import KEY, dedup_batch, existing_keys, not_in
 from feedlens.plans.metrics import newest
 from feedlens.schema import BRONZE_COLS, BRONZE_SCHEMA, COUNT_COLS, GOLD_SCHEMA, SILVER_SCHEMA
-from feedlens.session import materialize
+from feedlens.session import hadoop_path, measured, remove, scratch_path
 
 GOLD_DAY = "created_day"
 BATCH = T.StructField("batch", T.LongType())
 INGESTED = T.StructField("ingestion_time", T.TimestampType())
 PARTS = {
+    "runs": T.StructType([T.StructField("run", T.StringType()), BATCH]),
     "items": T.StructType([*BRONZE_SCHEMA, INGESTED, BATCH]),
     "refreshes": T.StructType([BRONZE_SCHEMA[c] for c in (KEY, *COUNT_COLS)] + [BATCH]),
     "silver": T.StructType([*SILVER_SCHEMA, BATCH]),
@@ -39,9 +41,11 @@ PARTS = {
 
 
 def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows created on one of ``days``, a table with one row per day."""
+    """Rows created on one of ``days``, a table with one row per day; sent to all tasks if small."""
+    found = measured(days)
+    days = F.broadcast(days) if found.fits() else days
     day = F.to_date("created_at")
-    return rows.join(F.broadcast(days), day.eqNullSafe(days[GOLD_DAY]), "left_semi")
+    return rows.join(days, day.eqNullSafe(days[GOLD_DAY]), "left_semi")
 
 
 class FeedStore:
@@ -64,9 +68,44 @@ class FeedStore:
     def read(self, part: str) -> DataFrame:
         return self.spark.read.schema(PARTS[part]).parquet(self.path(part))
 
+    # ---- batches ----
+
+    def batches(self, part: str, committed: bool = False) -> set[int]:
+        """Numbers of the batch folders of a part; with ``committed`` those whose write ended."""
+        pattern = f"{self.path(part)}/batch=*" + "/_SUCCESS" * committed
+        files, where = hadoop_path(self.spark, pattern)
+        found = [status.getPath() for status in files.globStatus(where) or []]
+        names = [(path.getParent() if committed else path).getName() for path in found]
+        return {int(name.partition("=")[2]) for name in names}
+
+    def claim(self, run: str) -> int:
+        """The batch number of a run: the one that it got before, or the next one.
+
+        Two runs of one store must not begin at the same moment; the later of two that do so
+        fails before it writes any item.
+        """
+        known = self.read("runs").filter(F.col("run") == run).agg(F.min("batch")).first()[0]
+        if known is not None:
+            return known
+        batch = 1 + max([-1, *(n for part in PARTS if part != "gold" for n in self.batches(part))])
+        rows = self.spark.createDataFrame([(run,)], "run STRING").coalesce(1)
+        rows.write.mode("errorifexists").parquet(f"{self.path('runs')}/batch={batch}")
+        return batch
+
     def write_batch(self, part: str, rows: DataFrame, batch: int) -> None:
-        columns = [f.name for f in PARTS[part] if f.name != "batch"]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path(part)}/batch={batch}")
+        """Write a batch folder, unless an earlier attempt of its run has committed it."""
+        if batch not in self.batches(part, committed=True):
+            columns = [f.name for f in PARTS[part] if f.name != "batch"]
+            rows.select(*columns).write.mode("overwrite").parquet(
+                f"{self.path(part)}/batch={batch}")
+
+    def _switch(self, fresh: str, path: str) -> None:
+        """Put a finished folder in the place of another."""
+        files, new = hadoop_path(self.spark, fresh)
+        old = hadoop_path(self.spark, path)[1]
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"{fresh} could not be moved to {path}")
 
     # ---- Bronze ----
 
@@ -100,54 +139,68 @@ class FeedStore:
         """Merge a batch into Bronze and return how many items are new.
 
         New items are added with ``as_of`` as ingestion time; known ones only get their counts
-        refreshed. Both readers give every item a key; a row without one cannot be merged.
+        refreshed. Both readers give every item a key; a row without one cannot be merged. The
+        batch is written to the shared folder once, so that no task computes it twice.
         """
-        rows = dedup_batch(incoming.select(*BRONZE_COLS)).filter(F.col(KEY).isNotNull())
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        if {batch} - (self.batches("items", True) & self.batches("refreshes", True)):
+            rows = dedup_batch(incoming.select(*BRONZE_COLS)).filter(F.col(KEY).isNotNull())
+            path = scratch_path(self.spark, "incoming")
+            rows.write.parquet(path)
+            rows = self.spark.read.schema(rows.schema).parquet(path)
             earlier = self.items().filter(F.col("batch") < batch)
             known = existing_keys(rows, earlier).withColumn("_known", F.lit(True))
             marked = rows.join(known, KEY, "left")
             new = marked.filter(F.col("_known").isNull()).withColumn(
                 "ingestion_time", instant(as_of))
-            added = Observation()
-            self.write_batch("items", new.observe(added, F.count(F.lit(1)).alias("new")), batch)
+            self.write_batch("items", new, batch)
             self.write_batch("refreshes", marked.filter(F.col("_known")), batch)
-        finally:
-            rows.unpersist()
-        return added.get["new"]
+            remove(self.spark, path)
+        return self.items().filter(F.col("batch") == batch).count()
 
     def fold_refreshes(self, batch: int) -> None:
-        """Rewrite the newest counts up to ``batch`` as that batch's refreshes.
+        """One row per item for the newest counts up to ``batch``, in place of all of those.
 
-        Older refreshes are then never the newest and can be removed by whoever owns the folder.
-        The rows go through the shared folder, as a table is not overwritten while it is read.
+        The folded rows are complete before the old folders go, the newest first.
         """
         folded = (self.read("refreshes").filter(F.col("batch") <= batch).groupBy(KEY)
                   .agg(F.max(F.struct("batch", *COUNT_COLS)).alias("newest"))
                   .select(KEY, *[f"newest.{c}" for c in COUNT_COLS]))
-        self.write_batch("refreshes", materialize(folded, "refreshes").table, batch)
+        fresh = f"{self.base}/_folded-{batch}"
+        folded.write.mode("overwrite").parquet(fresh)
+        self._switch(fresh, f"{self.path('refreshes')}/batch={batch}")
+        for old in self.batches("refreshes"):
+            if old < batch:
+                remove(self.spark, f"{self.path('refreshes')}/batch={old}")
 
     # ---- Silver ----
 
     def silver(self) -> DataFrame:
         return self.read("silver").drop("batch")
 
-    def pending(self, batch: int, catch_up: bool = False) -> DataFrame:
-        """The new items of ``batch``, or with ``catch_up`` every item up to it without a Silver row.
+    def without_silver(self, batch: int) -> set[int]:
+        """Earlier batches of which items may lack their Silver row."""
+        earlier = {n for n in self.batches("items") if n < batch}
+        return earlier - self.batches("silver", committed=True)
+
+    def pending(self, batch: int) -> DataFrame:
+        """Every item up to ``batch`` without a Silver row of an earlier batch.
 
-        A batch's items are new when they are written, so the run of a batch reads one folder and
-        joins nothing. Catching up looks at the Silver rows of earlier batches only, as those of
-        this batch are about to be replaced.
+        Where all earlier batches have their Silver, these are the batch's own items, and nothing
+        is joined. Otherwise the items of the batches that lack it are held against Silver too.
         """
-        items = self.items()
-        if not catch_up:
+        items, behind = self.items(), self.without_silver(batch)
+        if not behind:
             return items.filter(F.col("batch") == batch).drop("batch")
         done = self.read("silver").filter(F.col("batch") < batch)
-        return not_in(items.filter(F.col("batch") <= batch), done).drop("batch")
+        return not_in(items.filter(F.col("batch").isin(batch, *behind)), done).drop("batch")
 
     def write_silver(self, rows: DataFrame, batch: int) -> None:
+        """Write a batch's Silver; batches that it caught up with get an empty folder of theirs."""
+        behind = self.without_silver(batch)
         self.write_batch("silver", rows, batch)
+        for earlier in sorted(behind):
+            self.write_batch("silver", rows.sparkSession.createDataFrame([], SILVER_SCHEMA),
+                             earlier)
 
     # ---- Gold ----
 
@@ -167,7 +220,8 @@ class FeedStore:
         """Rebuild Gold by day: all days, or with ``batch`` the days that it touched.
 
         Days are replaced when the job commits, so a failed run leaves the old ones in place. A
-        day with very many items is written by several tasks.
+        full rebuild replaces the whole table, days without rows included. A day with very many
+        items is written by several tasks.
         """
         silver, days = self.silver(), None
         if batch is not None:
@@ -175,9 +229,13 @@ class FeedStore:
             silver = on_days(silver, days)
         gold = gold_items(silver, self.current_counts(days)).withColumn(
             GOLD_DAY, F.to_date("created_at"))
-        (gold.hint("rebalance", GOLD_DAY).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(GOLD_DAY)
-         .parquet(self.path("gold")))
+        writer = gold.hint("rebalance", GOLD_DAY).write.mode("overwrite").partitionBy(GOLD_DAY)
+        if batch is not None:
+            writer.option("partitionOverwriteMode", "dynamic").parquet(self.path("gold"))
+        else:
+            fresh = f"{self.base}/_gold"
+            writer.parquet(fresh)
+            self._switch(fresh, self.path("gold"))
 
     # ---- looking at layers ----
 

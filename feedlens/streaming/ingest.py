@@ -1,7 +1,9 @@
 """The pipeline on a stream of arriving files.
 
 The stream only says which files are new, each once. What a file holds is read, merged and
-enriched by the same functions as in a batch run, under the micro-batch's own number.
+enriched by the same functions as in a batch run. The store gives each micro-batch a number for
+the pair of the stream's own id and the micro-batch's, so streams, lost checkpoints and batch runs
+never meet in one folder.
 """
 
 from __future__ import annotations
@@ -32,12 +34,16 @@ def run_stream(store: FeedStore, folder: str, config: FeedConfig, as_of: datetim
                files_per_batch: int = 1000) -> StreamingQuery:
     """Take in every file that is there and stop; the next call goes on after it.
 
-    Without ``using`` only Bronze is filled. A micro-batch that failed half-way is run again
-    under the same number and replaces what it wrote.
+    Without ``using`` only Bronze is filled; a later run with it catches up. A micro-batch that
+    failed half-way is run again under the same number and goes on with what it lacks.
     """
     store.create()
 
-    def take_in(files: DataFrame, batch: int) -> None:
+    def take_in(files: DataFrame, micro_batch: int) -> None:
+        stream = files.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("a micro-batch runs inside a streaming query")
+        batch = store.claim(f"{stream}/{micro_batch}")
         # At most files_per_batch names; a micro-batch knows them on the driver anyway.
         paths = sorted(row["path"] for row in files.collect())
         incoming = normalize(read_paths(store.spark, paths), config, as_of)

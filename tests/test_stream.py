@@ -85,5 +85,44 @@ def test_stream_through_all_layers(spark, tmp_path):
     assert table(store.gold(), *columns) == want
     # The last micro-batch again, as after a failure before its commit.
     again = normalize(read_paths(spark, [str(drop / "2.json")]), CONFIG, NOW)
-    assert run_all(store, again, using, 1, NOW) == 1
+    run = store.read("runs").filter("batch = 1").first()["run"]
+    assert run_all(store, again, using, NOW, run) == 1
     assert table(store.gold(), *columns) == want
+
+
+def test_batch_and_streams_share_a_store(spark, feed, tmp_path):
+    """A batch run, a stream, the stream with a lost checkpoint, and a batch run again."""
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    store = FeedStore(spark, str(tmp_path / "store")).create()
+    using = small_enrichment(spark)
+    first = feed(row("a", 1), row("b", 1))
+
+    def stream(progress):
+        run_stream(store, str(drop), CONFIG, NOW, str(tmp_path / progress), using).awaitTermination()
+
+    assert run_all(store, first, using, NOW) == 2
+    put(drop, "1.json", row("z", 3))
+    stream("progress")
+    assert [r[0] for r in table(store.gold(), "item_id")] == ["a", "b", "z"]
+    put(drop, "2.json", row("y", 4), row("a", 8))
+    stream("other progress")
+    assert run_all(store, first, using, NOW) == 0
+    columns = ("item_id", "engagement")
+    assert table(store.gold(), *columns) == [("a", 1), ("b", 1), ("y", 4), ("z", 3)]
+    assert table(store.bronze(), "item_id", "reactions") == table(store.gold(), *columns)
+    assert len(store.batches("runs")) == len(store.batches("items")) == 4
+
+
+def test_items_of_a_bronze_only_stream_are_enriched_later(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    store = FeedStore(spark, str(tmp_path / "store"))
+    progress = str(tmp_path / "progress")
+    put(drop, "1.json", row("a", 1), row("b", 1))
+    run_stream(store, str(drop), CONFIG, NOW, progress).awaitTermination()
+    put(drop, "2.json", row("c", 1))
+    run_stream(store, str(drop), CONFIG, NOW, progress, small_enrichment(spark)).awaitTermination()
+    assert [r[0] for r in table(store.silver(), "item_id")] == ["a", "b", "c"]
+    assert [r[0] for r in table(store.gold(), "item_id")] == ["a", "b", "c"]
+    assert not store.without_silver(9)

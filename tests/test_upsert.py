@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from conftest import at, table
 from pyspark.sql import functions as F
 
@@ -127,7 +128,63 @@ def test_pending_items(spark, feed, tmp_path):
     store = FeedStore(spark, str(tmp_path)).create()
     store.upsert(feed({"item_id": "a"}), 0, DAY1)
     store.upsert(feed({"item_id": "a"}, {"item_id": "b"}), 1, DAY1)
-    assert table(store.pending(1), "item_id") == [("b",)]
-    assert table(store.pending(1, catch_up=True), "item_id") == [("a",), ("b",)]
+    assert store.without_silver(1) == {0}
+    assert table(store.pending(1), "item_id") == [("a",), ("b",)]
     store.write_silver(silver_rows(spark, {"item_id": "a"}), 0)
-    assert table(store.pending(1, catch_up=True), "item_id") == [("b",)]
+    assert table(store.pending(1), "item_id") == [("b",)]
+    assert "Join" not in store.pending(1)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_catching_up_is_remembered(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed({"item_id": "a"}), 0, DAY1)
+    store.upsert(feed({"item_id": "b"}), 1, DAY1)
+    store.write_silver(silver_rows(spark, {"item_id": "a"}, {"item_id": "b"}), 1)
+    assert store.without_silver(2) == set()
+    assert table(store.pending(2), "item_id") == []
+
+
+def test_numbers_belong_to_runs(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    assert [store.claim(run) for run in ("x", "y", "x", "z")] == [0, 1, 0, 2]
+    store.upsert(feed({"item_id": "a"}), 7, DAY1)
+    assert store.claim("after a numbered batch") == 8
+
+
+def test_a_run_that_failed_half_way_goes_on(spark, feed, tmp_path, monkeypatch):
+    """Items are committed, refreshes are not; the items stay readable all the time."""
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed({"item_id": "a"}), 0, DAY1)
+    batch = feed({"item_id": "a", "reactions": 5}, {"item_id": "b"})
+    write = FeedStore.write_batch
+
+    def failing(self, part, rows, number):
+        if part == "refreshes":
+            raise OSError("lost")
+        write(self, part, rows, number)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(FeedStore, "write_batch", failing)
+        with pytest.raises(OSError, match="lost"):
+            store.upsert(batch, 1, DAY1)
+    files = set(store.items().inputFiles())
+    assert table(store.items(), "item_id") == [("a",), ("b",)]
+    assert store.upsert(batch, 1, DAY1) == 1
+    assert set(store.items().inputFiles()) == files
+    assert table(store.bronze(), "item_id", "reactions") == [("a", 5), ("b", 0)]
+
+
+def test_folding_leaves_one_folder_and_a_rebuild_drops_old_days(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    for number in range(3):
+        store.upsert(feed({"item_id": "a", "reactions": number}), number, DAY1)
+    store.fold_refreshes(2)
+    assert store.batches("refreshes") == {2} and store.read("refreshes").count() == 1
+    assert table(store.bronze(), "item_id", "reactions") == [("a", 2)]
+    stale = spark.createDataFrame([("old", DAY2)], "item_id STRING, created_at TIMESTAMP")
+    (store.gold().unionByName(stale, allowMissingColumns=True)
+     .withColumn("created_day", F.to_date("created_at")).write.mode("append")
+     .partitionBy("created_day").parquet(store.path("gold")))
+    store.write_silver(silver_rows(spark, {"item_id": "a", "created_at": DAY1}), 2)
+    store.write_gold()
+    assert table(store.gold(), "item_id") == [("a",)]
