@@ -73,7 +73,7 @@ FROM (
          IF(turn = 0, 'post', 'comment'), IF(turn <> 0, concat('conv:', conv_id, ':0'), NULL),
          role, text, NULL, 0, NULL, 'linkedin_api'
   FROM {{conversations}})
-JOIN {{events}} USING (event_id)"""
+LEFT JOIN {{events}} USING (event_id)"""
 
 
 @cache
@@ -128,11 +128,11 @@ def language_model(spark: SparkSession, sf_dir: str):
 
 
 def label_terms(spark: SparkSession, sf_dir: str, labels: tuple[str, ...]) -> DataFrame:
-    """Each benchmark passage lends its longer words to one label."""
+    """Each benchmark passage lends its words to one label."""
     return (table(spark, sf_dir, "benchmark")
             .select(choose(F.col("item_id"), labels).alias("label"),
                     F.explode(terms(F.col("text"))).alias("term"))
-            .filter(F.length("term") >= 8).distinct())
+            .distinct())
 
 
 def label_weights(spark: SparkSession, sf_dir: str, labels: tuple[str, ...]):
@@ -140,11 +140,16 @@ def label_weights(spark: SparkSession, sf_dir: str, labels: tuple[str, ...]):
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each benchmark passage names one thing by the three words that it opens with."""
-    words = F.array_join(F.slice(F.split(F.trim("text"), " +"), 1, 3), " ")
-    return table(spark, sf_dir, "benchmark").select(
-        words.alias("phrase"), choose(F.col("item_id"), ("speaker", "company", "location"))
-        .alias("kind"), F.concat(F.lit("Name "), F.col("item_id")).alias("name"))
+    """Each benchmark passage names many things: phrases of two to six of its words, every four
+    words one, through the whole passage."""
+    words = table(spark, sf_dir, "benchmark").select("item_id", terms(F.col("text")).alias("w"))
+    numbered = words.filter("size(w) > 0").select("item_id", "w", F.explode(F.expr(
+        "sequence(0L, CAST((size(w) - 1) div 4 AS BIGINT))")).alias("k"))
+    phrase = F.expr("array_join(slice(w, CAST(4 * k + 1 AS INT), CAST(2 + k % 5 AS INT)), ' ')")
+    return numbered.select(
+        phrase.alias("phrase"), choose(F.col("item_id") + F.col("k"),
+                                       ("speaker", "company", "location")).alias("kind"),
+        F.concat(F.lit("Name "), F.col("item_id"), F.lit("."), F.col("k")).alias("name"))
 
 
 def memory(spark: SparkSession, sf_dir: str) -> DataFrame:

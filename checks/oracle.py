@@ -52,7 +52,7 @@ feed AS (
          {choose("e.user_id", LOCATIONS)} AS location,
          CASE WHEN e.user_id % 3 <> 0 THEN 'Speaker ' || (e.user_id % 17) END AS speaker,
          CASE WHEN e.user_id % 3 <> 0 THEN 'Company ' || (e.user_id % 17) END AS company
-  FROM base b JOIN events e ON e.event_id = b.event_id)"""
+  FROM base b LEFT JOIN events e ON e.event_id = b.event_id)"""
 
 GOLD = FEED + """,
 gold AS (
@@ -321,7 +321,7 @@ ORDER BY item_id, text LIMIT 10""")
 
 
 def words(column: str) -> str:
-    return f"regexp_extract_all(lower(coalesce({column}, '')), '[a-zà-öø-ÿ]+')"
+    return f"regexp_extract_all(lower(coalesce({column}, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')"
 
 
 TOKENS = f"tokens AS (SELECT item_id, unnest({words('text')}) AS term FROM feed)"
@@ -339,8 +339,7 @@ lexicon AS (
                  ln((pos + 1) / (SELECT CAST(sum(pos) + count(*) AS BIGINT) FROM lex_counts))
                  - ln((neg + 1) / (SELECT CAST(sum(neg) + count(*) AS BIGINT) FROM lex_counts))
                )) AS BIGINT) AS weight
-        FROM lex_counts WHERE pos + neg >= 20)
-  WHERE abs(weight) >= 100)"""
+        FROM lex_counts))"""
 TONE = """
 tone AS (
   SELECT f.item_id, CAST(coalesce(sum(greatest(weight, 0)), 0) AS BIGINT) AS pos_score,
@@ -362,7 +361,7 @@ def listed(name: str, labels, default: str) -> str:
     return f"""
 {name}_terms AS (
   SELECT DISTINCT CAST(item_id % {len(labels)} AS INTEGER) AS slot, term
-  FROM (SELECT item_id, unnest({words('text')}) AS term FROM benchmark) WHERE length(term) >= 8),
+  FROM (SELECT item_id, unnest({words('text')}) AS term FROM benchmark)),
 {name}_hits AS (
   SELECT item_id, slot, count(*) AS n FROM tokens JOIN {name}_terms USING (term) GROUP BY 1, 2),
 {name}_best AS (
@@ -409,19 +408,19 @@ SELECT item_id, coalesce(lang, label) AS lang, text FROM feed JOIN lang_best USI
 
 ENTITIES = f"""
 gazetteer AS (
-  SELECT array_to_string({words("array_to_string(regexp_split_to_array(trim(text), ' +')[1:3], ' ')")}, ' ')
-           AS phrase, item_id % 3 AS kind, 'Name ' || item_id AS name
-  FROM benchmark),
+  SELECT array_to_string(w[4 * k + 1:4 * k + 2 + k % 5], ' ') AS phrase,
+         (item_id + k) % 3 AS kind, 'Name ' || item_id || '.' || k AS name
+  FROM (SELECT item_id, w, unnest(range(0, (len(w) + 3) // 4)) AS k
+        FROM (SELECT item_id, {words('text')} AS w FROM benchmark))),
 placed AS (
   SELECT item_id, unnest(w) AS term, unnest(generate_series(1, len(w))) AS pos
   FROM (SELECT item_id, {words('text')} AS w FROM feed)),
 windows AS (
-  SELECT item_id, pos, term AS w0, lead(term, 1) OVER o AS w1, lead(term, 2) OVER o AS w2
+  SELECT item_id, pos, term AS w0, {", ".join(f"lead(term, {i}) OVER o AS w{i}" for i in range(1, 6))}
   FROM placed WINDOW o AS (PARTITION BY item_id ORDER BY pos)),
 runs AS (
-  SELECT item_id, pos, 1 AS n, w0 AS phrase FROM windows
-  UNION ALL SELECT item_id, pos, 2, w0 || ' ' || w1 FROM windows
-  UNION ALL SELECT item_id, pos, 3, w0 || ' ' || w1 || ' ' || w2 FROM windows),
+  {" UNION ALL ".join(f"SELECT item_id, pos, {n} AS n, " + " || ' ' || ".join(f"w{i}" for i in range(n))
+                      + " AS phrase FROM windows" for n in range(1, 7))}),
 ranked AS (
   SELECT item_id, kind, name,
          row_number() OVER (PARTITION BY item_id, kind ORDER BY pos, n DESC, name) AS r

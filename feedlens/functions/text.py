@@ -11,7 +11,7 @@ MENTION = (r"@\[([^\]]+)\]\(urn:li:[^)]+\)", "@$1")
 ESCAPED = (r"\\([\\()\[\]{}@#*_~<>|])", "$1")
 # ---- end of fixed values ------------------------------------------------------------------------
 
-LETTERS = "[a-zà-öø-ÿ]+"
+TERM = r"[\p{L}\p{M}\p{N}]+"
 WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
@@ -33,8 +33,11 @@ def clean_markup(text: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Lower-case runs of letters, in order; empty for null."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(LETTERS), F.lit(0))
+    """Lower-case runs of letters, marks and digits of any script, in order; empty for null.
+
+    An apostrophe parts terms, so "I'm" has two. Accents written as marks stay in their term.
+    """
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
 
 
 def phrase_key(text: Column) -> Column:

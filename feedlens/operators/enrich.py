@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.actions import DEFAULT_RULES, Rule, parse_reply, suggest_action
-from feedlens.operators.entities import LONGEST_PHRASE, match_entities, prepare_gazetteer
+from feedlens.operators.entities import Gazetteer, match_entities, prepare_gazetteer
 from feedlens.operators.scoring import CombinedWeights, TermWeights, best_label, combine, \
     score_items
 from feedlens.operators.sentiment import lexicon_weights, sentiment_of
@@ -29,10 +29,9 @@ class Enrichment:
     topics: tuple[str, ...]
     themes: tuple[str, ...]
     languages: tuple[str, ...]
-    gazetteer: Measured
+    gazetteer: Gazetteer
     memory: Measured
     rules: tuple[Rule, ...] = DEFAULT_RULES
-    longest_phrase: int = LONGEST_PHRASE
     reply: Callable[[DataFrame], DataFrame] | None = None
 
 
@@ -54,7 +53,7 @@ def enrich(items: DataFrame, using: Enrichment) -> DataFrame:
     the reply, otherwise from the rules.
     """
     scores = score_items(items, using.weights)
-    entities = match_entities(items, using.gazetteer, using.longest_phrase)
+    entities = match_entities(items, using.gazetteer)
     labelled = (
         items.join(scores, "item_id", "left").join(entities, "item_id", "left")
         .withColumns({

@@ -6,33 +6,50 @@ gazetteer lists and nothing else.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import phrase_key, runs_from, terms, word_windows
 from feedlens.schema import ENTITY_KINDS
-from feedlens.session import BROADCAST_BYTES, Measured, materialize, spread
+from feedlens.session import BROADCAST_BYTES, Measured, materialize
+
+
+@dataclass(frozen=True)
+class Gazetteer(Measured):
+    """A stored gazetteer, the words in its longest phrase, and the rows left out of it."""
 
-LONGEST_PHRASE = 3
+    longest: int
+    rejected: int
 
 
-def prepare_gazetteer(gazetteer: DataFrame) -> Measured:
-    """``phrase``, ``kind`` and ``name`` with phrases in matching form, each row once."""
-    return materialize(
-        gazetteer.select(phrase_key(F.col("phrase")).alias("phrase"), "kind", "name")
-        .filter(F.col("phrase") != "").distinct(), "gazetteer")
+def prepare_gazetteer(gazetteer: DataFrame) -> Gazetteer:
+    """``phrase``, ``kind`` and ``name`` with phrases in matching form, each row once.
+
+    Rows whose phrase has no term cannot be matched; they are left out and counted.
+    """
+    keyed = materialize(gazetteer.select(phrase_key(F.col("phrase")).alias("phrase"), "kind",
+                                         "name"), "gazetteer")
+    usable = F.col("phrase") != ""
+    found = keyed.table.agg(
+        F.max(F.when(usable, F.size(F.split("phrase", " ")))).alias("longest"),
+        F.count_if(~usable).alias("rejected")).first()
+    return Gazetteer(keyed.table.filter(usable).distinct(), keyed.bytes, found["longest"] or 1,
+                     found["rejected"])
 
 
-def match_entities(items: DataFrame, gazetteer: Measured, longest: int = LONGEST_PHRASE,
+def match_entities(items: DataFrame, gazetteer: Gazetteer,
                    limit: int = BROADCAST_BYTES) -> DataFrame:
     """``item_id`` and one column per kind, for the items that name anything.
 
     The earliest phrase of a kind wins, then the longest, then the smaller name. ``gazetteer`` is
-    a prepared one; ``longest`` is the number of words in its longest phrase. Phrases are only
-    put together where a gazetteer phrase can start; with a gazetteer too large to broadcast they
+    a prepared one, which knows the words of its longest phrase. Phrases are only put together
+    where a gazetteer phrase can start; with a gazetteer too large to broadcast they
     are joined with a shuffle, in which AQE cuts the partitions of hot phrases.
     """
-    windows = (spread(items.select("item_id", "text"), "item_id")
+    longest = gazetteer.longest
+    windows = (items
                .select("item_id", terms(F.col("text")).alias("words"))
                .select("item_id", F.posexplode(word_windows(F.col("words"), longest)))
                .select("item_id", "pos", "col.*"))

@@ -23,6 +23,7 @@ def infer(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]]
         for batch in batches:
             yield reply(batch)
 
+    answer = answer.asNondeterministic()  # else a filter on the reply asks the model once more
     if partitions is not None:
         items = items.repartition(partitions)
     return items.withColumn(column, answer(F.concat(F.lit(prompt), F.col("text"))))

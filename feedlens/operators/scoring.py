@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import terms
-from feedlens.session import BROADCAST_BYTES, Measured, materialize, spread
+from feedlens.session import BROADCAST_BYTES, Measured, materialize
 
 ONCE = ""
 
@@ -70,7 +70,7 @@ def score_items(items: DataFrame, weights: CombinedWeights,
     adds them up before the only shuffle. Weights too large for that are joined by term; then an
     item's equal terms are counted first, and AQE cuts the partitions of hot terms.
     """
-    rows = item_terms(spread(items.select("item_id", "text"), "item_id"))
+    rows = item_terms(items)
     table = weights.stored.table
     if weights.stored.fits(limit):
         hits = rows.join(F.broadcast(table), "term", "left")

@@ -11,22 +11,22 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.text import terms
 from feedlens.operators.scoring import TermWeights, combine, score_items
-from feedlens.session import materialize, spread
+from feedlens.session import materialize
 
 POLARITY = ("positive", "negative")
 MIXED_PERCENT = 80
 
 
-def learn_lexicon(rated: DataFrame, min_support: int = 20, min_weight: int = 100,
+def learn_lexicon(rated: DataFrame, min_support: int = 1, min_weight: int = 0,
                   smoothing: int = 1) -> DataFrame:
     """``term`` and ``weight`` from rows of ``text`` and ``rating`` (positive or negative).
 
-    The weight is 1000 times the smoothed log-odds of the term, rounded. Terms seen less than
-    ``min_support`` times, or with a weight below ``min_weight`` either way, are left out.
+    The weight is 1000 times the smoothed log-odds of the term, rounded. Every term is kept unless
+    the caller leaves out those seen less than ``min_support`` times, or with a weight below
+    ``min_weight`` either way.
     """
     counts = materialize(
-        spread(rated.select("rating", "text"), "text")
-        .select("rating", F.explode(terms(F.col("text"))).alias("term"))
+        rated.select("rating", F.explode(terms(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count_if(F.col("rating") == "positive").alias("pos"),
              F.count_if(F.col("rating") == "negative").alias("neg")), "lexicon").table

@@ -25,15 +25,16 @@ def is_english() -> Column:
 def translate(items: DataFrame, memory: DataFrame | Measured, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``items`` with ``text_en``: English as it is, the rest from the memory or null.
 
-    ``memory`` has ``lang``, ``text_hash`` and ``text_en``, one row per text and none in English.
+    ``memory`` has ``lang``, ``text_hash`` and ``text_en``; of several translations of one text the
+    smallest counts, and rows in English are not used.
     English items look up their own key, which is never found, so that copies of one English
     text do not meet in one task.
     """
     keyed = items.withColumn(
         "text_hash", F.when(is_english(), F.col("item_id")).otherwise(text_hash(F.col("text"))))
     memory = measured(memory)
-    known = memory.table.filter(F.col("lang") != "en").select(
-        *MEMORY_KEY, F.col("text_en").alias("_found"))
+    known = (memory.table.filter(F.col("lang") != "en").groupBy(*MEMORY_KEY)
+             .agg(F.min("text_en").alias("_found")))
     return (lookup_join(keyed, Measured(known, memory.bytes), MEMORY_KEY, "left", limit)
             .withColumn("text_en", F.when(is_english(), F.col("text")).otherwise(F.col("_found")))
             .drop("_found", "text_hash").select(*items.columns, "text_en"))

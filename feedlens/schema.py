@@ -29,6 +29,10 @@ GOLD_COLS = ("item_id", "item_type", "parent_id", "created_at", "sentiment", "to
              "speaker", "company", "location", "engagement", "author_headline", "text_en",
              "original_text", "action_bucket", "recommended_action", "url", "source")
 
+# What a raw row without these values gets.
+BRONZE_DEFAULTS = {"item_type": "post", "source": "file", "reactions": 0, "comments": 0,
+                   "reposts": 0}
+
 ITEM_TYPES = ("post", "comment")
 SENTIMENTS = ("positive", "negative", "neutral", "mixed")
 TOPICS = ("session praise", "session complaint", "logistics", "networking & hiring",

@@ -9,14 +9,12 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 from functools import cache
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 192 << 20
-SCAN_BYTES = 128 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -122,27 +120,6 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-@cache
-def _bytes_of(spark: SparkSession, files: tuple[str, ...]) -> int:
-    paths = [literal_path(unquote(f)) for f in files]
-    listed = spark.read.format("binaryFile").load(paths)
-    return listed.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
-
-
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a few small input files over all cores, for work that is heavy per row.
-
-    Only where there are fewer files than cores and less than one ordinary scan task of data per
-    core, so that large data is not shuffled for this.
-    """
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = rows.inputFiles()
-    if 0 < len(files) < cores and _bytes_of(spark, tuple(sorted(files))) < cores * SCAN_BYTES:
-        return rows.repartition(2 * cores, *keys)
-    return rows
-
-
 def lookup_join(rows: DataFrame, lookup: DataFrame | Measured, on: list[str], how: str = "inner",
                 limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join many rows to a look-up table whose keys may be hot in ``rows``.

@@ -61,7 +61,7 @@ def flatten_posts(pages: DataFrame, config: FeedConfig) -> DataFrame:
 
 
 def flatten_comments(pages: DataFrame) -> DataFrame:
-    """One row per comment with text."""
+    """One row per comment with text; without any id it gets the key that a file row would get."""
     c = "c."
     return (pages.select("post_id", F.explode("elements").alias("c"))
             .select(
@@ -69,6 +69,7 @@ def flatten_comments(pages: DataFrame) -> DataFrame:
                            F.concat("post_id", F.lit("#comment:"), F.coalesce(
                                F.col(c + "id"),
                                surrogate_key(F.col(c + "actor"), F.col(c + "message.text")))),
+                           surrogate_key(F.col(c + "actor"), F.col(c + "message.text")),
                            ).alias("item_id"),
                 F.col("post_id").alias("parent_id"), F.col(c + "actor").alias("author"),
                 clean_markup(F.col(c + "message.text")).alias("text"),

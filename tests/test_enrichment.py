@@ -93,6 +93,43 @@ def test_entities_earliest_then_longest_then_smallest(spark, limit):
         ("i0", "Bob", "Acme", "WTC"), ("i2", None, None, "Trade")]
 
 
+def test_names_of_any_script_and_length(spark):
+    names = [("3M", "company"), ("22@", "location"), ("Łódź", "location"), ("Москва", "location"),
+             ("Bank of New York Mellon", "company"), ("Bank", "company"), ("!!", "speaker")]
+    gazetteer = prepare_gazetteer(spark.createDataFrame(
+        [(n, k, n) for n, k in names], "phrase STRING, kind STRING, name STRING"))
+    assert (gazetteer.longest, gazetteer.rejected) == (5, 1)
+    rows = items(spark, "I'm here, m", "at 3M in 22@", "w Łódź", "в москва", "the bank OF new york "
+                 "mellon", "L\u0301odz")
+    assert table(match_entities(rows, gazetteer)) == [
+        ("i1", None, "3M", "22@"), ("i2", None, None, "Łódź"), ("i3", None, None, "Москва"),
+        ("i4", None, "Bank of New York Mellon", None)]
+
+
+def test_lexicon_keeps_every_term_by_default(spark):
+    rated = spark.createDataFrame([("positive", "a b"), ("negative", "c")],
+                                  "rating STRING, text STRING")
+    assert {r[0] for r in table(learn_lexicon(rated))} == {"a", "b", "c"}
+
+
+def test_two_translations_of_one_text_do_not_double_an_item(spark):
+    rows = items(spark, "hola", lang="es")
+    memory = spark.createDataFrame([("es", "hola", "hi"), ("es", "hola", "hello")],
+                                   "lang STRING, text STRING, text_en STRING").select(
+        "lang", text_hash(F.col("text")).alias("text_hash"), "text_en")
+    assert table(translate(rows, memory), "item_id", "text_en") == [("i0", "hello")]
+
+
+def test_a_filter_on_the_reply_asks_the_model_once(spark):
+    from feedlens.functions.actions import parse_reply
+    from feedlens.operators.infer import infer
+
+    replies = infer(items(spark, "a", "b"), lambda: lambda prompts: prompts)
+    bucket, _ = parse_reply(F.col("reply"))
+    kept = replies.withColumn("bucket", bucket).filter("bucket IS NULL")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_translation_memory(spark, limit):
     rows = (items(spark, "hello", "hola", lang="en").withColumn(

@@ -2,8 +2,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from feedlens.session import (Measured, literal_path, lookup_join, materialize, measured, scratch_path,
-                              shared_dir, spread)
+from feedlens.session import (Measured, lookup_join, materialize, measured, scratch_path,
+                              shared_dir)
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -42,13 +42,3 @@ def test_lookup_is_broadcast_by_its_measured_size(spark):
         plan = joined._jdf.queryExecution().analyzed().toString()
         assert ("broadcast" in plan) == hinted
         assert joined.count() == 5
-
-
-def test_only_tables_of_few_files_are_spread(spark, tmp_path):
-    few, many = str(tmp_path / "few [1] files"), str(tmp_path / "many")
-    spark.range(100).coalesce(1).write.parquet(few)
-    spark.range(100).repartition(20).write.parquet(many)
-    assert "Repartition" in spread(spark.read.parquet(literal_path(few)))._jdf.queryExecution().logical() \
-        .toString()
-    table = spark.read.parquet(many)
-    assert spread(table) is table
