@@ -305,7 +305,7 @@ on_gold("gold_table", f"""
 SELECT * REPLACE (CASE WHEN created_at < {SPLIT} THEN engagement ELSE 0 END AS engagement)
 FROM gold""")
 on_feed("bronze_preview", f"""
-SELECT {BRONZE_COLS}, {SPLIT} AS ingestion_time FROM feed WHERE created_at < {SPLIT}
+SELECT {BRONZE_COLS}, {AS_OF} AS ingestion_time FROM feed
 ORDER BY created_at DESC, item_id LIMIT 50""")
 on_gold("silver_preview", """
 SELECT g.item_id, g.item_type, g.parent_id, g.created_at, g.author_headline, f.lang, g.source,
@@ -402,6 +402,13 @@ lang_best AS (
 on_feed("classify_terms", "SELECT item_id, topic AS label FROM topic_best", TOKENS,
         listed("topic", TOPICS, "general chatter"))
 on_feed("classify_bayes", "SELECT * FROM lang_best", TOKENS, BAYES)
+on_feed("classify_bayes_held_out", """
+SELECT f.item_id, label, f.lang FROM lang_best JOIN feed f USING (item_id)
+WHERE item_id LIKE 'doc:%' AND TRY_CAST(substr(item_id, 5) AS BIGINT) % 2 = 1""", TOKENS,
+        BAYES.replace("FROM documents)", "FROM documents WHERE doc_id % 2 = 0)")
+        .replace("FROM documents),", "FROM documents WHERE doc_id % 2 = 0),")
+        .replace("FROM documents GROUP", "FROM documents WHERE doc_id % 2 = 0 GROUP")
+        .replace("\n  FROM documents)", "\n  FROM documents WHERE doc_id % 2 = 0)"))
 on_feed("detect_language", """
 SELECT item_id, coalesce(lang, label) AS lang, text FROM feed JOIN lang_best USING (item_id)""",
         TOKENS, BAYES)
@@ -500,6 +507,9 @@ SELECT item_id, item_type, parent_id, created_at, sentiment, topic, theme, speak
        text_en, text AS original_text, action_bucket, recommended_action, url, source
 FROM enriched"""
 
+ORACLE["two_batches_all_layers"] = ORACLE["stream_all_layers"] = ORACLE["all_layers"]
+ORACLE["mixed_runs"] = ORACLE["stream_upsert"]
+
 # ---- quality ------------------------------------------------------------------------------------
 
 on_feed("quality_check", """

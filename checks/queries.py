@@ -10,7 +10,7 @@ from feedlens.functions.actions import parse_reply, suggest_action
 from feedlens.functions.identity import surrogate_key
 from feedlens.functions.text import clean_markup
 from feedlens.functions.times import instant
-from feedlens.operators.classify import classify, fill_language
+from feedlens.operators.classify import classify, fill_language, learn_bayes
 from feedlens.operators.enrich import enrich
 from feedlens.operators.entities import match_entities, prepare_gazetteer
 from feedlens.operators.gold import gold_items
@@ -139,6 +139,13 @@ def drop_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder + "/{json,csv}"
 
 
+def dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed with what the files of ``drop_folder`` hold."""
+    rows = raw_rows(spark, sf_dir)
+    return rows.withColumns({name: F.when(F.col("source").isNotNull(), F.col(name))
+                             for name in ("lang", "url", "author_headline")})
+
+
 @query
 def read_files(spark, sf_dir):
     return read_drop(spark, drop_folder(spark, sf_dir)).select(
@@ -277,7 +284,9 @@ def store_upsert(spark, sf_dir):
 
 @query
 def bronze_preview(spark, sf_dir):
-    return metrics.newest(stored(spark, sf_dir), 50)
+    store = FeedStore(spark, scratch_path(spark, "store")).create()
+    run_bronze(store, fx.bronze(spark, sf_dir), 0, fx.AS_OF)
+    return store.preview("bronze")
 
 
 @query
@@ -318,6 +327,47 @@ def stream_upsert(spark, sf_dir):
     return store.bronze()
 
 
+@query
+def mixed_runs(spark, sf_dir):
+    """One store: a batch of some files, a stream over all of them, and the batch once more."""
+    base = scratch_path(spark, "mixed")
+    rows = raw_rows(spark, sf_dir)
+    write_json(rows.repartition(4, "item_id"), f"{base}/drop")
+    store = FeedStore(spark, f"{base}/store").create()
+    part = normalize(rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(3)) == 0), CONFIG, fx.AS_OF)
+    run_bronze(store, part, store.claim("first"), fx.AS_OF)
+    run_stream(store, f"{base}/drop", CONFIG, fx.AS_OF, f"{base}/progress",
+               files_per_batch=2).awaitTermination()
+    run_bronze(store, part, store.claim("again"), fx.AS_OF)
+    return store.bronze()
+
+
+@query
+def stream_all_layers(spark, sf_dir):
+    """Some files as a stream that fills Bronze only, the others with enrichment, in more than
+    one micro-batch; the second catches up."""
+    base = scratch_path(spark, "stream")
+    rows = dropped_rows(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(2)))
+    store, using = FeedStore(spark, f"{base}/store"), fx.enrichment(spark, sf_dir)
+    for part, enrichment in ((0, None), (1, using)):
+        rows.filter(F.col("part") == part).drop("part").repartition(2, "item_id") \
+            .write.mode("append").json(f"{base}/drop")
+        run_stream(store, f"{base}/drop", CONFIG, fx.AS_OF, f"{base}/progress", enrichment,
+                   files_per_batch=1).awaitTermination()
+    return store.gold()
+
+
+@query
+def two_batches_all_layers(spark, sf_dir):
+    """Two batches through all layers."""
+    store = FeedStore(spark, scratch_path(spark, "run")).create()
+    rows, using = dropped_rows(spark, sf_dir), fx.enrichment(spark, sf_dir)
+    half = F.pmod(F.xxhash64("item_id"), F.lit(2))
+    for part in (0, 1):
+        run_all(store, normalize(rows.filter(half == part), CONFIG, fx.AS_OF), using, fx.AS_OF)
+    return store.gold()
+
+
 # ---- enrichment ---------------------------------------------------------------------------------
 
 @query
@@ -341,6 +391,16 @@ def classify_bayes(spark, sf_dir):
     return classify(fx.bronze(spark, sf_dir), fx.language_model(spark, sf_dir))
 
 
+@query
+def classify_bayes_held_out(spark, sf_dir):
+    """Learned on the documents of even id, applied to those of odd id."""
+    docs = fx.table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("doc:"), "doc_id").alias("item_id"), "text", "lang")
+    even, odd = (docs.filter(F.col("doc_id") % 2 == i) for i in (0, 1))
+    model = learn_bayes(even.withColumn("label", F.col("lang")), fx.LANGUAGES)
+    return classify(odd, model).join(odd.select("item_id", "lang"), "item_id")
+
+
 @query
 def detect_language(spark, sf_dir):
     return fill_language(fx.bronze(spark, sf_dir), fx.language_model(spark, sf_dir)).select(
