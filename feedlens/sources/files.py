@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlens.schema import RAW_SCHEMA
-from feedlens.session import literal_path
+from feedlens.session import Measured, literal_path, lookup_join, materialize
 
 JSON_SUFFIXES = (".json", ".jsonl")
 CSV_SUFFIX = ".csv"
@@ -28,28 +30,43 @@ def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).json(paths)
 
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> Measured:
+    """``file`` and ``header``, the first line of each CSV file that has one; one pass for all."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"))
+    return materialize(lines.filter(F.col("start") == 0).groupBy("file")
+                       .agg(F.min_by("value", "line").alias("header")), "headers")
+
+
 def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """CSV files by column name, in any order; missing columns are null, others are left out.
 
-    A CSV scan with a fixed schema goes by position, so files are grouped by their header first,
-    which reads one row of each file, and each group is one scan.
+    A CSV scan goes by position. All files are one scan of as many columns as the widest has, and
+    each row picks its columns by the header of its file; only distinct headers reach the driver.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-        if header:
-            by_header.setdefault(header, []).append(path)
-    parts = []
-    for header, group in by_header.items():
-        rows = (spark.read.options(**CSV_OPTIONS, enforceSchema=True)
-                .schema(", ".join(f"`{c.replace('`', '``')}` STRING" for c in header)).csv(group))
-        known = {c.strip().lower(): c for c in header}
-        parts.append(rows.select(*[
-            F.expr(f"try_cast(`{known[f.name].replace('`', '``')}` AS {f.dataType.simpleString()})")
-             .alias(f.name)
-            if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in RAW_SCHEMA]))
-    return union_parts(spark, parts)
+    headers = csv_headers(spark, paths)
+    found = [r["header"] for r in headers.table.select("header").distinct().collect()]
+    named = {line: [c.strip().lower() for c in next(csv.reader([line.lstrip("\ufeff")]), [])]
+             for line in found}
+    width = max(map(len, named.values()), default=0)
+    if not width:
+        return spark.createDataFrame([], RAW_SCHEMA)
+    cells = (spark.read.options(**CSV_OPTIONS, enforceSchema=True)
+             .schema(", ".join(f"c{i} STRING" for i in range(width))).csv(paths)
+             .withColumn("file", F.col("_metadata.file_path")))
+    rows = lookup_join(cells, headers, ["file"])
+
+    def column(field: T.StructField) -> Column:
+        value = F.lit(None).cast("string")
+        for line, names in named.items():
+            if field.name in names:
+                cell = F.col(f"c{names.index(field.name)}")
+                value = F.when(F.col("header") == line, cell).otherwise(value)
+        return value.try_cast(field.dataType).alias(field.name)
+
+    return rows.select(*[column(f) for f in RAW_SCHEMA])
 
 
 def union_parts(spark: SparkSession, parts: Iterable[DataFrame]) -> DataFrame:
@@ -64,12 +81,12 @@ def read_paths(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Raw rows of the given files, each read by its suffix; other files are left out."""
     paths = list(paths)
     json = [literal_path(p) for p in paths if p.endswith(JSON_SUFFIXES)]
-    csv = [literal_path(p) for p in paths if p.endswith(CSV_SUFFIX)]
+    tables = [literal_path(p) for p in paths if p.endswith(CSV_SUFFIX)]
     parts = []
     if json:
         parts.append(read_json(spark, json))
-    if csv:
-        parts.append(read_csv(spark, csv))
+    if tables:
+        parts.append(read_csv(spark, tables))
     return union_parts(spark, parts)
 
 

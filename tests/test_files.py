@@ -42,6 +42,23 @@ def test_csv_by_name_in_any_order(spark, tmp_path):
         (None, 'hello, "you"\nthere', "sample", None), (None, "only text", None, None)]
 
 
+def test_many_csv_files_take_a_fixed_number_of_jobs(spark, tmp_path):
+    headers = ("text,item_id", "item_id,text,extra", "TEXT ,lang,item_id")
+    values = {0: "t{0},{0}", 1: "{0},t{0},x", 2: "t{0},en,{0}"}
+    jobs = {}
+    for count in (40, 80):
+        folder = tmp_path / str(count)
+        folder.mkdir()
+        for k in range(count):
+            (folder / f"{k}.csv").write_text(f"{headers[k % 3]}\n{values[k % 3].format(k)}\n")
+        spark.sparkContext.setJobGroup(f"csv-{count}", "reading")
+        rows = read_drop(spark, str(folder))
+        assert table(rows, "item_id", "text") == sorted((str(k), f"t{k}") for k in range(count))
+        jobs[count] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"csv-{count}"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[80] <= jobs[40] + 1
+
+
 def test_json_and_csv_together_other_files_left_out(spark, tmp_path):
     folder = drop(tmp_path, a__json='{"text": "j"}', b__csv="text\nc\n", c__txt="text\nt\n",
                   d__CSV="text\nupper\n")
