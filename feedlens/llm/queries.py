@@ -9,11 +9,13 @@ from feedlens.llm.lm_scoring import op7_lm_scores
 from feedlens.llm.near_dedup import op10_near_duplicates
 from feedlens.llm.packing import op3_packing
 from feedlens.llm.quality import op5_quality
+from feedlens.llm.resample import SQL as RESAMPLE_SQL
+from feedlens.llm.resample import op11_resample
 from feedlens.llm.secrets import op8_secret_scan
 from feedlens.llm.sharding import op9_sharding
 from feedlens.llm.subwords import op4_token_counts
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_decontamination, op3_packing, op4_token_counts, op5_quality,
-    op6_html_text, op7_lm_scores, op8_secret_scan, op9_sharding, op10_near_duplicates)}
-ORACLE: dict[str, str] = {}
+    op6_html_text, op7_lm_scores, op8_secret_scan, op9_sharding, op10_near_duplicates, op11_resample)}
+ORACLE: dict[str, str] = {"op11_resample": RESAMPLE_SQL}
