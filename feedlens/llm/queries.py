@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from feedlens.llm.conversations import SQL as CONVERSATION_SQL
+from feedlens.llm.conversations import op13_conversation_repair
 from feedlens.llm.decontaminate import op2_decontamination
 from feedlens.llm.fingerprint import op1_fingerprints
 from feedlens.llm.html_text import op6_html_text
@@ -20,5 +22,6 @@ from feedlens.llm.subwords import op4_token_counts
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_decontamination, op3_packing, op4_token_counts, op5_quality,
     op6_html_text, op7_lm_scores, op8_secret_scan, op9_sharding, op10_near_duplicates, op11_resample,
-    op12_license_scan)}
-ORACLE: dict[str, str] = {"op11_resample": RESAMPLE_SQL, "op12_license_scan": LICENSE_SQL}
+    op12_license_scan, op13_conversation_repair)}
+ORACLE: dict[str, str] = {"op11_resample": RESAMPLE_SQL, "op12_license_scan": LICENSE_SQL,
+                          "op13_conversation_repair": CONVERSATION_SQL}
