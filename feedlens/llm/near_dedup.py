@@ -4,12 +4,11 @@ Under every permutation both the minimum and the maximum of a document's shingle
 signature of 80 values costs 40 hash evaluations per shingle. Bands of four values (the minimum
 and the maximum of two permutations) name the buckets in which candidates meet.
 
-Links between candidates are confirmed on the full shingle sets. A bucket never emits all its
-pairs: it compares one *pivot*, its most central member, with the others. Members that are not
-linked with the pivot can only be linked with members that share shingles which the pivot lacks,
-so they meet again in buckets named by those; buckets whose members are all connected are done.
-Buckets of at most ``SMALL`` members are compared at once, a bounded number of pairs per member;
-the bound grows with each round, in which ever fewer members remain, so that rounds are few.
+Links between candidates are confirmed on the full shingle sets. A small bucket tests its pairs at
+once. A larger one never emits its pairs: its members are measured against a *centre*, the shingles
+that most of a few members have. Members near it are linked with the nearest one by the triangle
+inequality, without a test, and any other link needs common differences from the centre; a prefix
+of each member's differences names the buckets in which such partners meet again (see ``_rooted``).
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import (WordCodes, discard, flat_batches, map_batches, mix64, read_table,
@@ -28,7 +27,7 @@ from feedlens.session import lookup_join, materialize
 SHINGLE = 5
 PERMUTATIONS = 40
 BANDS = 20
-SMALL, GROWTH = 16, 4
+SMALL, SAMPLED = 16, 9
 LOOKUP_BYTES = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20260101)
@@ -139,77 +138,95 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def _tested(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of pivot ``p`` and ``node`` held against each other on their full sets.
-
-    Adds ``linked``, and where others share the pivot (``wide``), ``added``: those shingles of
-    the node that the pivot lacks which a partner of the node must share (see ``_rooted``).
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Those pairs ``(a, b)`` that are linked, each held against the other on its full set."""
+    left = sets.select(F.col("node").alias("a"), F.col("names").alias("a_names"))
+    right = sets.select(F.col("node").alias("b"), F.col("names").alias("b_names"))
+    common = F.size(F.array_intersect("a_names", "b_names"))
+    joined = (pairs.join(left, "a").join(right, "b")
+              .select("a", "b", common.alias("common"),
+                      (F.size("a_names") + F.size("b_names")).alias("both")))
+    return (joined.filter(100 * F.col("common") >= threshold * (F.col("both") - F.col("common")))
+            .select("a", "b"))
+
+
+def _centres(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(bucket, centre)``: the shingles that more than half of up to ``SAMPLED`` members have."""
+    slot = F.pmod(F.xxhash64("node", "bucket"), F.lit(SAMPLED))
+    chosen = (groups.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("node"))
+              .join(sets, "node"))
+    listed = chosen.groupBy("bucket").agg(
+        F.sort_array(F.flatten(F.collect_list("names"))).alias("names"), F.count("*").alias("k"))
+    half = F.floor(F.col("k") / 2).cast("int")
+    often = F.filter("names", lambda x, i: F.get("names", i + half) == x)
+    return listed.select("bucket", F.array_distinct(often).alias("centre"))
+
+
+def _measured(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Members with their distance ``d`` from the bucket's centre, ``far`` and ``differs``.
+
+    ``far`` is G of ``_rooted``; ``differs`` holds the first shingles that either the member or the
+    centre has alone, no more than a prefix can need: ``within`` + 1, where ``within`` is the
+    largest difference that two linked sets can have.
     """
-    c = threshold / (100 + threshold)  # linked means: common >= c * (n + pn)
-    left = sets.select(F.col("node").alias("p"), F.col("names").alias("pivot_names"))
-    joined = pairs.join(left, "p").join(sets, "node")
-    common = F.size(F.array_intersect("names", "pivot_names"))
-    joined = joined.withColumn("common", common)
-    n, pn = F.col("n"), F.col("pn")
-    linked = (100 * F.col("common") >= threshold * (n + pn - F.col("common"))).alias("linked")
-    difference = n + pn - 2 * F.col("common")
-    smallest = F.ceil(n * (threshold / 100))  # a partner's size at least
-    shared = (difference - (1 - 2 * c) * (n + smallest) + smallest - pn) / 2
-    needed = F.greatest(F.lit(1), F.ceil(shared - 1e-6).cast("int"))
-    kept = F.when(F.col("wide"), F.array_except("names", "pivot_names"))
-    return joined.select("p", "node", "n", "pn", "central", "common", linked,
-                         (n - F.col("common") - needed + 1).alias("prefix"), kept.alias("added"))
-
-
-def _meeting_again(tested: DataFrame) -> DataFrame:
-    """Buckets ``(p, shingle)`` in which sets that are not linked with p meet their partners.
-
-    A set enters those of its ``prefix`` rarest shingles that p lacks; shingles that no other set
-    under p has use up places of the prefix, and name no bucket.
+    centres = materialize(_centres(groups, sets), "centres")
+    joined = lookup_join(groups.join(sets, "node"), centres, ["bucket"], limit=LOOKUP_BYTES)
+    own, lacking = F.array_except("names", "centre"), F.array_except("centre", "names")
+    n, total = F.col("n"), 100 + threshold
+    widest = F.floor(100 * n / threshold)  # a partner's size at most
+    within = F.floor((100 - threshold) * (n + widest) / total).cast("int")
+    return (joined.select("bucket", "node", "n", "central", F.concat(own, lacking).alias("all"),
+                          within.alias("within"))
+            .withColumn("d", F.size("all"))
+            .select("bucket", "node", "n", "central", "within", "d",
+                    (total * F.col("d") - (100 - threshold) * n).alias("far"),
+                    F.slice("all", 1, F.col("within") + 1).alias("differs")))
+
+
+def _around_centres(groups: DataFrame, sets: DataFrame,
+                    threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Links with each bucket's nearest member, and the members with their share in what is left.
+
+    The second table has ``rest`` (not linked with the nearest member) and ``prefix``, how many of
+    a member's ``differs`` are needed to meet all partners; no row of a bucket without a rest.
     """
-    lacking = tested.select("p", "node", "n", "central", "linked", "prefix",
-                            F.explode("added").alias("shingle"))
-    often = stored(lacking.groupBy("p", "shingle").agg(F.count("*").alias("sets"))
-                   .filter("sets > 1"), "often")
-    sizes = tested.filter("added IS NOT NULL").select(
-        "p", "node", "n", "central", "linked", "prefix", F.size("added").alias("total"))
-    shared = (lacking.select("p", "node", "shingle").join(often, ["p", "shingle"])
-              .groupBy("p", "node")
-              .agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("shared")))
-    places = F.col("prefix") - (F.col("total") - F.size("shared"))
-    entered = stored(sizes.join(shared, ["p", "node"]).filter(places > 0)
-                     .select("p", "node", "n", "central", "linked",
-                             F.explode(F.slice("shared.shingle", 1, places)).alias("shingle")),
-                     "entered")
-    open_ = stored(entered.groupBy("p", "shingle")
-                   .agg(F.count("*").alias("sets"), F.min("linked").alias("all_linked"))
-                   .filter("sets > 1 AND NOT all_linked").select("p", "shingle"), "open")
-    return (entered.join(open_, ["p", "shingle"])
-            .select(F.xxhash64("p", "shingle").alias("bucket"), "node", "n", "central"))
-
-
-def _both_smaller(tested: DataFrame, threshold: int) -> DataFrame:
-    """Pairs under one pivot that may be linked without a shingle that the pivot lacks, as buckets
-    of two."""
-    c = threshold / (100 + threshold)
-    wide = tested.filter("added IS NOT NULL").withColumn("difference", F.col("n") + F.col("pn")
-                                                         - 2 * F.col("common"))
-
-    def bound(one: str, two: str) -> Column:
-        n, other = F.col(f"{one}.n"), F.col(f"{two}.n")
-        return F.col(f"{one}.difference") - (1 - 2 * c) * (n + other) + other - F.col("x.pn")
-
-    x = wide.filter("NOT linked").alias("x")
-    y = wide.filter("n < pn").alias("y")
-    small, large = (f("x.n", "y.n") for f in (F.least, F.greatest))
-    near = (F.col("x.p") == F.col("y.p")) & (F.col("x.node") != F.col("y.node")) & (
-        100 * small >= threshold * large) & (bound("x", "y") <= 1e-6) & (bound("y", "x") <= 1e-6)
-    two = F.array(*[F.struct(*[F.col(f"{side}.{name}").alias(name)
-                               for name in ("node", "n", "central")]) for side in "xy"])
-    return (x.join(y, near)
-            .select(F.xxhash64(F.least("x.node", "y.node"), F.greatest("x.node", "y.node"))
-                    .alias("bucket"), F.explode(two).alias("m"))
-            .select("bucket", "m.node", "m.n", "m.central").distinct())
+    near = stored(_measured(groups, sets, threshold), "near")
+    nearest = materialize(near.groupBy("bucket").agg(F.min(F.struct("far", "node")).alias("c"))
+                          .select("bucket", F.col("c.far").alias("low"),
+                                  F.col("c.node").alias("hub")), "nearest")
+    told = stored(lookup_join(near, nearest, ["bucket"], limit=LOOKUP_BYTES)
+                  .withColumn("rest", F.col("far") + F.col("low") > 0), "told")
+    links = told.filter("NOT rest AND node <> hub").select(F.col("hub").alias("a"),
+                                                           F.col("node").alias("b"))
+    lowest = materialize(told.filter("rest").groupBy("bucket")
+                         .agg(F.min("far").alias("rest_low")), "rest_low")
+    partner = F.when(F.col("rest"), F.col("low")).otherwise(F.col("rest_low"))
+    needed = F.greatest(F.lit(1), F.ceil((F.col("far") + partner) / (2 * (100 + threshold))),
+                        F.col("d") - F.col("within")).cast("int")
+    left = lookup_join(told, lowest, ["bucket"], limit=LOOKUP_BYTES)
+    return links, left.select("bucket", "node", "n", "central", "rest", "differs",
+                              (F.col("d") - needed + 1).alias("prefix"))
+
+
+def _meeting_again(left: DataFrame) -> DataFrame:
+    """New buckets ``(bucket, difference)`` with two members or more, one of the rest among them."""
+    entered = stored(left.filter("prefix > 0").select(
+        "bucket", "node", "n", "central", "rest",
+        F.explode(F.slice("differs", 1, F.col("prefix"))).alias("shingle")), "entered")
+    open_ = stored(entered.groupBy("bucket", "shingle")
+                   .agg(F.count("*").alias("sets"), F.max("rest").alias("any_rest"))
+                   .filter("sets > 1 AND any_rest").select("bucket", "shingle"), "open")
+    return (entered.join(open_, ["bucket", "shingle"])
+            .select(F.xxhash64("bucket", "shingle").alias("bucket"), "node", "n", "central"))
+
+
+def _open(members: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The members of those buckets that are not connected as a whole yet."""
+    rest = stored(members.join(rooted, "node", "left")
+                  .withColumn("root", F.coalesce("root", "node")), "rest")
+    open_ = stored(rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                   .filter("low <> high").select("bucket"), "open")
+    return rest.join(open_, "bucket").drop("root")
 
 
 def near_duplicates(documents: DataFrame, threshold: int = 85) -> DataFrame:
@@ -244,16 +261,18 @@ def near_duplicates(documents: DataFrame, threshold: int = 85) -> DataFrame:
 def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """``(node, root)`` for every node with a link.
 
-    A bucket is worked off by pivots. Say that a set x is not linked with its pivot p, and y is
-    another set of the bucket. With a and m the numbers of shingles that a set has more and less
-    than p, x and y are linked only if they share at least
-    ``(a(x) + m(x) - (1 - 2c)(n(x) + n(y)) + n(y) - n(p)) / 2`` shingles that p lacks (they can
-    share no more missing ones than y misses), or the same with x and y exchanged. So x meets its
-    partners again in the bucket of a shingle that p lacks; of x's such shingles, the rarest first,
-    only so many are needed as leave fewer than the bound behind. Pairs for which
-    neither bound is above zero have a y smaller than p and near it; they are listed for a test
-    of their own. No link is lost, and a group whose members differ from their centre in ways of
-    their own costs about one test for each.
+    Say that a set x differs from its bucket's centre P in d(x) shingles (P may be any set). Two
+    sets differ in ``d(x) + d(y) - 2 s`` shingles, s being the number of differences from P that
+    they share, and are linked if that is at most ``(n(x) + n(y)) (100 - t) / (100 + t)``. With
+    ``G(x) = (100 + t) d(x) - (100 - t) n(x)`` that reads ``2 (100 + t) s >= G(x) + G(y)``, exactly
+    and in whole numbers. So x is linked with the nearest member h (least G) for certain if
+    ``G(x) + G(h) <= 0``; these are connected. Any pair with one of the others has a sum above
+    zero and must share differences, ``(G(x) + G(h)) / (2 (100 + t))`` of them at least, and also
+    ``d(x)`` less the largest difference of linked sets. Ordering all differences alike (those
+    that the centre lacks first, as they are rare), prefixes that leave fewer than so many behind
+    have one in common, and its bucket is a smaller one: no difference is shared by all sampled
+    members. No link is lost; sets that scatter around a centre in ways of their own share no
+    prefix, and cost one measurement each.
     """
     spark = nodes.sparkSession
     buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
@@ -275,38 +294,33 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     if repeated:  # rows that repeat a doc_id
         sets = stored(sets.groupBy("node").agg(F.first("names").alias("names")), "sets")
     links: list[DataFrame] = []
-    small = SMALL
+    done: list[DataFrame] = []
+    merge = True  # at first, the buckets of different bands that have the same central member
     while not members.isEmpty():
-        pivots = stored(members.groupBy("bucket")
-                        .agg(F.max(F.struct("central", "node", "n")).alias("p"),
-                             F.count("*").alias("size"))
-                        .select("bucket", "size", F.col("p.node").alias("p"),
-                                F.col("p.n").alias("pn")), "pivots")
-        met = (members.join(pivots.filter(F.col("size") > small).drop("size"), "bucket")
-               .filter("node <> p").withColumn("wide", F.lit(True)))
-        few = members.join(pivots.filter(F.col("size") <= small).select("bucket"), "bucket")
-        other = few.select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"))
-        met = met.unionByName(few.join(other, "bucket").filter("node < p")
-                              .withColumn("wide", F.lit(False)))
-        pairs = (met.groupBy("p", "node")
-                 .agg(F.first("n").alias("n"), F.first("pn").alias("pn"),
-                      F.first("central").alias("central"), F.max("wide").alias("wide")))
-        tested = stored(_tested(pairs, sets, threshold), "tested")
-        fresh = tested.filter("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
-        links.append(fresh)
-        if small == SMALL:  # most links are known now; the others wait for the end
-            rooted = components(fresh)
-        small *= GROWTH
-        again = _meeting_again(tested)
-        rest = stored(again.unionByName(_both_smaller(tested, threshold))
-                      .join(rooted, "node", "left")
-                      .withColumn("root", F.coalesce("root", "node")), "rest")
-        open_buckets = stored(rest.groupBy("bucket")
-                              .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                              .filter("low <> high").select("bucket"), "open")
-        members = stored(rest.join(open_buckets, "bucket").drop("root"), "members")
-        discard(rest)
-    return components(reduce(DataFrame.unionByName, links)) if len(links) > 1 else rooted
+        sizes = stored(members.groupBy("bucket").agg(
+            F.max(F.struct("central", "node"))["node"].alias("p"), F.count("*").alias("size")),
+            "sizes")
+        few = members.join(sizes.filter(F.col("size") <= SMALL).select("bucket"), "bucket")
+        other = few.select("bucket", F.col("node").alias("b"))
+        pairs = (few.select("bucket", F.col("node").alias("a")).join(other, "bucket")
+                 .filter("a < b").select("a", "b").distinct())
+        for earlier in done:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        done.append(stored(pairs, "pairs"))
+        links.append(stored(_linked(done[-1], sets, threshold), "links"))
+        many = members.join(sizes.filter(F.col("size") > SMALL).select("bucket", "p"), "bucket")
+        if merge:
+            many = many.withColumn("bucket", F.col("p")).drop("p").dropDuplicates(["bucket", "node"])
+        many = stored(many.select("bucket", "node", "n", "central"), "many")
+        if many.isEmpty():
+            break
+        sure, left = _around_centres(many, sets, threshold)
+        links.append(sure)
+        if merge:  # most links are known now; the others wait for the end
+            rooted = components(links[0].unionByName(links[1]))
+        merge = False
+        members = stored(_open(_meeting_again(_open(left, rooted)), rooted), "members")
+    return components(reduce(DataFrame.unionByName, links))
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:

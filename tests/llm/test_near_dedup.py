@@ -101,3 +101,34 @@ def test_minimum_and_maximum_agree_as_often_as_the_sets():
         hits += (one == two).sum()
         total += len(one)
     assert abs(hits / total - 111 / 121) < 0.02
+
+
+def test_work_in_a_group_just_under_the_threshold_is_linear(make_docs, monkeypatch):
+    """Sets scattered around one centre, no two of them linked: every set costs a bounded share."""
+    draw = random.Random(23)
+    word = lambda: "".join(draw.choices("abcdefgh", k=7))
+    base, pairs = [word() for _ in range(120)], []
+    for i in range(800):
+        copy = list(base)
+        for at in draw.sample(range(2, 117, 5), 3):
+            copy[at] = word()
+        pairs.append((i, " ".join(copy)))
+    work = {}
+    linked, measured = nd._linked, nd._measured
+
+    def counted(made):
+        def call(rows, sets, threshold):
+            work[made.__name__] = work.get(made.__name__, 0) + rows.count()
+            return made(rows, sets, threshold)
+        return call
+
+    monkeypatch.setattr(nd, "_linked", counted(linked))
+    monkeypatch.setattr(nd, "_measured", counted(measured))
+    totals = []
+    for n in (200, 400, 800):
+        work.clear()
+        found = result(nd.near_duplicates(make_docs(*pairs[:n])))
+        assert found == brute(pairs[:n])
+        totals.append(sum(work.values()))
+    assert totals[1] <= 2.2 * totals[0] and totals[2] <= 2.2 * totals[1], totals
+    assert totals[2] < 800 * 60, totals
