@@ -27,7 +27,7 @@ from feedlens.session import lookup_join, materialize
 SHINGLE = 5
 PERMUTATIONS = 40
 BANDS = 20
-SMALL, SAMPLED = 16, 9
+SMALL, SAMPLED = 48, 9
 LOOKUP_BYTES = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20260101)
@@ -209,15 +209,23 @@ def _around_centres(groups: DataFrame, sets: DataFrame,
 
 
 def _meeting_again(left: DataFrame) -> DataFrame:
-    """New buckets ``(bucket, difference)`` with two members or more, one of the rest among them."""
+    """New buckets ``(bucket, difference)`` with two members or more, one of the rest among them.
+
+    A passage that some members share gives as many differences with the same members; buckets of
+    the same members, told by two 64-bit sums of their names, are one bucket.
+    """
     entered = stored(left.filter("prefix > 0").select(
         "bucket", "node", "n", "central", "rest",
         F.explode(F.slice("differs", 1, F.col("prefix"))).alias("shingle")), "entered")
     open_ = stored(entered.groupBy("bucket", "shingle")
-                   .agg(F.count("*").alias("sets"), F.max("rest").alias("any_rest"))
-                   .filter("sets > 1 AND any_rest").select("bucket", "shingle"), "open")
+                   .agg(F.count("*").alias("sets"), F.max("rest").alias("any_rest"),
+                        *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"s{i}") for i in (0, 1)])
+                   .filter("sets > 1 AND any_rest")
+                   .groupBy("sets", "s0", "s1")
+                   .agg(F.min(F.struct("bucket", "shingle")).alias("least"))
+                   .select("least.*", F.xxhash64("sets", "s0", "s1").alias("name")), "open")
     return (entered.join(open_, ["bucket", "shingle"])
-            .select(F.xxhash64("bucket", "shingle").alias("bucket"), "node", "n", "central"))
+            .select(F.col("name").alias("bucket"), "node", "n", "central"))
 
 
 def _open(members: DataFrame, rooted: DataFrame) -> DataFrame:
@@ -301,9 +309,11 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
             F.max(F.struct("central", "node"))["node"].alias("p"), F.count("*").alias("size")),
             "sizes")
         few = members.join(sizes.filter(F.col("size") <= SMALL).select("bucket"), "bucket")
-        other = few.select("bucket", F.col("node").alias("b"))
-        pairs = (few.select("bucket", F.col("node").alias("a")).join(other, "bucket")
-                 .filter("a < b").select("a", "b").distinct())
+        other = few.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"))
+        pairs = (few.select("bucket", F.col("node").alias("a"), "n").join(other, "bucket")
+                 .filter((F.col("a") < F.col("b")) & (100 * F.least("n", "m")
+                                                      >= threshold * F.greatest("n", "m")))
+                 .select("a", "b").distinct())
         for earlier in done:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         done.append(stored(pairs, "pairs"))
