@@ -17,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import (WordCodes, discard, flat_batches, map_batches, mix64, read_table,
@@ -151,15 +151,20 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _centres(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(bucket, centre)``: the shingles that more than half of up to ``SAMPLED`` members have."""
+    """What up to ``SAMPLED`` members of a bucket have: ``centre``, the shingles that more than
+    half of them have, ``usual``, those that all have, and ``known``, those that any has."""
     slot = F.pmod(F.xxhash64("node", "bucket"), F.lit(SAMPLED))
     chosen = (groups.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("node"))
               .join(sets, "node"))
     listed = chosen.groupBy("bucket").agg(
         F.sort_array(F.flatten(F.collect_list("names"))).alias("names"), F.count("*").alias("k"))
-    half = F.floor(F.col("k") / 2).cast("int")
-    often = F.filter("names", lambda x, i: F.get("names", i + half) == x)
-    return listed.select("bucket", F.array_distinct(often).alias("centre"))
+
+    def had_by(least: Column) -> Column:
+        return F.array_distinct(F.filter(
+            "names", lambda x, i: F.get("names", i + (least - 1).cast("int")) == x))
+
+    return listed.select("bucket", had_by(F.floor(F.col("k") / 2) + 1).alias("centre"),
+                         had_by(F.col("k")).alias("usual"), F.array_distinct("names").alias("known"))
 
 
 def _measured(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -167,7 +172,8 @@ def _measured(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
     ``far`` is G of ``_rooted``; ``differs`` holds the first shingles that either the member or the
     centre has alone, no more than a prefix can need: ``within`` + 1, where ``within`` is the
-    largest difference that two linked sets can have.
+    largest difference that two linked sets can have. Differences that no sampled member shares
+    come first, as they make small buckets.
     """
     centres = materialize(_centres(groups, sets), "centres")
     joined = lookup_join(groups.join(sets, "node"), centres, ["bucket"], limit=LOOKUP_BYTES)
@@ -175,12 +181,13 @@ def _measured(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     n, total = F.col("n"), 100 + threshold
     widest = F.floor(100 * n / threshold)  # a partner's size at most
     within = F.floor((100 - threshold) * (n + widest) / total).cast("int")
-    return (joined.select("bucket", "node", "n", "central", F.concat(own, lacking).alias("all"),
-                          within.alias("within"))
-            .withColumn("d", F.size("all"))
-            .select("bucket", "node", "n", "central", "within", "d",
+    ordered = F.concat(F.array_except("own", "known"), F.array_intersect("lacking", "usual"),
+                       F.array_intersect("own", "known"), F.array_except("lacking", "usual"))
+    return (joined.withColumns({"own": own, "lacking": lacking, "within": within})
+            .withColumn("d", F.size("own") + F.size("lacking"))
+            .select("bucket", "node", "n", "within", "d",
                     (total * F.col("d") - (100 - threshold) * n).alias("far"),
-                    F.slice("all", 1, F.col("within") + 1).alias("differs")))
+                    F.slice(ordered, 1, F.col("within") + 1).alias("differs")))
 
 
 def _around_centres(groups: DataFrame, sets: DataFrame,
@@ -204,7 +211,7 @@ def _around_centres(groups: DataFrame, sets: DataFrame,
     needed = F.greatest(F.lit(1), F.ceil((F.col("far") + partner) / (2 * (100 + threshold))),
                         F.col("d") - F.col("within")).cast("int")
     left = lookup_join(told, lowest, ["bucket"], limit=LOOKUP_BYTES)
-    return links, left.select("bucket", "node", "n", "central", "rest", "differs",
+    return links, left.select("bucket", "node", "n", "rest", "differs",
                               (F.col("d") - needed + 1).alias("prefix"))
 
 
@@ -215,7 +222,7 @@ def _meeting_again(left: DataFrame) -> DataFrame:
     the same members, told by two 64-bit sums of their names, are one bucket.
     """
     entered = stored(left.filter("prefix > 0").select(
-        "bucket", "node", "n", "central", "rest",
+        "bucket", "node", "n", "rest",
         F.explode(F.slice("differs", 1, F.col("prefix"))).alias("shingle")), "entered")
     open_ = stored(entered.groupBy("bucket", "shingle")
                    .agg(F.count("*").alias("sets"), F.max("rest").alias("any_rest"),
@@ -225,16 +232,18 @@ def _meeting_again(left: DataFrame) -> DataFrame:
                    .agg(F.min(F.struct("bucket", "shingle")).alias("least"))
                    .select("least.*", F.xxhash64("sets", "s0", "s1").alias("name")), "open")
     return (entered.join(open_, ["bucket", "shingle"])
-            .select(F.col("name").alias("bucket"), "node", "n", "central"))
+            .select(F.col("name").alias("bucket"), "node", "n"))
 
 
-def _open(members: DataFrame, rooted: DataFrame) -> DataFrame:
-    """The members of those buckets that are not connected as a whole yet."""
-    rest = stored(members.join(rooted, "node", "left")
-                  .withColumn("root", F.coalesce("root", "node")), "rest")
-    open_ = stored(rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                   .filter("low <> high").select("bucket"), "open")
-    return rest.join(open_, "bucket").drop("root")
+def _by_top_member(members: DataFrame) -> DataFrame:
+    """The buckets of all bands put together by their most central member, or a more central one
+    that this shares a bucket with, so that a group is worked off once and not once per band."""
+    named = stored(members.select(F.col("top.node").alias("hub"), "top", "node", "n").distinct(),
+                   "named")
+    best = named.groupBy(F.col("node").alias("hub")).agg(F.max("top").alias("best"))
+    hubs = materialize(named.select("hub").distinct().join(best, "hub"), "hubs")
+    return (lookup_join(named, hubs, ["hub"], limit=LOOKUP_BYTES)
+            .select(F.col("best.node").alias("bucket"), "node", "n").distinct())
 
 
 def near_duplicates(documents: DataFrame, threshold: int = 85) -> DataFrame:
@@ -276,8 +285,8 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     and in whole numbers. So x is linked with the nearest member h (least G) for certain if
     ``G(x) + G(h) <= 0``; these are connected. Any pair with one of the others has a sum above
     zero and must share differences, ``(G(x) + G(h)) / (2 (100 + t))`` of them at least, and also
-    ``d(x)`` less the largest difference of linked sets. Ordering all differences alike (those
-    that the centre lacks first, as they are rare), prefixes that leave fewer than so many behind
+    ``d(x)`` less the largest difference of linked sets. With all differences of a bucket in one
+    order, prefixes that leave fewer than so many behind
     have one in common, and its bucket is a smaller one: no difference is shared by all sampled
     members. No link is lost; sets that scatter around a centre in ways of their own share no
     prefix, and cost one measurement each.
@@ -303,11 +312,11 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
         sets = stored(sets.groupBy("node").agg(F.first("names").alias("names")), "sets")
     links: list[DataFrame] = []
     done: list[DataFrame] = []
-    merge = True  # at first, the buckets of different bands that have the same central member
     while not members.isEmpty():
-        sizes = stored(members.groupBy("bucket").agg(
-            F.max(F.struct("central", "node"))["node"].alias("p"), F.count("*").alias("size")),
-            "sizes")
+        first = not done
+        top = F.max(F.struct("central", "node")) if first else F.lit(None)
+        sizes = stored(members.groupBy("bucket").agg(top.alias("top"), F.count("*").alias("size")),
+                       "sizes")
         few = members.join(sizes.filter(F.col("size") <= SMALL).select("bucket"), "bucket")
         other = few.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"))
         pairs = (few.select("bucket", F.col("node").alias("a"), "n").join(other, "bucket")
@@ -318,18 +327,14 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         done.append(stored(pairs, "pairs"))
         links.append(stored(_linked(done[-1], sets, threshold), "links"))
-        many = members.join(sizes.filter(F.col("size") > SMALL).select("bucket", "p"), "bucket")
-        if merge:
-            many = many.withColumn("bucket", F.col("p")).drop("p").dropDuplicates(["bucket", "node"])
-        many = stored(many.select("bucket", "node", "n", "central"), "many")
+        many = members.join(sizes.filter(F.col("size") > SMALL).select("bucket", "top"), "bucket")
+        many = stored((_by_top_member(many) if first else many).select("bucket", "node", "n"),
+                      "many")
         if many.isEmpty():
             break
         sure, left = _around_centres(many, sets, threshold)
         links.append(sure)
-        if merge:  # most links are known now; the others wait for the end
-            rooted = components(links[0].unionByName(links[1]))
-        merge = False
-        members = stored(_open(_meeting_again(_open(left, rooted)), rooted), "members")
+        members = stored(_meeting_again(left), "members")
     return components(reduce(DataFrame.unionByName, links))
 
 
