@@ -507,6 +507,39 @@ SELECT item_id, item_type, parent_id, created_at, sentiment, topic, theme, speak
        text_en, text AS original_text, action_bucket, recommended_action, url, source
 FROM enriched"""
 
+LAYERED = "WITH gold AS (" + ORACLE["all_layers"] + ")"
+ORACLE["summary_metrics"] = LAYERED + f"""
+SELECT 'theme' AS metric, theme AS key, sentiment, items
+FROM ({counted("theme, sentiment")})
+UNION ALL SELECT 'hour', CAST({LOCAL_HOUR} AS VARCHAR), sentiment, count(*) FROM gold GROUP BY 2, 3
+UNION ALL SELECT 'running', CAST(hour AS VARCHAR), sentiment, cumulative_items
+FROM ({running(UTC_HOUR)})
+UNION ALL SELECT 'day', CAST(CAST(created_at AS DATE) AS VARCHAR),
+                 CAST(max(engagement) AS VARCHAR), CAST(sum(engagement) AS BIGINT)
+FROM gold GROUP BY CAST(created_at AS DATE)
+UNION ALL SELECT 'top ' || kind, name, CAST(rank AS VARCHAR), items FROM (
+    SELECT *, row_number() OVER (PARTITION BY kind ORDER BY items DESC, name) AS rank
+    FROM (SELECT kind, name, count(*) AS items
+          FROM (SELECT 'speaker' AS kind, speaker AS name FROM gold
+                UNION ALL SELECT 'company', company FROM gold
+                UNION ALL SELECT 'location', location FROM gold)
+          WHERE name IS NOT NULL GROUP BY kind, name)) WHERE rank <= 10
+UNION ALL SELECT 'total', NULL, NULL, count(*) FROM gold"""
+ORACLE["newest_stored"] = LAYERED + """
+SELECT created_at, item_type, sentiment, topic, theme, speaker, company, engagement, action_bucket,
+       recommended_action, text_en, original_text, url
+FROM gold ORDER BY created_at DESC, item_id LIMIT 50"""
+PAYLOAD_FEED = FEED.replace("feed AS (", "labelled_feed AS (") + "," + PAYLOADS.replace(
+    "FROM feed", "FROM labelled_feed") + ", feed AS (SELECT p.*, " + ", ".join(
+    f"CAST(NULL AS VARCHAR) AS {c}" for c in ("sentiment", "topic", "theme", "action_bucket",
+                                              "location", "speaker", "company")) + " FROM (" + (
+    ORACLE["payload_items"].partition(PAYLOADS)[2]) + ") p)"
+ORACLE["payload_all_layers"] = "WITH " + ",".join((PAYLOAD_FEED, *ENRICH_PARTS)) + (
+    ORACLE["all_layers"].partition(ENRICHED)[2])
+ORACLE["empty_drop"] = f"""
+SELECT CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS new_items,
+       CAST({len(BRONZE_COLS.split(","))} AS BIGINT) AS columns
+FROM (SELECT count(*) FROM documents)"""
 ORACLE["two_batches_all_layers"] = ORACLE["stream_all_layers"] = ORACLE["all_layers"]
 ORACLE["mixed_runs"] = ORACLE["stream_upsert"]
 

@@ -22,7 +22,8 @@ from feedlens.operators.sentiment import score_sentiment
 from feedlens.operators.translate import pending_translations, translate
 from feedlens.operators.upsert import dedup_batch, merge_feed, not_in
 from feedlens.plans import metrics
-from feedlens.plans.runs import incoming_from_folder, run_all, run_bronze
+from feedlens.plans.runs import (incoming_from_folder, incoming_from_payloads, run_all,
+                                 run_bronze)
 from feedlens.schema import (COUNT_COLS, LOCAL_ZONE, TOPICS, FeedConfig)
 from feedlens.session import scratch_path
 from feedlens.sources.files import preview_json, read_drop, write_json
@@ -357,17 +358,70 @@ def stream_all_layers(spark, sf_dir):
     return store.gold()
 
 
-@query
-def two_batches_all_layers(spark, sf_dir):
-    """Two batches through all layers."""
+def two_batch_store(spark, sf_dir) -> FeedStore:
+    """A store after two batches through all layers."""
     store = FeedStore(spark, scratch_path(spark, "run")).create()
     rows, using = dropped_rows(spark, sf_dir), fx.enrichment(spark, sf_dir)
     half = F.pmod(F.xxhash64("item_id"), F.lit(2))
     for part in (0, 1):
         run_all(store, normalize(rows.filter(half == part), CONFIG, fx.AS_OF), using, fx.AS_OF)
+    return store
+
+
+@query
+def summary_metrics(spark, sf_dir):
+    """Read queries answered from the summary that a store keeps, after two batches."""
+    table = two_batch_store(spark, sf_dir).summary()
+    text = "string"
+    moods = metrics.theme_by_sentiment(table).select(
+        F.lit("theme").alias("metric"), F.col("theme").alias("key"), "sentiment", "items")
+    hours = metrics.hourly_sentiment(table, LOCAL_ZONE).select(
+        F.lit("hour"), F.col("hour").cast(text), "sentiment", "items")
+    running = metrics.running_sentiment(table).select(
+        F.lit("running"), F.col("hour").cast(text), "sentiment", "cumulative_items")
+    days = metrics.daily_summary(table).select(
+        F.lit("day"), F.col("day").cast(text), F.col("max_engagement").cast(text), "engagement")
+    named = metrics.top_entities(table).select(
+        F.concat(F.lit("top "), "kind"), "name", F.col("rank").cast(text), "items")
+    total = metrics.total_items(table).select(
+        F.lit("total"), F.lit(None).cast(text), F.lit(None).cast(text), "total_items")
+    return moods.union(hours).union(running).union(days).union(named).union(total)
+
+
+@query
+def newest_stored(spark, sf_dir):
+    """The newest rows of a stored Gold table, found by day."""
+    return two_batch_store(spark, sf_dir).newest_gold(50, metrics.RECENT_COLS)
+
+
+@query
+def two_batches_all_layers(spark, sf_dir):
+    """Two batches through all layers."""
+    return two_batch_store(spark, sf_dir).gold()
+
+
+@query
+def payload_all_layers(spark, sf_dir):
+    """Landed responses through all layers."""
+    store = FeedStore(spark, scratch_path(spark, "run")).create()
+    incoming = incoming_from_payloads(post_pages(spark, sf_dir), comment_pages(spark, sf_dir),
+                                      metadata_pages(spark, sf_dir), CONFIG)
+    run_all(store, incoming, fx.enrichment(spark, sf_dir), fx.AS_OF)
     return store.gold()
 
 
+@query
+def empty_drop(spark, sf_dir):
+    """A drop folder with foreign files only gives no rows, and a run on it no items."""
+    folder = scratch_path(spark, "foreign")
+    raw_rows(spark, sf_dir).select("text").write.text(folder)
+    store = FeedStore(spark, scratch_path(spark, "run")).create()
+    rows = read_drop(spark, folder)
+    new = run_bronze(store, normalize(rows, CONFIG, fx.AS_OF), 0, fx.AS_OF)
+    return rows.agg(F.count("*").alias("rows"), F.lit(new).cast("bigint").alias("new_items"),
+                    F.lit(len(rows.columns)).cast("bigint").alias("columns"))
+
+
 # ---- enrichment ---------------------------------------------------------------------------------
 
 @query

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.actions import DEFAULT_RULES, Rule, parse_reply, suggest_action
-from feedlens.operators.entities import Gazetteer, match_entities, prepare_gazetteer
-from feedlens.operators.scoring import CombinedWeights, TermWeights, best_label, combine, \
-    score_items
+from feedlens.functions.text import terms
+from feedlens.operators.entities import (Gazetteer, first_places, match_entities, named_places,
+                                         prepare_gazetteer, with_phrases)
+from feedlens.operators.scoring import (ONCE, CombinedWeights, TermWeights, best_label, combine,
+                                        score_items, summed_weights, weight_arrays)
 from feedlens.operators.sentiment import lexicon_weights, sentiment_of
 from feedlens.operators.translate import translate
 from feedlens.schema import ENTITY_KINDS, SILVER_SCHEMA
-from feedlens.session import Measured, measured
+from feedlens.session import BROADCAST_BYTES, Measured, lookup_join, materialize, measured
 
 DEFAULT_TOPIC = "general chatter"
 DEFAULT_THEME = "other"
@@ -45,17 +47,38 @@ def prepare_enrichment(lexicon: DataFrame, topics: TermWeights, themes: TermWeig
                       prepare_gazetteer(gazetteer), measured(memory), **settings)
 
 
-def enrich(items: DataFrame, using: Enrichment) -> DataFrame:
+def labels_of(items: DataFrame, using: Enrichment, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``item_id``, one array of sums per classifier and one column per entity kind, narrow rows.
+
+    Where weights and gazetteer fit, each text is split once, and its terms meet both in the task
+    that split it; one row per item is shuffled. Otherwise the two are looked up on their own.
+    """
+    if not (using.weights.stored.fits(limit) and using.gazetteer.fits(limit)):
+        return score_items(items, using.weights, limit).join(
+            match_entities(items, using.gazetteer, limit), "item_id", "left")
+    words = items.select("item_id", terms(F.col("text")).alias("words"))
+    with_once = F.concat(F.array(F.lit(ONCE)), "words")  # so that terms count from 1
+    placed = words.select("item_id", "words", F.posexplode(with_once).alias("pos", "term"))
+    found = with_phrases(placed, using.gazetteer.phrases, "left")
+    hits = found.join(F.broadcast(using.weights.stored.table), "term", "left")
+    once = F.coalesce("nth", F.lit(0)) == 0
+    sums = summed_weights(using.weights, lambda weight: F.when(once, weight))
+    summed = hits.groupBy("item_id").agg(*sums, *first_places())
+    return named_places(summed.select("item_id", *weight_arrays(using.weights), *ENTITY_KINDS),
+                        using.gazetteer.phrases)
+
+
+def enrich(items: DataFrame, using: Enrichment, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Bronze items as Silver rows.
 
-    The terms of all classifiers come from one pass over the texts. With ``using.reply``, which
-    adds a ``reply`` column (see :func:`feedlens.operators.infer.infer`), the action is read from
-    the reply, otherwise from the rules.
+    Labels are made as narrow rows, stored and measured; where they fit they are sent to the items,
+    so that texts stay where they are. With ``using.reply``, which adds a ``reply`` column (see
+    :func:`feedlens.operators.infer.infer`), the action is read from the reply, otherwise from the
+    rules.
     """
-    scores = score_items(items, using.weights)
-    entities = match_entities(items, using.gazetteer)
+    labels = materialize(labels_of(items, using, limit), "labels")
     labelled = (
-        items.join(scores, "item_id", "left").join(entities, "item_id", "left")
+        lookup_join(items, labels, ["item_id"], "left", limit)
         .withColumns({
             "sentiment": sentiment_of(F.col("tone")),
             "topic": best_label(F.col("topic"), using.topics, DEFAULT_TOPIC, need_hit=True),

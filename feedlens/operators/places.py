@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.plans.summary import total
 from feedlens.schema import PLACES, SENTIMENTS
 
 Place = tuple[str, float, float]
@@ -24,7 +25,7 @@ def location_moods(gold: DataFrame) -> DataFrame:
     """Items by cleaned location and sentiment."""
     return (usable_location(gold)
             .groupBy(F.lower(F.trim("location")).alias("location"), "sentiment")
-            .agg(F.count("*").alias("items")))
+            .agg(total(gold).alias("items")))
 
 
 def find_place(column: str, places: Sequence[Place] = PLACES) -> Column:
@@ -65,5 +66,5 @@ def place_mood(gold: DataFrame, places: Sequence[Place] = PLACES) -> DataFrame:
 
 
 def top_locations(gold: DataFrame, n: int = 12) -> DataFrame:
-    return (usable_location(gold).groupBy("location").agg(F.count("*").alias("items"))
+    return (usable_location(gold).groupBy("location").agg(total(gold).alias("items"))
             .orderBy(F.desc("items"), "location").limit(n))

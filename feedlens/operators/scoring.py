@@ -7,7 +7,7 @@ term carries a weight that each item gets once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -79,12 +79,20 @@ def score_items(items: DataFrame, weights: CombinedWeights,
         counted = rows.groupBy("item_id", "term").agg(F.count("*").alias("n"))
         hits = counted.join(table, "term", "left")
         times = F.col("n")
-    sums = hits.groupBy("item_id").agg(*[
-        F.coalesce(F.sum(times * F.col(name)[i]), F.lit(0).cast("bigint")).alias(f"{name}_{i}")
-        for name, width in weights.widths.items() for i in range(width)])
-    return sums.select("item_id", *[
-        F.array(*[F.col(f"{name}_{i}") for i in range(width)]).alias(name)
-        for name, width in weights.widths.items()])
+    sums = hits.groupBy("item_id").agg(*summed_weights(weights, lambda weight: times * weight))
+    return sums.select("item_id", *weight_arrays(weights))
+
+
+def summed_weights(weights: CombinedWeights, counted: Callable[[Column], Column]) -> list[Column]:
+    """Aggregates of the joined weights, one per classifier and label, 0 without any."""
+    return [F.coalesce(F.sum(counted(F.col(name)[i])), F.lit(0).cast("bigint"))
+            .alias(f"{name}_{i}") for name, width in weights.widths.items() for i in range(width)]
+
+
+def weight_arrays(weights: CombinedWeights) -> list[Column]:
+    """One array per classifier from the columns of ``summed_weights``."""
+    return [F.array(*[F.col(f"{name}_{i}") for i in range(width)]).alias(name)
+            for name, width in weights.widths.items()]
 
 
 def best_label(scores: Column, labels: Sequence[str], default: str | None = None,

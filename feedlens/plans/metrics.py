@@ -1,4 +1,8 @@
-"""The read queries: each takes the Gold table and returns a small or ordered table."""
+"""The read queries: each takes the Gold table and returns a small or ordered table.
+
+Those that count or add up also take a summary of Gold (see :mod:`feedlens.plans.summary`) and give
+the same rows from it; lists, threads and ``last_hour`` need Gold itself.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,8 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.display import safe_link, short_local_time, shorten
 from feedlens.functions.times import event_day, hour, instant, local_hour
+from feedlens.plans.summary import (highest_engagement, mean_engagement, share_if, summed, total,
+                                    total_if)
 from feedlens.schema import (ENTITY_KINDS, LEAD_BUCKET, LEAD_TOPIC, LOCAL_ZONE, PROBLEM_TOPICS,
                              SENTIMENTS)
 
@@ -24,11 +30,11 @@ def count_by(gold: DataFrame, *keys: str, keep_null: bool = True) -> DataFrame:
     """``items`` per key, largest first."""
     if not keep_null:
         gold = gold.filter(F.col(keys[0]).isNotNull())
-    return gold.groupBy(*keys).agg(F.count("*").alias("items")).orderBy(F.desc("items"), *keys)
+    return gold.groupBy(*keys).agg(total(gold).alias("items")).orderBy(F.desc("items"), *keys)
 
 
 def total_items(gold: DataFrame) -> DataFrame:
-    return gold.agg(F.count("*").alias("total_items"))
+    return gold.agg(total(gold).alias("total_items"))
 
 
 def sentiment_mix(gold: DataFrame) -> DataFrame:
@@ -49,7 +55,7 @@ def bucket_counts(gold: DataFrame, keep_null: bool = False) -> DataFrame:
 
 def source_flag_count(gold: DataFrame, source: str = "sample") -> DataFrame:
     """How many items come from one source, such as the made-up sample."""
-    return gold.agg(F.count_if(F.col("source") == source).alias("items"))
+    return gold.agg(total_if(gold, F.col("source") == source).alias("items"))
 
 
 # ---- over time ----------------------------------------------------------------------------------
@@ -59,7 +65,7 @@ def hourly_sentiment(gold: DataFrame, zone: str | None = None) -> DataFrame:
     at = F.col("created_at")
     return (gold.groupBy((hour(at) if zone is None else local_hour(at, zone)).alias("hour"),
                          "sentiment")
-            .agg(F.count("*").alias("items")))
+            .agg(total(gold).alias("items")))
 
 
 def running_sentiment(gold: DataFrame, zone: str | None = None) -> DataFrame:
@@ -77,17 +83,17 @@ def running_sentiment(gold: DataFrame, zone: str | None = None) -> DataFrame:
 
 def daily_summary(gold: DataFrame) -> DataFrame:
     return (gold.groupBy(F.to_date("created_at").alias("day"))
-            .agg(F.count("*").alias("items"), F.sum("engagement").alias("engagement"),
-                 F.round(F.avg("engagement"), 4).alias("avg_engagement"),
-                 F.max("engagement").alias("max_engagement"))
+            .agg(total(gold).alias("items"), F.sum("engagement").alias("engagement"),
+                 F.round(mean_engagement(gold), 4).alias("avg_engagement"),
+                 highest_engagement(gold).alias("max_engagement"))
             .orderBy("day"))
 
 
 def sentiment_by_day(gold: DataFrame, start: date) -> DataFrame:
     """Share of each sentiment per event day and its change from the day with items before it."""
     days = gold.groupBy(event_day(F.col("created_at"), start).alias("day")).agg(
-        F.count("*").alias("items"),
-        *[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTIMENTS])
+        total(gold).alias("items"),
+        *[total_if(gold, F.col("sentiment") == s).alias(s) for s in SENTIMENTS])
     shares = {f"{s}_share": F.round(F.col(s) / F.col("items"), 6) for s in SENTIMENTS}
     # One row per day is left here, so a window over all of them is a short one.
     by_day = Window.orderBy("day")
@@ -118,10 +124,10 @@ def resonance(gold: DataFrame, key: str = "theme", keep_null: bool = True) -> Da
     """Mentions, engagement and positive share per key, by mentions times the rounded share."""
     if not keep_null:
         gold = gold.filter(F.col(key).isNotNull())
-    positive = F.when(F.col("sentiment") == "positive", F.expr("1.0")).otherwise(F.lit(0))
+    positive = share_if(gold, F.col("sentiment") == "positive")
     return (gold.groupBy(key)
-            .agg(F.count("*").alias("mentions"), F.sum("engagement").alias("engagement"),
-                 F.round(F.avg(positive), 2).alias("positive_share"))
+            .agg(total(gold).alias("mentions"), F.sum("engagement").alias("engagement"),
+                 F.round(positive, 2).alias("positive_share"))
             .orderBy(F.desc(F.col("mentions") * F.col("positive_share")), key))
 
 
@@ -129,18 +135,19 @@ def top_theme(gold: DataFrame) -> DataFrame:
     """The theme with the most positive items, then the most items; ``other`` does not count."""
     return (gold.filter(F.col("theme").isNotNull() & (F.col("theme") != "other"))
             .groupBy("theme")
-            .agg(F.count_if(F.col("sentiment") == "positive").alias("positive_items"),
-                 F.count("*").alias("items"))
+            .agg(total_if(gold, F.col("sentiment") == "positive").alias("positive_items"),
+                 total(gold).alias("items"))
             .orderBy(F.desc("positive_items"), F.desc("items"), "theme").limit(1))
 
 
 def mood_share(gold: DataFrame) -> DataFrame:
     """Total, and the positive and negative percentage rounded half up; null without items."""
     def percent(sentiment: str) -> Column:
-        share = 100 * F.count_if(F.col("sentiment") == sentiment) / F.nullif(F.count("*"), F.lit(0))
+        share = (100 * total_if(gold, F.col("sentiment") == sentiment)
+                 / F.nullif(total(gold), F.lit(0)))
         return F.round(share, 0).cast("bigint")
 
-    return gold.agg(F.count("*").alias("total"), percent("positive").alias("positive_pct"),
+    return gold.agg(total(gold).alias("total"), percent("positive").alias("positive_pct"),
                     percent("negative").alias("negative_pct"))
 
 
@@ -151,8 +158,9 @@ def top_entities(gold: DataFrame, n: int = 10, kinds: Sequence[str] = ENTITY_KIN
     """
     named = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("name")) for k in kinds])
     order = Window.partitionBy("kind").orderBy(F.desc("items"), "name")
-    return (gold.select(F.inline(named)).filter(F.col("name").isNotNull())
-            .groupBy("kind", "name").agg(F.count("*").alias("items"))
+    counted = ["items"] if summed(gold) else []
+    return (gold.select(F.inline(named), *counted).filter(F.col("name").isNotNull())
+            .groupBy("kind", "name").agg(total(gold).alias("items"))
             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
             .select("kind", "rank", "name", "items"))
 

@@ -227,3 +227,74 @@ def test_hot_key_is_cut_when_the_table_is_large(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.fixture(scope="module")
+def crowded(spark, feed):
+    """Random texts over few words, many overlapping phrases, and an enrichment for them."""
+    import random
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    phrases = [(" ".join(pick.choices(words, k=pick.randrange(1, 6))),
+                pick.choice(["speaker", "company", "location"]), f"N{i}") for i in range(150)]
+    phrases += [(" ".join(words * 4)[:140].rsplit(" ", 1)[0], "company", "long")]
+    rows = feed(*[{"item_id": f"i{i}", "text": " ".join(pick.choices(words, k=pick.randrange(40)))}
+                  for i in range(120)], {"item_id": "long", "text": " ".join(words * 5)},
+                {"item_id": "null", "text": None})
+
+    def weights(labels):
+        return list_weights(spark.createDataFrame(
+            [(pick.choice(labels), word) for word in words for _ in range(2)],
+            "label STRING, term STRING"), labels)
+
+    using = prepare_enrichment(
+        spark.createDataFrame([(w, pick.randrange(-500, 500)) for w in words],
+                              "term STRING, weight BIGINT"), weights(("logistics", "networking")),
+        weights(("agents", "other")), learn_bayes(spark.createDataFrame(
+            [("en", "w1 w2 w3"), ("es", "w4 w5 w6")], "label STRING, text STRING"), ("en", "es")),
+        spark.createDataFrame(phrases, "phrase STRING, kind STRING, name STRING"),
+        spark.createDataFrame([], "lang STRING, text_hash STRING, text_en STRING"))
+    return rows, using, phrases
+
+
+def test_one_pass_equals_separate_look_ups(crowded):
+    rows, using, _ = crowded
+    assert table(enrich(rows, using)) == table(enrich(rows, using, limit=0))
+
+
+def test_phrases_against_brute_force(crowded):
+    rows, using, phrases = crowded
+    found = {r["item_id"]: r for r in match_entities(rows, using.gazetteer).collect()}
+    for item in rows.collect():
+        words = (item["text"] or "").split()
+        for kind in ("speaker", "company", "location"):
+            places = [(at, -len(p.split()), name) for p, k, name in phrases if k == kind
+                      for at in range(len(words)) if words[at:at + len(p.split())] == p.split()]
+            expected = min(places)[2] if places else None
+            got = found[item["item_id"]][kind] if item["item_id"] in found else None
+            assert got == expected
+
+
+def test_enrichment_splits_once_and_moves_no_texts(crowded):
+    from feedlens.operators.enrich import labels_of
+    rows, using, _ = crowded
+    using.gazetteer.phrases
+    one = labels_of(rows, using)._jdf.queryExecution().executedPlan().toString()
+    assert one.count("Exchange hashpartitioning(item_id") == 1
+    assert one.count("regexp_extract_all") == 1 and "SortMergeJoin" not in one
+    whole = enrich(rows, using)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in whole and "Exchange hashpartitioning(item_id" not in whole
+    assert "regexp_extract_all" not in whole
+
+
+def test_a_long_phrase_makes_no_rows_for_other_texts(crowded):
+    rows, using, phrases = crowded
+    sizes = {r["size"] for r in using.gazetteer.phrases.prefixes.select(
+        F.explode("sizes").alias("size")).collect()}
+    assert max(sizes) > 30
+    one_word = rows.filter("item_id <> 'long'").select(
+        "item_id", F.split("text", " ").alias("words"), F.lit(1).alias("pos"),
+        F.get(F.split("text", " "), F.lit(0)).alias("term"))
+    from feedlens.operators.entities import with_phrases
+    found = with_phrases(one_word, using.gazetteer.phrases, "inner")
+    assert found.count() <= 6 * one_word.count()

@@ -59,7 +59,7 @@ def test_store_equals_merging_the_batches(spark, feed, tmp_path):
         store.create()
         assert store.upsert(batch, number, moment) == merged.count() - before
         assert table(store.bronze()) == table(merged)
-    store.fold_refreshes(3)
+    store.fold()
     assert table(store.bronze()) == table(merged)
     assert table(store.current_counts()) == table(
         merged, "item_id", "reactions", "comments", "reposts")
@@ -151,15 +151,16 @@ def test_numbers_belong_to_runs(spark, feed, tmp_path):
     assert store.claim("after a numbered batch") == 8
 
 
-def test_a_run_that_failed_half_way_goes_on(spark, feed, tmp_path, monkeypatch):
-    """Items are committed, refreshes are not; the items stay readable all the time."""
+@pytest.mark.parametrize("lost", ["keys", "items"])
+def test_a_run_that_failed_half_way_goes_on(spark, feed, tmp_path, monkeypatch, lost):
+    """The failed run's items stay its own, also when another run has them before it goes on."""
     store = FeedStore(spark, str(tmp_path)).create()
     store.upsert(feed({"item_id": "a"}), 0, DAY1)
     batch = feed({"item_id": "a", "reactions": 5}, {"item_id": "b"})
     write = FeedStore.write_batch
 
     def failing(self, part, rows, number):
-        if part == "refreshes":
+        if part == lost:
             raise OSError("lost")
         write(self, part, rows, number)
 
@@ -167,20 +168,34 @@ def test_a_run_that_failed_half_way_goes_on(spark, feed, tmp_path, monkeypatch):
         patch.setattr(FeedStore, "write_batch", failing)
         with pytest.raises(OSError, match="lost"):
             store.upsert(batch, 1, DAY1)
-    files = set(store.items().inputFiles())
-    assert table(store.items(), "item_id") == [("a",), ("b",)]
-    assert store.upsert(batch, 1, DAY1) == 1
-    assert set(store.items().inputFiles()) == files
-    assert table(store.bronze(), "item_id", "reactions") == [("a", 5), ("b", 0)]
+    assert table(store.bronze(), "item_id") == [("a",)]
+    other = feed({"item_id": "b", "reactions": 9}, {"item_id": "c"})
+    assert store.upsert(other, 2, DAY2) == (1 if lost == "items" else 2)
+    assert store.upsert(batch, 1, DAY1) == (1 if lost == "items" else 0)
+    assert table(store.bronze(), "item_id", "reactions") == [("a", 5), ("b", 9), ("c", 0)]
+
+
+def test_an_older_run_does_not_take_back_newer_counts(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed({"item_id": "a", "reactions": 1}), 0, DAY1)
+    store.upsert(feed({"item_id": "a", "reactions": 7}), 2, DAY1)
+    store.upsert(feed({"item_id": "a", "reactions": 3}), 1, DAY1)
+    assert table(store.bronze(), "item_id", "reactions") == [("a", 7)]
+    store.fold()
+    assert table(store.bronze(), "item_id", "reactions") == [("a", 7)]
 
 
 def test_folding_leaves_one_folder_and_a_rebuild_drops_old_days(spark, feed, tmp_path):
     store = FeedStore(spark, str(tmp_path)).create()
     for number in range(3):
         store.upsert(feed({"item_id": "a", "reactions": number}), number, DAY1)
-    store.fold_refreshes(2)
-    assert store.batches("refreshes") == {2} and store.read("refreshes").count() == 1
+    store.fold()
+    store.fold()
+    assert store.batches("keys") == set() and store.batches("folded") == {2}
+    assert store.read("folded").count() == 1
     assert table(store.bronze(), "item_id", "reactions") == [("a", 2)]
+    store.upsert(feed({"item_id": "a", "reactions": 8}), 3, DAY1)
+    assert table(store.bronze(), "item_id", "reactions") == [("a", 8)]
     stale = spark.createDataFrame([("old", DAY2)], "item_id STRING, created_at TIMESTAMP")
     (store.gold().unionByName(stale, allowMissingColumns=True)
      .withColumn("created_day", F.to_date("created_at")).write.mode("append")
@@ -188,3 +203,93 @@ def test_folding_leaves_one_folder_and_a_rebuild_drops_old_days(spark, feed, tmp
     store.write_silver(silver_rows(spark, {"item_id": "a", "created_at": DAY1}), 2)
     store.write_gold()
     assert table(store.gold(), "item_id") == [("a",)]
+
+
+@pytest.mark.parametrize("at_call", [1, 2, 3])
+def test_a_crash_while_folding_loses_no_counts(spark, feed, tmp_path, monkeypatch, at_call):
+    from feedlens.sources import store as module
+
+    store = FeedStore(spark, str(tmp_path)).create()
+    for number in range(3):
+        store.upsert(feed({"item_id": "a", "reactions": number}, {"item_id": f"k{number}"}),
+                     number, DAY1)
+    before, calls, remove = table(store.bronze()), [], module.remove
+
+    def failing(session, path):
+        calls.append(path)
+        if len(calls) == at_call:
+            raise OSError("killed")
+        remove(session, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "remove", failing)
+        with pytest.raises(OSError, match="killed"):
+            store.fold()
+    assert table(store.bronze()) == before
+    store.upsert(feed({"item_id": "a", "reactions": 50}), 3, DAY1)
+    store.fold()
+    assert table(store.current_counts(), "item_id", "reactions") == [
+        ("a", 50), ("k0", 0), ("k1", 0), ("k2", 0)]
+
+
+def test_uncommitted_keys_are_not_read(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed({"item_id": "a", "reactions": 4}), 0, DAY1)
+    store.upsert(feed({"item_id": "a", "reactions": 9}), 1, DAY1)
+    (tmp_path / "keys" / "batch=1" / "_SUCCESS").unlink()
+    assert table(store.current_counts(), "item_id", "reactions") == [("a", 4)]
+
+
+def test_files_read_by_a_batch_do_not_grow(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path), buckets=4, fold_after=3).create()
+    files = []
+    for number in range(10):
+        store.upsert(feed({"item_id": f"k{number}"}, {"item_id": "same"}), number, DAY1)
+        files.append(len(store.states().inputFiles()))
+    assert max(files) <= 4 * 4 and store.bronze().count() == 11
+    assert FeedStore(spark, str(tmp_path), buckets=99).buckets == 4
+
+
+def scans(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.split("\n") if "PartitionFilters" in line]
+
+
+def test_upkeep_reads_the_buckets_and_days_of_the_batch(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed({"item_id": "a", "created_at": DAY1}), 0, DAY1)
+    rows = feed({"item_id": "a", "created_at": DAY1}).select("*", store.bucket())
+    merged = scans(store._merged(rows, 1))
+    assert merged and all("bucket" in s.partition("PartitionFilters: ")[2].partition("]")[0]
+                          for s in merged)
+    assert all("text" not in s.partition("ReadSchema")[2] for s in merged)
+    for line in scans(store.current_counts([DAY1.date()])):
+        assert "PushedFilters: [" in line and "created_day" in line.partition("PushedFilters")[2]
+    assert store.touched_days(0) == [DAY1.date()]
+    store.write_silver(silver_rows(spark, {"item_id": "a", "created_at": DAY1}), 0)
+    from feedlens.sources.store import on_days
+    silver = scans(on_days(store.read("silver"), [DAY1.date(), None]))
+    assert "created_day" in silver[0].partition("PartitionFilters: ")[2].partition("]")[0]
+    assert on_days(store.read("silver"), []).count() == 0
+
+
+def test_newest_gold_reads_new_days_only(spark, feed, tmp_path):
+    store = FeedStore(spark, str(tmp_path)).create()
+    rows = [{"item_id": f"k{day:02}{i}", "created_at": at(f"2026-01-{day:02}T0{i}:00")}
+            for day in range(1, 13) for i in range(3)]
+    rows += [{"item_id": "tie", "created_at": at("2026-01-12T02:00")},
+             {"item_id": "none", "created_at": None}]
+    store.upsert(feed(*rows), 0, DAY1)
+    store.write_silver(silver_rows(spark, *rows), 0)
+    store.write_gold(0)
+    from feedlens.plans.metrics import newest
+    for n in (0, 1, 4, 5, 36, 38, 50):
+        got = [tuple(r) for r in store.newest_gold(n).collect()]
+        assert got == [tuple(r) for r in newest(store.gold(), n).collect()]
+    assert [r[0] for r in store.newest_gold(2, ["item_id"]).collect()] == ["k122", "tie"]
+    first = store.newest_gold(4)
+    assert len(scans(first)) == 2 and all("2026-01-12" in s for s in scans(first))
+    assert "original_text" not in scans(first)[1] and "original_text" in scans(first)[0]
+    assert all("created_day" in s.partition("PartitionFilters: ")[2].partition("]")[0]
+               for s in scans(first))
+    assert store.newest_gold(40).filter("item_id = 'none'").count() == 1
