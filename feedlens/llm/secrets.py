@@ -40,14 +40,20 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 1.0, "sec
              "access": 0.5, "signing": 0.5, "encryption": 0.5, "session": 0.4, "cookie": 0.4}
 HARMLESS = {"public", "count", "length", "size", "max", "min", "limit", "type", "name", "file",
             "path", "url", "policy", "hint", "label", "field", "id", "tokens", "tokenizer"}
-PLACEHOLDER = re.compile(r"(?i)^(?:[x*.\-_0]+|your.*|my.*|<.*>|\$\{?.*|%.*%|\{\{.*|changeme|example.*"
-                         r"|placeholder|none|null|true|false|undefined|redacted|todo|test|dummy)$")
+_STAND_IN = (r"(?:your|my|own|an?|the|some|any|new|enter|insert|add|put|set|use|example|sample|dummy|test"
+             r"|secret|api|access|private|password|passwd|passphrase|pwd|token|key|credential|value"
+             r"|string|here|goes|me|in)")
+#: What stands for a secret that is not given: signs, variables, and words of which all are known.
+PLACEHOLDER = re.compile(
+    r"(?i)^(?:[x*.\-_0]+|<.*>|\$\{?[\w.]+\}?|%\w+%|\{\{.*\}\}|change[_-]?me|placeholder|none|null|true"
+    rf"|false|undefined|redacted|todo|{_STAND_IN}(?:[ _.-]*{_STAND_IN})*)[.!]?$")
 
 OPERATOR = re.compile(r":=|=>|=|:|</|--(?=[A-Za-z])")
 NAME_SIGNS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-.$@")
 QUOTED = re.compile(r'"""(.*?)"""|\'\'\'(.*?)\'\'\'|"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\''
                     r"|`([^`\n]*)`", re.DOTALL)
 BARE = re.compile(r"""[^\s"'`,;(){}<>\[\]&|]+""")
+LITERAL = 4096
 GAP = re.compile(r"[ \t]*")
 JOINT = re.compile(r"[ \t]*(?:\+|\.(?=[ \t]*[\"'$]))[ \t]*|[ \t]+(?=[\"'])")
 OPTION = re.compile(r"--([A-Za-z][\w.-]*)(?:[ \t]+)(?=[^\s-])")
@@ -77,22 +83,41 @@ def name_score(name: str) -> float:
 
 
 def literal_score(value: str, quoted: bool) -> float:
-    """How much a literal looks like a secret: its entropy, and its mix of signs."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or len(value.split()) > 1:
+    """How much a literal looks like a secret: its entropy, and its mix of signs.
+
+    Words between quotes count less than one word; a literal of one kind of signs passes only for
+    a name that is sensitive as a whole.
+    """
+    if len(value) < 6 or PLACEHOLDER.match(value) or not quoted and len(value.split()) > 1:
         return 0.0
     counts = Counter(value)
     bits = sum(n * math.log2(len(value) / n) for n in counts.values())
     classes = sum(any(map(test, value)) for test in (str.islower, str.isupper, str.isdigit)) + any(
         not c.isalnum() for c in value)
-    mixed = {1: 0.45 if quoted else 0.2, 2: 0.8}.get(classes, 1.0)
-    return min(1.0, bits / 24) * mixed
+    mixed = {1: 0.6 if quoted else 0.2, 2: 0.8}.get(classes, 1.0)
+    return min(1.0, bits / 24) * mixed * (0.6 if len(value.split()) > 1 else 1.0)
 
 
 class Literal(NamedTuple):
-    value: str
+    """A value and the places that its parts come from, each once. Put together from more than
+    ``LITERAL`` signs it has no value of its own, and its parts are judged one by one."""
+
+    value: str | None
     places: tuple[tuple[int, int], ...]
     quoted: bool
 
+    def then(self, other: Literal) -> Literal:
+        """Both one after the other."""
+        places = tuple(dict.fromkeys(self.places + other.places))
+        if None in (self.value, other.value) or len(self.value) + len(other.value) > LITERAL:
+            return Literal(None, places, True)
+        return Literal(self.value + other.value, places, True)
+
+    def score(self, text: str) -> float:
+        if self.value is not None:
+            return literal_score(self.value, self.quoted)
+        return max(literal_score(text[start:end], True) for start, end in self.places)
+
 
 class Lexer:
     """One pass over a text: assignments in order, with the constants known so far."""
@@ -154,29 +179,29 @@ class Lexer:
                 begin = self.text.index(value, start)
                 yield close.group(1), Literal(value, ((begin, begin + len(value)),), False)
 
-    def _operand(self, at: int) -> tuple[Literal | None, int]:
+    def _operand(self, at: int) -> tuple[Literal | None, int, bool]:
+        """The literal at a place, where it ends, and whether it is a part of an expression."""
         quoted = QUOTED.match(self.text, at)
         if quoted:
             group = quoted.lastindex
-            return Literal(quoted.group(group), (quoted.span(group),), True), quoted.end()
+            return (Literal(quoted.group(group), (quoted.span(group),), True), quoted.end(), True)
         bare = BARE.match(self.text, at)
         if not bare:
-            return None, at
+            return None, at, False
         word, end = bare.group(), bare.end()
         if word.rstrip(".") in self.constants:
-            return self.constants[word.rstrip(".")], end
+            return self.constants[word.rstrip(".")], end, True
         if self.text.startswith(("(", "["), end):
-            return None, end
-        return Literal(word, ((at, end),), False), end
+            return None, end, False
+        return Literal(word, ((at, end),), False), end, False
 
     def _expression(self, at: int) -> tuple[Literal | None, int]:
-        whole, end = self._operand(at)
-        while whole and whole.quoted and (joint := JOINT.match(self.text, end)):
-            part, after = self._operand(joint.end())
-            if part is None or not (part.quoted or part.places in
-                                    [c.places for c in self.constants.values()]):
+        whole, end, joins = self._operand(at)
+        while whole and joins and whole.quoted and (joint := JOINT.match(self.text, end)):
+            part, after, known = self._operand(joint.end())
+            if part is None or not known:
                 break
-            whole, end = Literal(whole.value + part.value, whole.places + part.places, True), after
+            whole, end = whole.then(part), after
         return whole, end
 
 
@@ -196,7 +221,7 @@ def lexed_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> li
         sensitive = name_score(name)
         if not sensitive:
             continue
-        score = sensitive * literal_score(literal.value, literal.quoted)
+        score = sensitive * literal.score(text)
         if score < threshold:
             continue
         for start, end in literal.places:

@@ -84,3 +84,67 @@ def test_masking(make_docs):
 def test_long_lines_take_linear_time():
     for text in ("a=" * 60000, '="' * 60000, "<" * 100000, "x" * 200000 + "=", "--a" * 50000):
         sc.secret_spans(text)
+
+
+def lexed(text):
+    return [text[s.start:s.end] for s in sc.secret_spans(text) if s.kind == "lexed"]
+
+
+def test_chained_constants_stay_small():
+    import time
+    text = 'a0 = "abcdEF12"\n' + "".join(f"a{i} = a{i - 1} + a{i - 1}\n" for i in range(1, 41))
+    began = time.time()
+    assert lexed(text + "db_pwd = a40\n") == ["abcdEF12"]
+    fibonacci = 'b0 = "Zx9"\nb1 = "kQ7!"\n' + "".join(
+        f"b{i} = b{i - 1} + b{i - 2}\n" for i in range(2, 300))
+    assert lexed(fibonacci + 'admin_pwd = b9\n') == ["Zx9", "kQ7!"]
+    assert time.time() - began < 2
+    long = "".join(f'p{i} = "{"Ab1!" * 400}{i}"\n' for i in range(5))
+    assert len(lexed(long + "db_pwd = p0 + p1 + p2 + p3 + p4\n")) == 5
+
+
+def test_literals_of_one_kind_and_with_blanks():
+    for text, value in (('passphrase = "kqzvwhtrplmx"', "kqzvwhtrplmx"),
+                        ('DB_PASSPHRASE = "8842317760"', "8842317760"),
+                        ('db_pwd = "myS3cr3t!Zq9"', "myS3cr3t!Zq9"),
+                        ('admin_pwd = "correct horse battery 9X!"', "correct horse battery 9X!"),
+                        ('db_pwd = "exampleQ7!vv"', "exampleQ7!vv")):
+        assert lexed(text) == [value]
+    for text in ('passphrase = "your-passphrase-here"', 'db_pwd = "my_password"',
+                 'db_pwd = "enter your password here"', 'db_pwd = "${DB_PWD}"',
+                 'db_pwd = "changeme"', 'passphrase = "xxxxxxxxxx"', 'db_pwd = "plain words here"',
+                 'pwd_hint = "Zq8!kkW0p"'):
+        assert lexed(text) == []
+
+
+def test_random_programs_against_an_evaluator():
+    """Programs of constants, references and sums; every literal that a sensitive name is made of
+    must be found, and nothing else."""
+    draw = random.Random(17)
+    for _ in range(300):
+        lines, parts, value, expected = [], {}, {}, set()
+        at = 0
+        for i in range(draw.randrange(1, 9)):
+            name = draw.choice(["db_pwd", "alpha", "beta", "passphrase", "colour"]) + str(i)
+            terms, own, whole = [], [], ""
+            for _ in range(draw.randrange(1, 4)):
+                if parts and draw.random() < .4:
+                    ref = draw.choice(sorted(parts))
+                    terms.append(ref)
+                    own += parts[ref]
+                    whole += value[ref]
+                else:
+                    literal = "".join(draw.choices("abXY01!?", k=draw.randrange(1, 9)))
+                    start = at + len(f"{name} = ") + len(" + ".join([*terms, '"']))
+                    terms.append(f'"{literal}"')
+                    own.append((start, start + len(literal)))
+                    whole += literal
+            line = f"{name} = " + " + ".join(terms)
+            parts[name], value[name] = list(dict.fromkeys(own)), whole
+            if sc.name_score(name) * sc.literal_score(whole, True) >= sc.THRESHOLD:
+                expected |= set(own)
+            lines.append(line)
+            at += len(line) + 1
+        text = "\n".join(lines)
+        found = {(s.start, s.end) for s in sc.secret_spans(text) if s.kind == "lexed"}
+        assert found == expected, text
