@@ -12,6 +12,8 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import map_batches, read_table, stored
+from feedlens.session import lookup_join, materialize
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
@@ -136,6 +139,16 @@ def common_length(sequence: np.ndarray, at: np.ndarray, queries: np.ndarray,
     return length
 
 
+def pair_blocks(low: np.ndarray, high: np.ndarray, array: np.ndarray, size: int = 1 << 20):
+    """All pairs of a query and a place in its range of the suffix array, in blocks of a bounded
+    size: ``(query numbers, places in the sequence)``."""
+    bounds = np.concatenate([[0], np.cumsum(high - low)])
+    for start in range(0, int(bounds[-1]), size):
+        pair = np.arange(start, min(start + size, int(bounds[-1])))
+        query = np.searchsorted(bounds, pair, side="right") - 1
+        yield query, array[low[query] + pair - bounds[query]]
+
+
 class ShardSearch:
     """Search of a benchmark slice in the suffix array of one shard."""
 
@@ -167,19 +180,17 @@ class ShardSearch:
         array = suffix_array(sequence, int(self.width.max()))
         low = bisect(sequence, array, self.flat, self.base, self.width, False)
         high = bisect(sequence, array, self.flat, self.base, self.width, True)
-        counts = high - low
-        query = np.repeat(np.arange(len(low)), counts)
-        rank = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + low[query]
-        at = array[rank]
-        length = common_length(sequence, at, self.flat, self.base[query])
-        before = (at > 0) & (self.where[1][query] > 0)
-        before[before] = sequence[at[before] - 1] == self.flat[self.base[query[before]] - 1]
         ends = np.cumsum(lengths)
-        document = np.searchsorted(ends, places[at], side="right")
-        offset = places[at] - (ends - lengths)[document]
-        for i in np.flatnonzero(~before):  # a match that starts earlier covers this one
-            found[document[i]].append((int(self.where[0][query[i]]), int(offset[i]),
-                                       int(self.where[1][query[i]]), int(length[i])))
+        for query, at in pair_blocks(low, high, array):
+            before = (at > 0) & (self.where[1][query] > 0)
+            before[before] = sequence[at[before] - 1] == self.flat[self.base[query[before]] - 1]
+            query, at = query[~before], at[~before]  # a match that starts earlier covers the rest
+            length = common_length(sequence, at, self.flat, self.base[query])
+            document = np.searchsorted(ends, places[at], side="right")
+            offset = places[at] - (ends - lengths)[document]
+            for d, *match in zip(document.tolist(), self.where[0][query].tolist(), offset.tolist(),
+                                 self.where[1][query].tolist(), length.tolist(), strict=True):
+                found[d].append(tuple(match))
         return found
 
 
@@ -190,19 +201,20 @@ def _search(shared, window: int):
 
         def run(batch: pa.RecordBatch):
             documents = [words_of(t) for t in batch.column("text").to_pylist()]
-            earlier = batch.column("matches").to_pylist()
-            out = []
-            for known, found in zip(earlier, search.matches(documents), strict=True):
-                fresh = [{"item_id": item, "doc_start": at, "item_start": start, "words": n}
-                         for number, at, start, n in found for item in ids[number]]
-                out.append((known or []) + fresh)
-            return [[len(d) for d in documents], out]
+            matches = [[{"item_id": item, "doc_start": at, "item_start": start, "words": n}
+                        for number, at, start, n in found for item in ids[number]]
+                       for found in search.matches(documents)]
+            return [[len(d) for d in documents], matches]
 
         return run
 
     return make
 
 
+def _count_words():
+    return lambda batch: [[len(words_of(t)) for t in batch.column("text").to_pylist()]]
+
+
 def benchmark_slices(benchmark: DataFrame, limit: int = SLICE_BYTES):
     """The benchmark as lists of ``(item_id, text)`` of about ``limit`` bytes, one at a time."""
     size = benchmark.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
@@ -220,17 +232,33 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, keep: tuple[str, ...]
     the document and in the item, words. A window is ``window`` consecutive words, or the whole
     item if it is shorter; items without words have none. Null and empty texts have no words and
     no matches. Items with equal words each match. Other columns are not read.
+
+    A benchmark larger than ``slice_bytes`` is searched slice by slice: the rows are stored once,
+    and a slice's pass only writes the matches that it found.
     """
     spark = documents.sparkSession
     kept = tuple(dict.fromkeys((*keep, "text")))
-    rows = documents.select(*kept).withColumn("matches", F.lit(None).cast(MATCHES))
-    for i, items in enumerate(benchmark_slices(benchmark.select("item_id", "text"), slice_bytes)):
-        if i:
-            rows = stored(rows.drop("n_words"), "leaks")
-        shared = spark.sparkContext.broadcast(items)
-        rows = map_batches(rows, _search(shared, window), f"n_words long, matches {MATCHES}",
-                           keep=kept)
-    return rows.select(*keep, "n_words", "matches")
+    slices = benchmark_slices(benchmark.select("item_id", "text"), slice_bytes)
+
+    def searched(rows: DataFrame, items: list, keep: tuple[str, ...]) -> DataFrame:
+        return map_batches(rows, _search(spark.sparkContext.broadcast(items), window),
+                           f"n_words long, matches {MATCHES}", keep=keep)
+
+    first = next(slices)
+    second = next(slices, None)
+    if second is None:
+        return searched(documents.select(*kept), first, kept).select(*keep, "n_words", "matches")
+    number = F.monotonically_increasing_id()
+    rows = stored(documents.select(*kept).withColumn("search_row", number), "searched")
+    parts = [stored(searched(rows.select("search_row", "text"), items, ("search_row",))
+                    .filter(F.size("matches") > 0).select("search_row", "matches"), "leaks")
+             for items in chain((first, second), slices)]
+    found = materialize(reduce(DataFrame.unionByName, parts).groupBy("search_row").agg(
+        F.flatten(F.collect_list("matches")).alias("matches")), "leaks")
+    joined = lookup_join(rows, found, ["search_row"], "left")
+    counted = map_batches(joined, _count_words, "n_words long", keep=(*kept, "matches"))
+    none = F.array().cast(MATCHES)
+    return counted.select(*keep, "n_words", F.coalesce("matches", none).alias("matches"))
 
 
 def _hits():

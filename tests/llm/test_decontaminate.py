@@ -92,3 +92,41 @@ def test_suffix_array_is_sorted():
     sequence = draw.integers(0, 3, 300)
     order = dc.suffix_array(sequence, 400)
     assert [list(sequence[i:]) for i in order] == sorted(list(sequence[i:]) for i in range(300))
+
+
+def test_repeated_words_take_bounded_time_and_memory():
+    import time
+
+    from feedlens.llm.decontaminate import Benchmark, ShardSearch
+
+    began = time.time()
+    for n_item, n_doc in ((2000, 2000), (200, 20_000)):
+        search = ShardSearch(Benchmark.of([(1, "aa " * n_item)], 10))
+        found = search.matches([[b"aa"] * n_doc])[0]
+        covered = set()
+        for _, at, _, n in found:
+            covered.update(range(at, at + n))
+        assert len(covered) == n_doc and len(found) <= n_item + n_doc
+        assert max(n for *_, n in found) == min(n_item, n_doc)
+    assert time.time() - began < 20
+
+
+def test_slices_store_texts_once_and_give_the_same(spark, make_docs, monkeypatch):
+    from feedlens.llm import decontaminate as dc
+
+    words = [f"w{i}" for i in range(60)]
+    items = spark.createDataFrame(
+        [(i, " ".join(words[i:i + 12])) for i in range(0, 48, 3)] + [(99, None), (98, "zz")],
+        "item_id long, text string")
+    docs = make_docs((1, " ".join(words)), (2, None), (3, "zz top"), (4, " ".join(words[20:40])),
+                     (4, " ".join(words[20:40])), (None, " ".join(words[5:30])), (6, "clean"))
+    written, store = [], dc.stored
+    monkeypatch.setattr(dc, "stored", lambda df, name: written.append(df.columns) or store(df, name))
+
+    def rows(size):
+        return sorted(repr((r["doc_id"], r["n_words"], sorted(map(tuple, r["matches"]))))
+                      for r in dc.find_leaks(docs, items, slice_bytes=size).collect())
+
+    assert rows(200) == rows(1 << 20)
+    assert sum("text" in columns for columns in written) == 1 and len(written) > 4
+    assert dc.find_leaks(docs.limit(0), items, slice_bytes=200).count() == 0
