@@ -27,7 +27,7 @@ from feedlens.session import lookup_join, materialize
 SHINGLE = 5
 PERMUTATIONS = 40
 BANDS = 20
-SMALL, SAMPLED = 48, 9
+SMALL, SMALL_AGAIN, SAMPLED = 16, 48, 9
 LOOKUP_BYTES = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20260101)
@@ -314,10 +314,11 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     done: list[DataFrame] = []
     while not members.isEmpty():
         first = not done
+        small = SMALL if first else SMALL_AGAIN
         top = F.max(F.struct("central", "node")) if first else F.lit(None)
         sizes = stored(members.groupBy("bucket").agg(top.alias("top"), F.count("*").alias("size")),
                        "sizes")
-        few = members.join(sizes.filter(F.col("size") <= SMALL).select("bucket"), "bucket")
+        few = members.join(sizes.filter(F.col("size") <= small).select("bucket"), "bucket")
         other = few.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"))
         pairs = (few.select("bucket", F.col("node").alias("a"), "n").join(other, "bucket")
                  .filter((F.col("a") < F.col("b")) & (100 * F.least("n", "m")
@@ -327,7 +328,7 @@ def _rooted(rows: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         done.append(stored(pairs, "pairs"))
         links.append(stored(_linked(done[-1], sets, threshold), "links"))
-        many = members.join(sizes.filter(F.col("size") > SMALL).select("bucket", "top"), "bucket")
+        many = members.join(sizes.filter(F.col("size") > small).select("bucket", "top"), "bucket")
         many = stored((_by_top_member(many) if first else many).select("bucket", "node", "n"),
                       "many")
         if many.isEmpty():
