@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import id_remainder, map_batches, read_table
-from feedlens.session import lookup_join, measured
+from feedlens.session import lookup_join, materialize, measured
 
 SAMPLE = 4000
+SAMPLE_BYTES = 256 << 20
 PLACE_BITS = 18
 RUNS = (2, 3, 4, 6, 9, 14)
 PLACES = 256 + (1 << 16) + (1 << PLACE_BITS) + len(RUNS)
@@ -161,11 +162,26 @@ def _features():
     return run
 
 
+def _bounded(made: DataFrame, limit: int = SAMPLE_BYTES) -> list:
+    """One row per id (of rows that repeat an id the least features), ``limit`` bytes at most:
+    those with the smallest hash of their id."""
+    folded = materialize(made.groupBy("doc_id", "quality").agg(F.min("places").alias("places")),
+                         "features")
+    table = folded.table
+    if not folded.fits(limit):
+        sizes = table.orderBy(F.xxhash64("doc_id"), "doc_id").select(
+            "doc_id", F.size("places").alias("n")).collect()  # as many as the sample has
+        total = np.cumsum([4 * row["n"] + 64 for row in sizes])
+        table = table.filter(F.col("doc_id").isin(
+            [row["doc_id"] for row, size in zip(sizes, total, strict=True) if size <= limit]))
+    return table.collect()
+
+
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled documents, those with the smallest hash of their id.
 
     Only ids whose crc32 modulo 4 is not 2 are used. Labels without id or quality are left out;
-    of several labels of one id the lowest counts.
+    of several labels of one id the lowest counts. Their features are held to ``SAMPLE_BYTES``.
     """
     usable = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
               .filter(id_remainder("doc_id", FOLDS) != HELD_OUT)
@@ -173,7 +189,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = lookup_join(documents.select("doc_id", "text"), measured(picked), ["doc_id"])
     made = map_batches(rows, _features, "places array<int>", keep=("doc_id", "quality"))
-    found = sorted(made.collect(), key=lambda r: (r["doc_id"], r["quality"], r["places"]))
+    found = sorted(_bounded(made), key=lambda r: r["doc_id"])
     order = np.random.default_rng(7).permutation(len(found))
     return fit([np.array(found[i]["places"], np.int32) for i in order],
                np.array([found[i]["quality"] == 1 for i in order], bool))
