@@ -402,6 +402,7 @@ lang_best AS (
 on_feed("classify_terms", "SELECT item_id, topic AS label FROM topic_best", TOKENS,
         listed("topic", TOPICS, "general chatter"))
 on_feed("classify_bayes", "SELECT * FROM lang_best", TOKENS, BAYES)
+ORACLE["bayes_incremental"] = ORACLE["classify_bayes"]
 on_feed("classify_bayes_held_out", """
 SELECT f.item_id, label, f.lang FROM lang_best JOIN feed f USING (item_id)
 WHERE item_id LIKE 'doc:%' AND TRY_CAST(substr(item_id, 5) AS BIGINT) % 2 = 1""", TOKENS,

@@ -10,7 +10,8 @@ from feedlens.functions.actions import parse_reply, suggest_action
 from feedlens.functions.identity import surrogate_key
 from feedlens.functions.text import clean_markup
 from feedlens.functions.times import instant
-from feedlens.operators.classify import classify, fill_language, learn_bayes
+from feedlens.operators.classify import (add_counts, bayes_from_counts, classify, count_terms,
+                                         fill_language, learn_bayes)
 from feedlens.operators.enrich import enrich
 from feedlens.operators.entities import match_entities, prepare_gazetteer
 from feedlens.operators.gold import gold_items
@@ -25,7 +26,7 @@ from feedlens.plans import metrics
 from feedlens.plans.runs import (incoming_from_folder, incoming_from_payloads, run_all,
                                  run_bronze)
 from feedlens.schema import (COUNT_COLS, LOCAL_ZONE, TOPICS, FeedConfig)
-from feedlens.session import scratch_path
+from feedlens.session import materialize, scratch_path
 from feedlens.sources.files import preview_json, read_drop, write_json
 from feedlens.sources.payloads import (COMMENTS_PAYLOAD, METADATA_PAYLOAD, POSTS_PAYLOAD,
                                        flatten_comments, flatten_metadata, flatten_posts,
@@ -445,6 +446,16 @@ def classify_bayes(spark, sf_dir):
     return classify(fx.bronze(spark, sf_dir), fx.language_model(spark, sf_dir))
 
 
+@query
+def bayes_incremental(spark, sf_dir):
+    """The language model from two batches of documents, each counted by itself."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    parts = [materialize(count_terms(docs.filter(F.pmod("doc_id", F.lit(2)) == i), fx.LANGUAGES),
+                         "counts").table for i in (0, 1)]
+    model = bayes_from_counts(add_counts(*parts), fx.LANGUAGES)
+    return classify(fx.bronze(spark, sf_dir), model)
+
+
 @query
 def classify_bayes_held_out(spark, sf_dir):
     """Learned on the documents of even id, applied to those of odd id."""

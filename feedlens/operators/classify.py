@@ -26,16 +26,35 @@ def list_weights(label_terms: DataFrame, labels: Sequence[str]) -> TermWeights:
     return TermWeights(table.select("term", weights.alias("weights")), tuple(labels))
 
 
-def learn_bayes(labelled: DataFrame, labels: Sequence[str], smoothing: int = 1) -> TermWeights:
-    """Multinomial Naive Bayes from rows of ``item_id``, ``text`` and ``label``.
+def count_terms(labelled: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """How many terms of each label's texts are which: ``term`` and ``n0, n1, ...``, one per label.
 
-    Weights are log-probabilities times a million, rounded. The empty term holds the priors.
+    The empty term counts the texts. Counts of several sets of rows add up, see ``add_counts``.
     """
     rows = labelled.select("label", F.explode(
         F.concat(F.array(F.lit(ONCE)), terms(F.col("text")))).alias("term"))
-    counts = materialize(
-        rows.groupBy("term").agg(*[F.count_if(F.col("label") == label).alias(f"n{i}")
-                                   for i, label in enumerate(labels)]), "bayes").table
+    return rows.groupBy("term").agg(*[F.count_if(F.col("label") == label).alias(f"n{i}")
+                                      for i, label in enumerate(labels)])
+
+
+def add_counts(counts: DataFrame, more: DataFrame) -> DataFrame:
+    """Two tables of ``count_terms`` as one: a new batch is counted by itself, and the history is
+    not read again."""
+    slots = [c for c in counts.columns if c != "term"]
+    return counts.unionByName(more).groupBy("term").agg(*[F.sum(c).alias(c) for c in slots])
+
+
+def learn_bayes(labelled: DataFrame, labels: Sequence[str], smoothing: int = 1) -> TermWeights:
+    """Multinomial Naive Bayes from rows of ``item_id``, ``text`` and ``label``."""
+    return bayes_from_counts(count_terms(labelled, labels), labels, smoothing)
+
+
+def bayes_from_counts(counted: DataFrame, labels: Sequence[str], smoothing: int = 1) -> TermWeights:
+    """Multinomial Naive Bayes from the counts of ``count_terms``.
+
+    Weights are log-probabilities times a million, rounded. The empty term holds the priors.
+    """
+    counts = materialize(counted, "bayes").table
     once = F.col("term") == ONCE
     slots = [f"n{i}" for i in range(len(labels))]
     sizes = counts.agg(

@@ -27,10 +27,12 @@ METADATA_PAYLOAD = (
 
 
 def reaction_total(summaries: Column) -> Column:
-    """All counts of a reaction map added up; a missing map or count is 0."""
-    total = F.aggregate(F.map_values(summaries), F.lit(0),
-                        lambda acc, r: acc + F.coalesce(r["count"], F.lit(0)))
-    return F.coalesce(total, F.lit(0))
+    """All counts of a reaction map added up; a missing map or count is 0. A sum beyond the range of
+    the column is its largest number."""
+    none = F.lit(0).cast("bigint")
+    total = F.aggregate(F.map_values(summaries), none,
+                        lambda acc, r: acc + F.coalesce(r["count"].cast("bigint"), none))
+    return F.least(F.coalesce(total, none), F.lit(2 ** 31 - 1)).cast("int")
 
 
 def flatten_metadata(pages: DataFrame) -> DataFrame:
@@ -67,7 +69,7 @@ def flatten_comments(pages: DataFrame) -> DataFrame:
             .select(
                 F.coalesce(F.when(F.col(c + "commentUrn") != "", F.col(c + "commentUrn")),
                            F.concat("post_id", F.lit("#comment:"), F.coalesce(
-                               F.col(c + "id"),
+                               F.nullif(F.col(c + "id"), F.lit("")),
                                surrogate_key(F.col(c + "actor"), F.col(c + "message.text")))),
                            surrogate_key(F.col(c + "actor"), F.col(c + "message.text")),
                            ).alias("item_id"),

@@ -298,3 +298,16 @@ def test_a_long_phrase_makes_no_rows_for_other_texts(crowded):
     from feedlens.operators.entities import with_phrases
     found = with_phrases(one_word, using.gazetteer.phrases, "inner")
     assert found.count() <= 6 * one_word.count()
+
+
+def test_counts_of_batches_add_up_exactly(spark):
+    from feedlens.operators.classify import add_counts, bayes_from_counts, count_terms
+
+    rows = [("en", "the good the bad"), ("es", "la cola"), ("en", None), (None, "lost words"),
+            ("es", "la mala the"), ("fr", "not a label")]
+    schema, labels = "label STRING, text STRING", ("en", "es")
+    whole = table(learn_bayes(spark.createDataFrame(rows, schema), labels).table)
+    for cut in (0, 2, 6):
+        parts = [count_terms(spark.createDataFrame(part, schema), labels)
+                 for part in (rows[:cut], rows[cut:])]
+        assert table(bayes_from_counts(add_counts(*parts), labels).table) == whole

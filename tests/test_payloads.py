@@ -61,3 +61,19 @@ def test_posts_and_comments_become_one_feed(spark, tmp_path):
     assert len(by_id["p1"]["author"]) == 16 and by_id["p4"]["author"] is None
     assert {r["source"] for r in by_id.values()} == {"linkedin_api"}
     assert by_id["p4"]["lang"] is None and by_id["p4"]["created_at"] is None
+
+
+def test_large_reaction_sums_and_blank_comment_ids(spark):
+    from pyspark.sql import functions as F
+
+    from feedlens.sources.payloads import flatten_comments, reaction_total
+    big = spark.sql("SELECT map('A', named_struct('count', 2147483647), "
+                    "'B', named_struct('count', 5)) AS m")
+    assert big.select(reaction_total(F.col("m"))).first()[0] == 2147483647
+    element = "named_struct('id', '', 'commentUrn', '', 'actor', '{0}', 'message', named_struct('text', '{0}'), " \
+              "'created', named_struct('time', 0L), 'likesSummary', named_struct('totalLikes', 1), " \
+              "'commentsSummary', named_struct('aggregatedTotalComments', 0))"
+    pages = spark.sql("SELECT 'p' AS post_id, array(" + ", ".join(
+        element.format(t) for t in ("one", "two")) + ") AS elements")
+    keys = {r["item_id"] for r in flatten_comments(pages).collect()}
+    assert len(keys) == 2 and all(k.startswith("p#comment:") for k in keys)
