@@ -257,6 +257,16 @@ SELECT count(*) FILTER (WHERE author_headline = 'system' OR text IS NULL
                         OR NOT regexp_matches(text, '\\S')) AS rejected, count(*) AS rows
 FROM feed""")
 
+on_feed("reject_counts", """
+SELECT 'corrupt_line' AS cause, count(*) FILTER (WHERE length(text) % 11 = 3) AS rows FROM feed
+UNION ALL SELECT 'wrong_type', count(*) FILTER (WHERE length(text) % 11 = 5) FROM feed
+UNION ALL SELECT 'no_text', count(*) FILTER (WHERE length(text) % 11 <> 3 AND (
+    author_headline = 'system' OR NOT regexp_matches(text, '\\S'))) FROM feed
+UNION ALL SELECT 'no_key', count(*) FILTER (WHERE length(text) % 11 = 7
+    AND author_headline <> 'system' AND regexp_matches(text, '\\S')) FROM feed""")
+on_feed("reply_buckets", """
+SELECT 'escalate' AS bucket, count(*) AS replies FROM feed WHERE length(text) % 3 = 0""")
+
 MILLIS = "make_timestamp_ms(epoch_us(created_at) // 1000)"
 CLEAN = (r"regexp_replace(regexp_replace(text, '\\([\\()\[\]{}@#*_~<>|])', '\1', 'g'), "
          r"'^\s+|\s+$', '', 'g')")

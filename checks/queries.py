@@ -18,7 +18,8 @@ from feedlens.operators.gold import gold_items
 from feedlens.operators.infer import infer
 from feedlens.operators.normalize import keep_tracked, normalize
 from feedlens.operators.places import location_moods, place_mood, top_locations
-from feedlens.operators.quality import mask_text, quality_report, rejected_rows, with_post
+from feedlens.operators.quality import (counting_rejects, mask_text, quality_report,
+                                        rejected_rows, unknown_buckets, with_post)
 from feedlens.operators.sentiment import score_sentiment
 from feedlens.operators.translate import pending_translations, translate
 from feedlens.operators.upsert import dedup_batch, merge_feed, not_in
@@ -27,7 +28,7 @@ from feedlens.plans.runs import (incoming_from_folder, incoming_from_payloads, r
                                  run_bronze)
 from feedlens.schema import (COUNT_COLS, LOCAL_ZONE, TOPICS, FeedConfig)
 from feedlens.session import materialize, scratch_path
-from feedlens.sources.files import preview_json, read_drop, write_json
+from feedlens.sources.files import preview_json, read_drop, read_json, write_json
 from feedlens.sources.payloads import (COMMENTS_PAYLOAD, METADATA_PAYLOAD, POSTS_PAYLOAD,
                                        flatten_comments, flatten_metadata, flatten_posts,
                                        payload_feed)
@@ -163,6 +164,34 @@ def rejected_count(spark, sf_dir):
     return rejected_rows(blank)
 
 
+@query
+def reject_counts(spark, sf_dir):
+    """The feed as JSON lines of which some are broken, have words for a count, no key or no text;
+    the counts are taken while a batch is written."""
+    kind = F.length("text") % 11
+    line = F.to_json(F.struct(
+        F.when(kind != 7, F.col("item_id")).alias("item_id"),
+        F.when(F.col("author_headline") != "system", F.col("text")).otherwise(" ").alias("text"),
+        F.when(kind == 5, F.lit("many")).otherwise(F.coalesce("comments", F.lit(0)).cast("string"))
+        .alias("comments")))
+    number = F.regexp_replace(line, '"comments":"([0-9-]+)"', '"comments":$1')
+    folder = scratch_path(spark, "damaged")
+    raw_rows(spark, sf_dir).select(F.when(kind == 3, F.concat(F.lit("{broken "), "item_id"))
+                                   .otherwise(number)).write.text(folder)
+    rows, seen = counting_rejects(read_json(spark, [folder], rejects=True))
+    rows.write.parquet(scratch_path(spark, "taken"))
+    return spark.createDataFrame(list(seen.get.items()), "cause STRING, rows BIGINT")
+
+
+@query
+def reply_buckets(spark, sf_dir):
+    """Unknown buckets among replies."""
+    bucket = F.when(F.length("text") % 3 == 0, F.lit("escalate")).when(
+        F.length("text") % 3 == 1, F.lit("monitor"))
+    reply = F.concat(F.lit("So: "), F.to_json(F.struct(bucket.alias("bucket"))), F.lit(" ok"))
+    return unknown_buckets(fx.bronze(spark, sf_dir).select(reply.alias("reply")))
+
+
 def landed(rows: DataFrame, schema) -> DataFrame:
     """Rows as landed JSON text, read back with the payload's schema."""
     body = F.to_json(F.struct(*rows.columns))

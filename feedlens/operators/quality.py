@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from feedlens.functions.actions import REPLY_OBJECT
 from feedlens.functions.text import has_text, mask
 from feedlens.schema import BUCKETS, ITEM_TYPES, SENTIMENTS, SOURCES, THEMES, TOPICS
+from feedlens.sources.files import REJECTED
 
 DOMAINS = {"item_type": ITEM_TYPES, "sentiment": SENTIMENTS, "topic": TOPICS, "theme": THEMES,
            "action_bucket": BUCKETS, "source": SOURCES}
@@ -50,6 +52,46 @@ def rejected_rows(raw: DataFrame) -> DataFrame:
                    F.count("*").alias("rows"))
 
 
+def reject_causes(raw: DataFrame) -> dict[str, Column]:
+    """Aggregates over raw rows read with ``rejects``: how many fall to which cause.
+
+    ``corrupt_line`` cannot be read at all, ``wrong_type`` has a value that is no number where one
+    is due (kept, the value is null), ``no_text`` is dropped for want of text, ``no_key`` gets a key
+    made from its content. A row counts under each cause that it has, but a corrupt line under no
+    other.
+    """
+    rejected = F.col(REJECTED.name).isNotNull()
+    values = [F.col(c) for c in raw.columns if c != REJECTED.name]
+    corrupt = rejected & F.coalesce(*[v.cast("string") for v in values]).isNull()
+    text = has_text(F.col("text"))
+    flags = {"corrupt_line": corrupt, "wrong_type": rejected & ~corrupt,
+             "no_text": ~corrupt & ~text,
+             "no_key": text & ~F.coalesce(has_text(F.col("item_id")), F.lit(False))}
+    return {cause: F.count_if(flag).alias(cause) for cause, flag in flags.items()}
+
+
+def reject_report(raw: DataFrame) -> DataFrame:
+    """``cause`` and ``rows`` of raw rows read with ``rejects``."""
+    causes = reject_causes(raw)
+    return raw.agg(*causes.values()).unpivot([], list(causes), "cause", "rows")
+
+
+def counting_rejects(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """Raw rows as a run takes them, and the counts by cause, which are there once the rows have
+    been written: no pass of their own."""
+    seen = Observation("rejects")
+    return raw.observe(seen, *reject_causes(raw).values()).drop(REJECTED.name), seen
+
+
+def unknown_buckets(replies: DataFrame) -> DataFrame:
+    """``bucket`` and ``replies`` for the buckets of a ``reply`` column that are not among the
+    known ones, so that a prompt that drifts is seen."""
+    named = F.get_json_object(F.regexp_extract("reply", REPLY_OBJECT, 0), "$.bucket")
+    return (replies.select(named.alias("bucket"))
+            .filter(F.col("bucket").isNotNull() & ~F.col("bucket").isin(*BUCKETS))
+            .groupBy("bucket").agg(F.count("*").alias("replies")))
+
+
 def mask_text(feed: DataFrame, columns: Sequence[str], where: Column, pattern: str = r"(?s).+",
               replacement: str = "***") -> DataFrame:
     """``feed`` with ``pattern`` replaced in ``columns`` of the rows that meet ``where``."""

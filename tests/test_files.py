@@ -87,3 +87,22 @@ def test_preview_and_json_round_trip(spark, feed, tmp_path):
     assert [r["item_id"] for r in shown.collect()] == [f"i{k:02d}" for k in range(10)]
     assert table(read_drop(spark, str(tmp_path / "out")), "item_id", "text") == \
         table(rows, "item_id", "text")
+
+
+def test_rejects_of_both_formats_and_their_causes(spark, tmp_path):
+    from feedlens.operators.quality import counting_rejects, reject_report
+    from feedlens.sources.files import list_drop, read_paths
+
+    folder = drop(tmp_path, a__json='{"text": "j", "item_id": "1", "reactions": "many"}\n{broken\n'
+                                    '{"item_id": "2", "text": " "}\n{"text": "no key"}\n',
+                  b__csv="text,item_id,reactions\nc,3,x7\nd,4,8\n,5,1\n")
+    rows = read_paths(spark, list_drop(spark, folder), rejects=True)
+    expected = [("corrupt_line", 1), ("no_key", 1), ("no_text", 2), ("wrong_type", 2)]
+    assert table(reject_report(rows)) == expected
+    taken, seen = counting_rejects(rows)
+    taken.write.format("noop").mode("overwrite").save()
+    assert sorted(seen.get.items()) == expected
+    assert taken.columns == read_drop(spark, folder).columns
+    assert table(taken) == table(read_drop(spark, folder))
+    only_text = drop(tmp_path / "x", **{}) if (tmp_path / "x").mkdir() is None else None
+    assert read_paths(spark, list_drop(spark, only_text), rejects=True).count() == 0
