@@ -485,6 +485,7 @@ on_feed("action_rules", f"SELECT item_id, {BUCKET} AS bucket, {ACTION} AS action
 on_feed("infer_batch", """
 SELECT item_id, 'monitor' AS bucket, 'Read ' || (length(text) + 6) || ' characters' AS action
 FROM feed""")
+ORACLE["infer_once_batches"] = ORACLE["infer_batch"]
 ENRICHED = f"""
 labelled AS (
   SELECT f.* EXCLUDE (lang, sentiment, topic, theme, speaker, company, location, action_bucket),

@@ -15,7 +15,7 @@ from feedlens.operators.classify import (add_counts, bayes_from_counts, classify
 from feedlens.operators.enrich import enrich
 from feedlens.operators.entities import match_entities, prepare_gazetteer
 from feedlens.operators.gold import gold_items
-from feedlens.operators.infer import infer
+from feedlens.operators.infer import infer, infer_once
 from feedlens.operators.normalize import keep_tracked, normalize
 from feedlens.operators.places import location_moods, place_mood, top_locations
 from feedlens.operators.quality import (counting_rejects, mask_text, quality_report,
@@ -549,6 +549,26 @@ def infer_batch(spark, sf_dir):
     return replies.select("item_id", bucket.alias("bucket"), action.alias("action"))
 
 
+@query
+def infer_once_batches(spark, sf_dir):
+    """Replies of a stand-in model in two runs, each distinct prompt asked once; it fails on batches
+    with a very long text, and answers that text when it is asked alone."""
+    def load():
+        def reply(prompts):
+            if len(prompts) > 1 and prompts.str.len().max() > 20_000:
+                raise ValueError("too long for a batch")
+            return ('{"bucket": "monitor", "action": "Read '
+                    + prompts.str.len().astype("string") + ' characters"}')
+        return reply
+
+    path, rows = scratch_path(spark, "answers"), fx.bronze(spark, sf_dir).select("item_id", "text")
+    infer_once(rows.filter(F.col("item_id").startswith("conv:")), load, path, "Post: ").write \
+        .format("noop").mode("overwrite").save()
+    bucket, action = parse_reply(F.col("reply"))
+    return infer_once(rows, load, path, "Post: ").select(
+        "item_id", bucket.alias("bucket"), action.alias("action"))
+
+
 @query
 def enrich_all(spark, sf_dir):
     rows = enrich(fx.bronze(spark, sf_dir), fx.enrichment(spark, sf_dir))

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlens.session import lookup_join, materialize
+
+ANSWERS = "prompt_hash STRING, reply STRING, error STRING, failed BOOLEAN"
+
 
 def infer(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]],
           prompt: str = "", column: str = "reply", partitions: int | None = None) -> DataFrame:
@@ -27,3 +31,63 @@ def infer(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]]
     if partitions is not None:
         items = items.repartition(partitions)
     return items.withColumn(column, answer(F.concat(F.lit(prompt), F.col("text"))))
+
+
+def answers(spark: SparkSession, path: str) -> DataFrame:
+    """``prompt_hash`` and ``reply`` of every prompt answered so far, each once."""
+    rows = spark.read.schema(ANSWERS).parquet(path).filter(~F.col("failed"))
+    return rows.groupBy("prompt_hash").agg(F.min("reply").alias("reply"))
+
+
+def failures(spark: SparkSession, path: str) -> DataFrame:
+    """Prompts that failed and have no answer yet, with one of their errors."""
+    rows = spark.read.schema(ANSWERS).parquet(path).filter("failed")
+    failed = rows.groupBy("prompt_hash").agg(F.min("error").alias("error"))
+    return failed.join(answers(spark, path), "prompt_hash", "left_anti")
+
+
+def infer_once(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]], path: str,
+               prompt: str = "", column: str = "reply",
+               partitions: int | None = None) -> DataFrame:
+    """Like ``infer``, with one call per distinct prompt, ever.
+
+    ``path`` is a folder of answers, kept by the hash of the prompt: prompts answered in an earlier
+    run are not asked again, copies of a text are asked once, and new answers are appended. Where a
+    batch of prompts fails, its prompts are asked one by one; those that fail again are kept apart
+    with their error, have a null reply, and are asked again by the next run. A row without text
+    has no prompt and a null reply.
+    """
+    @F.pandas_udf("reply STRING, error STRING")
+    def asked(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reply = load()
+
+        def alone(one: str) -> tuple[str | None, str | None]:
+            try:
+                return reply(pd.Series([one])).iloc[0], None
+            except Exception as error:
+                return None, f"{type(error).__name__}: {error}"[:1000]
+
+        for batch in batches:
+            try:
+                got = pd.DataFrame({"reply": list(reply(batch)), "error": None})
+            except Exception:
+                got = pd.DataFrame([alone(one) for one in batch], columns=["reply", "error"])
+            yield got
+
+    spark = items.sparkSession
+    spark.createDataFrame([], ANSWERS).coalesce(1).write.mode("ignore").partitionBy("failed") \
+        .parquet(path)
+    whole = F.concat(F.lit(prompt), F.col("text"))
+    keyed = items.withColumn("_prompt", F.sha2(whole, 256))
+    open_ = (keyed.filter("_prompt IS NOT NULL").groupBy(F.col("_prompt").alias("prompt_hash"))
+             .agg(F.min(whole).alias("prompt"))
+             .join(answers(spark, path), "prompt_hash", "left_anti"))
+    open_ = materialize(open_, "prompts").table
+    if partitions is not None:
+        open_ = open_.repartition(partitions)
+    got = open_.select("prompt_hash", asked.asNondeterministic()("prompt").alias("a"))
+    (got.select("prompt_hash", "a.reply", "a.error", F.col("a.error").isNotNull().alias("failed"))
+     .write.mode("append").partitionBy("failed").parquet(path))
+    known = materialize(answers(spark, path).select(
+        F.col("prompt_hash").alias("_prompt"), F.col("reply").alias(column)), "answers")
+    return lookup_join(keyed, known, ["_prompt"], "left").drop("_prompt")

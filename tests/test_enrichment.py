@@ -311,3 +311,41 @@ def test_counts_of_batches_add_up_exactly(spark):
         parts = [count_terms(spark.createDataFrame(part, schema), labels)
                  for part in (rows[:cut], rows[cut:])]
         assert table(bayes_from_counts(add_counts(*parts), labels).table) == whole
+
+
+def test_one_call_per_distinct_prompt(spark, tmp_path):
+    from feedlens.operators.infer import failures, infer_once
+
+    log, path = str(tmp_path / "calls"), str(tmp_path / "answers")
+
+    def model(broken):
+        def load():
+            def reply(prompts):
+                with open(log, "a") as file:
+                    file.writelines(f"{p}\n" for p in prompts)
+                if any(broken and broken in p for p in prompts):
+                    raise RuntimeError("no answer")
+                return prompts.str.upper()
+            return reply
+        return load
+
+    def asked():
+        with open(log) as file:
+            lines = file.read().split("\n")[:-1]
+        open(log, "w").close()
+        return sorted(lines)
+
+    rows = items(spark, *["same"] * 1000, "other", None)
+    done = infer_once(rows, model(None), path, "do: ")
+    assert done.columns == [*rows.columns, "reply"] and done.count() == 1002
+    assert asked() == ["do: other", "do: same"]
+    assert {r["reply"] for r in done.collect()} == {"DO: SAME", "DO: OTHER", None}
+    more = items(spark, "same", "bad", "good", "fine")
+    assert table(infer_once(more, model("bad"), path, "do: ", partitions=1), "text", "reply") == [
+        ("bad", None), ("fine", "DO: FINE"), ("good", "DO: GOOD"), ("same", "DO: SAME")]
+    assert set(asked()) == {"do: bad", "do: fine", "do: good"}
+    assert [r["error"] for r in failures(spark, path).collect()] == ["RuntimeError: no answer"]
+    assert table(infer_once(more, model(None), path, "do: "), "text", "reply")[0] == ("bad", "DO: BAD")
+    assert asked() == ["do: bad"] and failures(spark, path).count() == 0
+    infer_once(more, model(None), path, "do: ").collect()
+    assert asked() == []

@@ -15,7 +15,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n != "infer_batch"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("infer_")])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert not re.search("EvalPython|InPandas|CartesianProduct", text)
