@@ -92,11 +92,15 @@ class FeedStore:
         return f"{self.base}/{part}"
 
     def create(self) -> FeedStore:
-        """Make the folders of the tables that do not exist yet; existing ones stay as they are."""
-        for part, schema in PARTS.items():
-            rows = [(self.new_buckets,)] if part == "layout" else []
-            self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("ignore") \
-                .partitionBy(*FOLDERS.get(part, ())).parquet(self.path(part))
+        """Make the folders of the tables that do not exist yet; existing ones stay as they are.
+
+        An empty folder is an empty table: every read names its schema.
+        """
+        for part in FOLDERS:
+            files, where = hadoop_path(self.spark, self.path(part))
+            files.mkdirs(where)
+        layout = self.spark.range(1).select(F.lit(self.new_buckets).alias("buckets"))
+        layout.coalesce(1).write.mode("ignore").parquet(self.path("layout"))
         return self
 
     @cached_property
