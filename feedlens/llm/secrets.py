@@ -13,7 +13,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -56,7 +59,7 @@ BARE = re.compile(r"""[^\s"'`,;(){}<>\[\]&|]+""")
 LITERAL = 4096
 GAP = re.compile(r"[ \t]*")
 JOINT = re.compile(r"[ \t]*(?:\+|\.(?=[ \t]*[\"'$]))[ \t]*|[ \t]+(?=[\"'])")
-OPTION = re.compile(r"--([A-Za-z][\w.-]*)(?:[ \t]+)(?=[^\s-])")
+OPTION = re.compile(r"--([A-Za-z](?:[\w.]|-(?!-))*+)[ \t]+(?=[^\s-])")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -98,25 +101,48 @@ def literal_score(value: str, quoted: bool) -> float:
     return min(1.0, bits / 24) * mixed * (0.6 if len(value.split()) > 1 else 1.0)
 
 
-class Literal(NamedTuple):
-    """A value and the places that its parts come from, each once. Put together from more than
-    ``LITERAL`` signs it has no value of its own, and its parts are judged one by one."""
+class Literal:
+    """A value and what it is made of: a place of the text, or two other literals.
 
-    value: str | None
-    places: tuple[tuple[int, int], ...]
-    quoted: bool
+    Literals share their parts, so a chain of constants takes a node a line. Put together from more
+    than ``LITERAL`` signs it has no value of its own, and its parts are judged one by one.
+    """
+
+    __slots__ = ("value", "quoted", "place", "pair", "_strongest")
+
+    def __init__(self, value: str | None, quoted: bool, place: tuple[int, int] | None = None,
+                 pair: tuple[Literal, Literal] | None = None):
+        self.value, self.quoted, self.place, self.pair = value, quoted, place, pair
+        self._strongest = max(part.strongest() for part in pair) if pair else None
+
+    def strongest(self) -> float:
+        """The highest score among the places that it is made of."""
+        if self._strongest is None:
+            self._strongest = literal_score(self.value, True)
+        return self._strongest
 
     def then(self, other: Literal) -> Literal:
         """Both one after the other."""
-        places = tuple(dict.fromkeys(self.places + other.places))
-        if None in (self.value, other.value) or len(self.value) + len(other.value) > LITERAL:
-            return Literal(None, places, True)
-        return Literal(self.value + other.value, places, True)
-
-    def score(self, text: str) -> float:
-        if self.value is not None:
-            return literal_score(self.value, self.quoted)
-        return max(literal_score(text[start:end], True) for start, end in self.places)
+        whole = None
+        if (self.value is not None and other.value is not None
+                and len(self.value) + len(other.value) <= LITERAL):
+            whole = self.value + other.value
+        return Literal(whole, True, pair=(self, other))
+
+    def score(self) -> float:
+        return self.strongest() if self.value is None else literal_score(self.value, self.quoted)
+
+    def places(self, seen: set[Literal]) -> Iterator[tuple[int, int]]:
+        """The places that it is made of, without what ``seen`` has, to which they are added."""
+        waiting = [self]
+        while waiting:
+            part = waiting.pop()
+            if part not in seen:
+                seen.add(part)
+                if part.pair:
+                    waiting.extend(part.pair)
+                else:
+                    yield part.place
 
 
 class Lexer:
@@ -145,9 +171,9 @@ class Lexer:
             if not name or text.startswith("//", start):
                 continue
             literal, end = self._expression(start)
+            taken = max(taken, end)  # a word that is called has no literal in its rest either
             if literal is None:
                 continue
-            taken = end
             self.constants[name] = literal
             yield name, literal
 
@@ -177,14 +203,14 @@ class Lexer:
             value = self.text[start:at].strip()
             if value and self.text.startswith(close.group(1), opened + 1):
                 begin = self.text.index(value, start)
-                yield close.group(1), Literal(value, ((begin, begin + len(value)),), False)
+                yield close.group(1), Literal(value, False, (begin, begin + len(value)))
 
     def _operand(self, at: int) -> tuple[Literal | None, int, bool]:
         """The literal at a place, where it ends, and whether it is a part of an expression."""
         quoted = QUOTED.match(self.text, at)
         if quoted:
             group = quoted.lastindex
-            return (Literal(quoted.group(group), (quoted.span(group),), True), quoted.end(), True)
+            return Literal(quoted.group(group), True, quoted.span(group)), quoted.end(), True
         bare = BARE.match(self.text, at)
         if not bare:
             return None, at, False
@@ -193,7 +219,7 @@ class Lexer:
             return self.constants[word.rstrip(".")], end, True
         if self.text.startswith(("(", "["), end):
             return None, end, False
-        return Literal(word, ((at, end),), False), end, False
+        return Literal(word, False, (at, end)), end, False
 
     def _expression(self, at: int) -> tuple[Literal | None, int]:
         whole, end, joins = self._operand(at)
@@ -215,18 +241,25 @@ def base_spans(text: str) -> list[Span]:
 
 
 def lexed_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> list[Span]:
-    """Literals of sensitive names that no base span holds."""
-    best: dict[tuple[int, int], Span] = {}
+    """Literals of sensitive names that no base span holds.
+
+    The strongest names come first, so each part of a literal is looked at once.
+    """
+    judged = []
     for name, literal in Lexer(text).assignments():
         sensitive = name_score(name)
-        if not sensitive:
-            continue
-        score = sensitive * literal.score(text)
-        if score < threshold:
-            continue
-        for start, end in literal.places:
-            if start < end and not any(b.start <= start and end <= b.end for b in base) and (
-                    (start, end) not in best or best[start, end].score < score):
+        if sensitive and (score := sensitive * literal.score()) >= threshold:
+            judged.append((score, name, literal))
+    base = sorted(base, key=lambda span: span.start)
+    starts = [span.start for span in base]
+    reach = list(accumulate((span.end for span in base), max))  # furthest end so far
+    best: dict[tuple[int, int], Span] = {}
+    seen: set[Literal] = set()
+    for score, name, literal in sorted(judged, key=lambda found: -found[0]):
+        for start, end in literal.places(seen):
+            before = bisect_right(starts, start)
+            if start < end and (start, end) not in best and not (
+                    before and reach[before - 1] >= end):
                 best[start, end] = Span("lexed", start, end, start, name, score)
     return list(best.values())
 

@@ -65,6 +65,7 @@ def test_random_texts_and_edges(edge_docs, make_docs):
     ("the key: a small thing to say", []), ("max_tokens = 4096", []),
     ('public_key = "ssh-rsa-AAAAB3Nza"', []), ("bearer = os.environ['X']", []),
     ('credential = "changeme"', []), ('title = "aZ19xQ77Lm0p"', []), ("12:30 = noon", []),
+    ("run --x--db-pass Zx9Qw8Er7Ty", ["Zx9Qw8Er7Ty"]), ("db_pwd = fetch:now(", []),
     ("see http://host/key=1", []), ('pwd = "${DB_PWD}"', []), ("a = b = c", []),
 ])
 def test_lexed_literals(text, expected):
@@ -82,8 +83,12 @@ def test_masking(make_docs):
 
 
 def test_long_lines_take_linear_time():
-    for text in ("a=" * 60000, '="' * 60000, "<" * 100000, "x" * 200000 + "=", "--a" * 50000):
+    import time
+    for text in ("a=" * 60000, '="' * 60000, "<" * 100000, "x" * 200000 + "=", "--a" * 50000,
+                 "a:" * 60000 + "(", "</a>" * 50000, "--a " * 50000, "a='" * 50001):
+        began = time.time()
         sc.secret_spans(text)
+        assert time.time() - began < 5
 
 
 def lexed(text):
@@ -103,6 +108,21 @@ def test_chained_constants_stay_small():
     assert len(lexed(long + "db_pwd = p0 + p1 + p2 + p3 + p4\n")) == 5
 
 
+def test_long_chains_take_linear_time_and_memory():
+    import time
+    import tracemalloc
+    n = 8000
+    plain = 'a0 = "Zq8!kkW0"\n' + "".join(f'a{i} = a{i - 1} + "Zq8!kk{i}"\n' for i in range(1, n))
+    judged = plain.replace("a", "pwd")
+    tokens = "".join(f'token = "Zq8kkW{i}"\npwd{i} = "Ab3!xY{i}"\n' for i in range(n))
+    for text, count in ((plain + f"db_pwd = a{n - 1}\n", n), (judged, n), (tokens, n)):
+        tracemalloc.start()
+        began = time.time()
+        assert len(lexed(text)) == count
+        assert time.time() - began < 10 and tracemalloc.get_traced_memory()[1] < 100 << 20
+        tracemalloc.stop()
+
+
 def test_literals_of_one_kind_and_with_blanks():
     for text, value in (('passphrase = "kqzvwhtrplmx"', "kqzvwhtrplmx"),
                         ('DB_PASSPHRASE = "8842317760"', "8842317760"),
