@@ -1,5 +1,6 @@
 import hashlib
 import random
+from itertools import groupby
 
 import numpy as np
 import pytest
@@ -95,3 +96,66 @@ def test_phrases_are_short_and_neighbouring_labels_differ(seed):
     assert labels.max() <= 5
     inner = np.setdiff1d(np.arange(1, 4000), first)
     assert (labels[inner] != labels[inner - 1]).all()
+
+
+M = (1 << 64) - 1
+STEP = 0x9E3779B97F4A7C15
+
+
+def plain_mix(x):
+    x &= M
+    x ^= x >> 33
+    x = x * 0xFF51AFD7ED558CCD & M
+    x ^= x >> 29
+    x = x * 0xC4CEB9FE1A85EC53 & M
+    return x ^ x >> 32
+
+
+def plain_toss(symbols):
+    labels = [symbols[0] & 1]
+    for left, own in zip(symbols, symbols[1:]):
+        bit = next(b for b in range(64) if (left ^ own) >> b & 1)
+        labels.append(2 * bit + (own >> bit & 1))
+    return labels
+
+
+def plain_phrases(symbols):
+    """The symbols cut into phrases, one sign after the other, from the definition."""
+    labels = symbols
+    for _ in range(4):
+        labels = plain_toss(labels)
+    at = lambda i: labels[i] if 0 <= i < len(labels) else 0
+    peak = lambda i: 0 <= i < len(labels) and at(i - 1) < at(i) > at(i + 1)
+    valley = lambda i: at(i - 1) > at(i) < at(i + 1)
+    phrases = [[symbols[0]]]
+    for i in range(1, len(symbols)):
+        if i > 1 and (peak(i) or valley(i) and not peak(i - 1) and not peak(i + 1)):
+            phrases.append([])
+        phrases[-1].append(symbols[i])
+    return phrases
+
+
+def plain_fingerprint(text):
+    symbols = [plain_mix(ord(c) + STEP) for c in text]
+    hashes, level = set(), 0
+    while True:
+        if level >= fp.SKETCH_LEVEL:
+            hashes |= {plain_mix(s ^ STEP) >> 32 for s in symbols}
+        if len(symbols) == 1:
+            break
+        runs = [(symbol, len(list(group))) for symbol, group in groupby(symbols)]
+        symbols = [s if n == 1 else plain_mix(s + n * STEP) for s, n in runs]
+        symbols = [plain_mix(sum(plain_mix(s + i * STEP) for i, s in enumerate(phrase))
+                             + len(phrase)) for phrase in plain_phrases(symbols)]
+        level += 1
+    lowest = sorted(hashes or {symbols[0] >> 32})[:fp.SKETCH]
+    return f"{symbols[0] ^ len(text):016x}:" + "".join(f"{h:08x}" for h in lowest)
+
+
+def test_fingerprints_against_a_parse_sign_by_sign():
+    draw = random.Random(23)
+    texts = ["a", "ab", "aa", "aba", "aaaaaaa", "é" * 40 + "b" * 3, "\U0001f600\n\t "]
+    for alphabet in ("ab", "abc ", "abcdefghijklmnopqrstuvwxyz .,", "éàü漢字\U0001f600"):
+        texts += ["".join(draw.choices(alphabet, k=draw.choice((1, 2, 3, 7, 40, 300, 2500))))
+                  for _ in range(25)]
+    assert fp.fingerprints(texts) == [plain_fingerprint(t) for t in texts]
