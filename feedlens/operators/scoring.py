@@ -62,24 +62,57 @@ def item_terms(items: DataFrame) -> DataFrame:
     return items.select("item_id", F.explode(with_once).alias("term"))
 
 
+def frequent_weights(rows: DataFrame, weights: CombinedWeights, limit: int) -> DataFrame | None:
+    """The most frequent terms of ``rows`` with their weights, null where a term has none.
+
+    As many as ``limit`` bytes hold, cut between powers of two of the frequency; None if that is
+    not one.
+    """
+    power = F.floor(F.log2(F.count("*"))).cast("int")
+    counts = materialize(rows.groupBy("term").agg(power.alias("power")), "frequencies").table
+    width = 8 + sum(24 + 8 * n for n in weights.widths.values())
+    sizes = counts.groupBy("power").agg(F.sum(F.octet_length("term") + width).alias("bytes"))
+    least, used = None, 0
+    for row in sizes.orderBy(F.desc("power")).collect():  # a row per power of two, below 64
+        used += row["bytes"]
+        if used > limit:
+            break
+        least = row["power"]
+    if least is None:
+        return None
+    frequent = counts.filter(F.col("power") >= least).select("term")
+    return materialize(frequent.join(weights.stored.table, "term", "left"), "frequent").table
+
+
 def score_items(items: DataFrame, weights: CombinedWeights,
                 limit: int = BROADCAST_BYTES) -> DataFrame:
     """``item_id`` and one array of summed weights per classifier, for every item.
 
     Broadcast weights leave the terms where they are: all terms of an item are in one task, which
-    adds them up before the only shuffle. Weights too large for that are joined by term; then an
-    item's equal terms are counted first, and AQE cuts the partitions of hot terms.
+    adds them up before the only shuffle. Of weights too large for that, those of the terms most
+    frequent in the items are broadcast, and only rows of the other terms are joined by term. Where
+    no term fits, an item's equal terms are counted first, and AQE cuts the partitions of hot terms.
     """
     rows = item_terms(items)
     table = weights.stored.table
-    if weights.stored.fits(limit):
-        hits = rows.join(F.broadcast(table), "term", "left")
-        times = F.lit(1).cast("bigint")
-    else:
+    whole = weights.stored.fits(limit)
+    near = table if whole else frequent_weights(rows, weights, limit)
+
+    def summed(hits: DataFrame, times: Column) -> DataFrame:
+        return hits.groupBy("item_id").agg(
+            *summed_weights(weights, lambda weight: times * weight))
+
+    one = F.lit(1).cast("bigint")
+    if near is None:
         counted = rows.groupBy("item_id", "term").agg(F.count("*").alias("n"))
-        hits = counted.join(table, "term", "left")
-        times = F.col("n")
-    sums = hits.groupBy("item_id").agg(*summed_weights(weights, lambda weight: times * weight))
+        sums = summed(counted.join(table, "term", "left"), F.col("n"))
+    else:
+        sums = summed(rows.join(F.broadcast(near), "term", "left"), one)
+    if near is not None and not whole:
+        others = rows.join(F.broadcast(near.select("term")), "term", "left_anti")
+        sums = sums.unionByName(summed(others.join(table, "term"), one))
+        sums = sums.groupBy("item_id").agg(
+            *[F.sum(c).alias(c) for c in sums.columns if c != "item_id"])
     return sums.select("item_id", *weight_arrays(weights))
 
 

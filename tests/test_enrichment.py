@@ -7,7 +7,7 @@ from feedlens.operators.classify import classify, fill_language, learn_bayes, li
 from feedlens.operators.enrich import enrich, prepare_enrichment
 from feedlens.operators.entities import match_entities, prepare_gazetteer
 from feedlens.operators.infer import infer
-from feedlens.operators.scoring import combine, score_items
+from feedlens.operators.scoring import combine, frequent_weights, item_terms, score_items
 from feedlens.operators.sentiment import learn_lexicon, lexicon_weights, score_sentiment
 from feedlens.operators.translate import pending_translations, text_hash, translate
 from feedlens.schema import SILVER_SCHEMA
@@ -78,6 +78,29 @@ def test_large_weights_take_the_shuffle_and_agree(spark, lexicon):
     assert "broadcast" not in plan
 
 
+def test_large_weights_move_only_the_terms_that_are_not_frequent(spark):
+    """Some weights fit, and only the rows of the other terms go through a shuffle by term."""
+    lists = [("ab"[i % 2], f"t{i:03}") for i in range(200)] + [("a", "often"), ("b", "twice")]
+    weights = combine({"score": list_weights(
+        spark.createDataFrame(lists, "label STRING, term STRING"), ("a", "b"))})
+    rows = items(spark, *[f"often often unlisted twice t{i:03} t{i:03} new{i}" for i in range(200)],
+                 None, "")
+    expected = table(score_items(rows, weights))
+    assert expected[0] == ("i0", [4, 1])
+    for limit in (60, 400, 3000):
+        large = score_items(rows, weights, limit=limit)
+        assert table(large) == expected
+        near = frequent_weights(item_terms(rows), weights, limit)
+        if limit == 60:
+            assert near is None or near.count() < 4
+        else:
+            assert {"often", "unlisted", "twice"} <= {r["term"] for r in near.collect()}
+            moved = item_terms(rows).join(near, "term", "left_anti").count()
+            assert moved <= 600 < item_terms(rows).count() - 600
+            plan = large._jdf.queryExecution().optimizedPlan().toString()
+            assert "LeftAnti" in plan and "broadcast" in plan
+
+
 GAZETTEER = [("World Trade Center", "location", "WTC"), ("world trade", "location", "Trade"),
              ("acme", "company", "Acme"), ("Acme", "company", "Acme Ltd"),
              ("Ann Lee", "speaker", "Ann Lee"), ("bob", "speaker", "Bob")]
