@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.session import lookup_join, materialize
+from feedlens.session import lookup_join, materialize, short_batches
 
 ANSWERS = "prompt_hash STRING, reply STRING, error STRING, failed BOOLEAN"
 
@@ -18,8 +18,8 @@ def infer(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]]
     """``items`` with ``column``: the reply to ``prompt`` followed by the text, for every row.
 
     ``load`` runs once per task and returns the function that answers a batch of prompts. Only
-    the prompts go to Python; the other columns stay where they are. ``partitions`` bounds how
-    many tasks, and so how many clients of a service, run at once.
+    the prompts go to Python, some 2,000 at a time; the other columns stay where they are.
+    ``partitions`` bounds how many tasks, and so how many clients of a service, run at once.
     """
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -28,6 +28,7 @@ def infer(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]]
             yield reply(batch)
 
     answer = answer.asNondeterministic()  # else a filter on the reply asks the model once more
+    short_batches(items.sparkSession)
     if partitions is not None:
         items = items.repartition(partitions)
     return items.withColumn(column, answer(F.concat(F.lit(prompt), F.col("text"))))
@@ -85,6 +86,7 @@ def infer_once(items: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Ser
     open_ = materialize(open_, "prompts").table
     if partitions is not None:
         open_ = open_.repartition(partitions)
+    short_batches(spark)
     got = open_.select("prompt_hash", asked.asNondeterministic()("prompt").alias("a"))
     (got.select("prompt_hash", "a.reply", "a.error", F.col("a.error").isNotNull().alias("failed"))
      .write.mode("append").partitionBy("failed").parquet(path))

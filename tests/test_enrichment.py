@@ -336,6 +336,25 @@ def test_counts_of_batches_add_up_exactly(spark):
         assert table(bayes_from_counts(add_counts(*parts), labels).table) == whole
 
 
+def test_python_holds_few_prompts_at_a_time(spark, tmp_path):
+    from feedlens.operators.infer import infer_once
+
+    def load():
+        return lambda prompts: prompts.str.len().astype("string") + f" of {len(prompts)}"
+
+    name, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", None
+    before = spark.conf.get(name)
+    spark.conf.set(name, 10_000)
+    try:
+        rows = spark.range(0, 5000, 1, 1).select(
+            F.col("id").alias("item_id"), F.concat(F.lit("text "), "id").alias("text"))
+        for found in (infer(rows, load), infer_once(rows, load, str(tmp_path / "answers"))):
+            sizes = {int(r["reply"].split()[-1]) for r in found.collect()}
+            assert max(sizes) <= 2000
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_one_call_per_distinct_prompt(spark, tmp_path):
     from feedlens.operators.infer import failures, infer_once
 
