@@ -346,15 +346,23 @@ def all_layers(spark, sf_dir):
     return store.gold()
 
 
+def arriving_files(spark, sf_dir, least: int) -> int:
+    """In how many files of about 64 MB of text the feed arrives, ``least`` of a small one."""
+    sizes = [fx.table(spark, sf_dir, name).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+             for name in ("documents", "conversations")]
+    return max(least, -(-sum(sizes) // (64 << 20)))
+
+
 @query
 def stream_upsert(spark, sf_dir):
-    """The feed as arriving files, a few per micro-batch, merged into the stored Bronze table."""
+    """The feed as arriving files, half of them per micro-batch, merged into the stored Bronze
+    table."""
     base = scratch_path(spark, "stream")
-    rows = raw_rows(spark, sf_dir)
-    write_json(rows.repartition(4, "item_id"), f"{base}/drop")
+    rows, files = raw_rows(spark, sf_dir), arriving_files(spark, sf_dir, 4)
+    write_json(rows.repartition(files, "item_id"), f"{base}/drop")
     store = FeedStore(spark, f"{base}/store")
     run_stream(store, f"{base}/drop", CONFIG, fx.AS_OF, f"{base}/progress",
-               files_per_batch=2).awaitTermination()
+               files_per_batch=-(-files // 2)).awaitTermination()
     return store.bronze()
 
 
@@ -362,13 +370,13 @@ def stream_upsert(spark, sf_dir):
 def mixed_runs(spark, sf_dir):
     """One store: a batch of some files, a stream over all of them, and the batch once more."""
     base = scratch_path(spark, "mixed")
-    rows = raw_rows(spark, sf_dir)
-    write_json(rows.repartition(4, "item_id"), f"{base}/drop")
+    rows, files = raw_rows(spark, sf_dir), arriving_files(spark, sf_dir, 4)
+    write_json(rows.repartition(files, "item_id"), f"{base}/drop")
     store = FeedStore(spark, f"{base}/store").create()
     part = normalize(rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(3)) == 0), CONFIG, fx.AS_OF)
     run_bronze(store, part, store.claim("first"), fx.AS_OF)
     run_stream(store, f"{base}/drop", CONFIG, fx.AS_OF, f"{base}/progress",
-               files_per_batch=2).awaitTermination()
+               files_per_batch=-(-files // 2)).awaitTermination()
     run_bronze(store, part, store.claim("again"), fx.AS_OF)
     return store.bronze()
 
@@ -380,11 +388,12 @@ def stream_all_layers(spark, sf_dir):
     base = scratch_path(spark, "stream")
     rows = dropped_rows(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(2)))
     store, using = FeedStore(spark, f"{base}/store"), fx.enrichment(spark, sf_dir)
+    files = max(2, -(-arriving_files(spark, sf_dir, 2) // 2))
     for part, enrichment in ((0, None), (1, using)):
-        rows.filter(F.col("part") == part).drop("part").repartition(2, "item_id") \
+        rows.filter(F.col("part") == part).drop("part").repartition(files, "item_id") \
             .write.mode("append").json(f"{base}/drop")
         run_stream(store, f"{base}/drop", CONFIG, fx.AS_OF, f"{base}/progress", enrichment,
-                   files_per_batch=1).awaitTermination()
+                   files_per_batch=-(-files // 2)).awaitTermination()
     return store.gold()
 
 

@@ -2,6 +2,7 @@ import json
 import os
 
 from conftest import at, table
+from pyspark.sql import functions as F
 
 from feedlens.operators.classify import learn_bayes, list_weights
 from feedlens.operators.enrich import prepare_enrichment
@@ -126,3 +127,12 @@ def test_items_of_a_bronze_only_stream_are_enriched_later(spark, tmp_path):
     assert [r[0] for r in table(store.silver(), "item_id")] == ["a", "b", "c"]
     assert [r[0] for r in table(store.gold(), "item_id")] == ["a", "b", "c"]
     assert not store.without_silver(9)
+
+
+def test_files_that_arrive_grow_in_number_not_in_size(spark, tmp_path):
+    from checks.queries import arriving_files
+    for name, key in (("documents", "doc_id"), ("conversations", "conv_id")):
+        spark.range(0, 160, 1, 4).select(F.col("id").alias(key), F.expr(
+            "repeat('abcdefgh', 131072)").alias("text")).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert arriving_files(spark, str(tmp_path), 4) == 5
+    assert arriving_files(spark, "/root/testdata/sf0.001", 4) == 4
