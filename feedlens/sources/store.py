@@ -17,7 +17,8 @@ say nothing against it. So after every ``fold_after`` batches the newest rows of
 written to ``folded`` and the folders that they came from are removed: whether a reader or a
 crash finds both, or only one of them, makes no difference.
 
-Silver and Gold are laid out by creation day. A batch rebuilds the days that it touched.
+Silver and Gold are laid out by creation day. A batch rebuilds the days that it touched. Their files
+hold an English text that is the original once, with a mark; ``silver()`` and ``gold()`` show it twice.
 """
 
 from __future__ import annotations
@@ -31,15 +32,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.functions.times import instant
-from feedlens.operators.gold import gold_items
+from feedlens.operators.gold import engaged, gold_items
 from feedlens.operators.upsert import KEY, dedup_batch, not_in
 from feedlens.plans.metrics import newest
 from feedlens.plans.summary import SUMMARY_SCHEMA, summarize
 from feedlens.schema import BRONZE_COLS, BRONZE_SCHEMA, COUNT_COLS, GOLD_SCHEMA, SILVER_SCHEMA
-from feedlens.session import hadoop_path, lookup_join, measured, remove, scratch_path
+from feedlens.session import (hadoop_path, lookup_join, materialize, measured, remove,
+                              scratch_path)
 
 DAY = "created_day"
 BUCKETS, FOLD_AFTER = 16, 16
+PACKED = {"compression": "zstd"}
+SMALL_FILE = 8 << 20
+SAME = "text_en_as_original"
+MARK = T.StructField(SAME, T.BooleanType())
 BATCH = T.StructField("batch", T.LongType())
 DAY_FIELD = T.StructField(DAY, T.DateType())
 STATE = T.StructType([BRONZE_SCHEMA[KEY], DAY_FIELD, *[BRONZE_SCHEMA[c] for c in COUNT_COLS],
@@ -52,8 +58,8 @@ PARTS = {
                            BATCH]),
     "keys": STATE,
     "folded": STATE,
-    "silver": T.StructType([*SILVER_SCHEMA, BATCH, DAY_FIELD]),
-    "gold": T.StructType([*GOLD_SCHEMA, DAY_FIELD]),
+    "silver": T.StructType([*SILVER_SCHEMA, MARK, BATCH, DAY_FIELD]),
+    "gold": T.StructType([*GOLD_SCHEMA, MARK, DAY_FIELD]),
     "summary": T.StructType([*SUMMARY_SCHEMA, DAY_FIELD]),
 }
 #: What a part's folders are named by; within a batch folder for the last three of batches.
@@ -78,6 +84,18 @@ def newest_state(states: DataFrame) -> DataFrame:
             .select(KEY, "newest.*"))
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """Rows with an English text that equals the original left out, and marked so."""
+    text, same = F.col("text_en"), F.coalesce(F.col("text_en") == F.col("original_text"), F.lit(False))
+    return rows.withColumn(SAME, same).withColumn("text_en", F.when(~F.col(SAME), text))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The rows that ``packed`` was given; those written without a mark are as they were."""
+    text = F.when(F.col(SAME), F.col("original_text")).otherwise(F.col("text_en"))
+    return rows.withColumn("text_en", text).drop(SAME)
+
+
 class FeedStore:
     """Bronze, Silver and Gold below one folder."""
 
@@ -112,7 +130,8 @@ class FeedStore:
         return F.pmod(F.xxhash64(KEY), F.lit(self.buckets)).cast("int").alias("bucket")
 
     def read(self, part: str) -> DataFrame:
-        return self.spark.read.schema(PARTS[part]).parquet(self.path(part))
+        rows = self.spark.read.schema(PARTS[part]).parquet(self.path(part))
+        return unpacked(rows) if SAME in PARTS[part].names else rows
 
     # ---- batches ----
 
@@ -145,7 +164,7 @@ class FeedStore:
             rows = rows.select(*[f.name for f in PARTS[part] if f.name != "batch"])
             if inner:  # each folder's rows in few tasks, a large folder's in more than one
                 rows = rows.hint("rebalance", *inner)
-            rows.write.mode("overwrite").partitionBy(*inner).parquet(
+            rows.write.mode("overwrite").partitionBy(*inner).options(**PACKED).parquet(
                 f"{self.path(part)}/batch={batch}")
 
     # ---- Bronze ----
@@ -203,7 +222,7 @@ class FeedStore:
         if batch not in self.batches("items", True):
             rows = dedup_batch(incoming.select(*BRONZE_COLS)).filter(F.col(KEY).isNotNull())
             path = scratch_path(self.spark, "incoming")
-            rows.select("*", self.bucket()).write.parquet(path)
+            rows.select("*", self.bucket()).write.options(**PACKED).parquet(path)
             schema = T.StructType([*rows.schema, STATE["bucket"]])
             rows = self.spark.read.schema(schema).parquet(path)
             self.write_batch("keys", self._merged(rows, batch), batch)
@@ -256,7 +275,8 @@ class FeedStore:
     def write_silver(self, rows: DataFrame, batch: int) -> None:
         """Write a batch's Silver; batches that it caught up with get an empty folder of theirs."""
         behind = self.without_silver(batch)
-        self.write_batch("silver", rows.withColumn(DAY, F.to_date("created_at")), batch)
+        rows = rows.withColumn(DAY, F.to_date("created_at"))
+        self.write_batch("silver", packed(rows), batch)
         for earlier in sorted(behind):
             self.write_batch("silver", rows.sparkSession.createDataFrame([], PARTS["silver"]),
                              earlier)
@@ -287,13 +307,14 @@ class FeedStore:
 
         Days are replaced when the job commits, so a failed run leaves the old ones in place, and
         a day can always be rebuilt from Silver. A full rebuild also removes days without rows. A
-        day with very many items is written by several tasks.
+        day with very many items is written by several tasks. Engagements that fit are sent to
+        the rows; where Silver's files, each of one day, are large, its rows then do not move.
         """
         days = None if batch is None else self.touched_days(batch)
         silver = on_days(self.read("silver"), days).drop("batch", DAY)
-        gold = gold_items(silver, self.current_counts(days)).withColumn(
-            DAY, F.to_date("created_at"))
-        self._write_days("gold", gold)
+        counts = materialize(engaged(self.current_counts(days)), "engaged")
+        gold = gold_items(silver, counts).withColumn(DAY, F.to_date("created_at"))
+        self._write_days("gold", packed(gold), stay=counts.fits() and self._mean_size("silver") >= SMALL_FILE)
         self._write_days("summary", summarize(on_days(self.read("gold"), days), DAY))
         if batch is None:
             present = {f"{DAY}={row[0] or '__HIVE_DEFAULT_PARTITION__'}"
@@ -302,9 +323,16 @@ class FeedStore:
                 for name in self._days(part) - present:
                     remove(self.spark, f"{self.path(part)}/{name}")
 
-    def _write_days(self, part: str, rows: DataFrame) -> None:
-        (rows.select(*PARTS[part].names).hint("rebalance", DAY).write.mode("overwrite")
-         .partitionBy(DAY).option("partitionOverwriteMode", "dynamic").parquet(self.path(part)))
+    def _write_days(self, part: str, rows: DataFrame, stay: bool = False) -> None:
+        rows = rows.select(*PARTS[part].names)
+        (rows if stay else rows.hint("rebalance", DAY)).write.mode("overwrite").partitionBy(
+            DAY).options(**PACKED, partitionOverwriteMode="dynamic").parquet(self.path(part))
+
+    def _mean_size(self, part: str) -> float:
+        """Bytes of a part's files on average."""
+        files, where = hadoop_path(self.spark, self.path(part))
+        found = files.getContentSummary(where)
+        return found.getLength() / max(found.getFileCount(), 1)
 
     def _days(self, part: str) -> set[str]:
         """Names of a part's day folders."""

@@ -293,3 +293,23 @@ def test_newest_gold_reads_new_days_only(spark, feed, tmp_path):
     assert all("created_day" in s.partition("PartitionFilters: ")[2].partition("]")[0]
                for s in scans(first))
     assert store.newest_gold(40).filter("item_id = 'none'").count() == 1
+
+
+@pytest.mark.parametrize("small", [0, 1 << 40])
+def test_an_english_text_is_stored_once(spark, feed, tmp_path, monkeypatch, small):
+    """Whether Gold's rows are dealt anew or stay where Silver's files are, it says the same."""
+    from feedlens.sources import store as module
+    monkeypatch.setattr(module, "SMALL_FILE", small)
+    store = FeedStore(spark, str(tmp_path)).create()
+    store.upsert(feed(*[{"item_id": k, "created_at": DAY1, "reactions": 2} for k in "abc"]), 0, DAY1)
+    texts = {"a": ("same", "same"), "b": ("otro", "other"), "c": ("nada", None)}
+    store.write_silver(silver_rows(spark, *[
+        {"item_id": k, "created_at": DAY1, "original_text": own, "text_en": english}
+        for k, (own, english) in texts.items()]), 0)
+    store.write_gold(0)
+    expected = [(k, *texts[k]) for k in "abc"]
+    for rows, part in ((store.silver(), "silver"), (store.gold(), "gold")):
+        assert table(rows, "item_id", "original_text", "text_en") == expected
+        written = spark.read.parquet(store.path(part))
+        assert table(written.filter("text_en IS NOT NULL"), "item_id") == [("b",)]
+    assert table(store.gold(), "item_id", "engagement") == [("a", 2), ("b", 2), ("c", 2)]
