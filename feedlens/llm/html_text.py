@@ -6,8 +6,10 @@ are named by structure. What remains outside an article is decided by the host:
 of its pages are put one after another, a suffix array finds the long substrings that occur on
 distinct pages, and blocks that those cover are boilerplate, while unique runs stay.
 
+The streams hold the words of articles too, so what is quoted from them on other pages is found.
 Blocks inside an article are not put to that test: passages and whole texts that several articles
-share are main text, and covering alone would remove them.
+share are main text, and covering alone would remove them. A host whose blocks all stand in an
+article or in such a region has nothing that the test could decide, so its streams are not made.
 """
 
 from __future__ import annotations
@@ -219,27 +221,18 @@ def windows_of(stream: np.ndarray, least: int = MIN_WORDS) -> np.ndarray:
     return mix64(names)
 
 
-PARSED = ("main array<string>, places array<int>, stream array<long>, lengths array<int>, "
-          "undecided boolean")
+KINDS = ("article", "marked", "outside", "boilerplate")
+ARTICLE, GONE = KINDS.index("article"), KINDS.index("boilerplate")
+PARSED = "blocks array<string>, kinds array<tinyint>, undecided boolean"
 
 
 def _parse():
-    codes = WordCodes()
-
     def run(batch: pa.RecordBatch):
-        out: list[list] = [[] for _ in range(5)]
+        out: list[list] = [[] for _ in range(3)]
         for source in batch.column("html").to_pylist():
-            main, places, words, lengths = [], [], [], []
-            for text, kind in parse_page(source).blocks:
-                if kind != "boilerplate":
-                    main.append(text)
-                if kind != "article":
-                    own = text.encode("utf-8", "surrogatepass").lower().split()
-                    words += own
-                    lengths.append(len(own))
-                    places.append(-1 if kind == "boilerplate" else len(main) - 1)
-            row = (main, places, codes.of(words).astype(np.int64), lengths,
-                   any(p >= 0 for p in places))
+            blocks = parse_page(source).blocks
+            kinds = [KINDS.index(kind) for _, kind in blocks]
+            row = ([text for text, _ in blocks], kinds, not {*kinds} <= {ARTICLE, GONE})
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         return out
@@ -247,6 +240,18 @@ def _parse():
     return run
 
 
+def stream_of(blocks: list[str], codes: WordCodes) -> tuple[np.ndarray, list[int]]:
+    """Codes of all words of a page, those of articles too, and the number of each block."""
+    own = [text.encode("utf-8", "surrogatepass").lower().split() for text in blocks]
+    return codes.of([word for words in own for word in words]), [len(words) for words in own]
+
+
+def _streams():
+    codes = WordCodes()
+    return lambda batch: [[stream_of(blocks, codes)[0].astype(np.int64)
+                           for blocks in batch.column("blocks").to_pylist()]]
+
+
 def host_cover(table: pa.Table) -> pa.Table:
     """Covered words of each stream of one shard of a host, as a byte each."""
     streams = [np.array(s, np.int64).view(np.uint64) for s in table.column("stream").to_pylist()]
@@ -276,22 +281,25 @@ def _page_windows():
 
 def _remaining():
     """Texts of the blocks that stay."""
+    codes = WordCodes()
+
     def run(batch: pa.RecordBatch):
         out = []
-        columns = ("main", "places", "stream", "lengths", "covered", "elsewhere")
-        for main, places, stream, lengths, covered, elsewhere in zip(
+        columns = ("blocks", "kinds", "covered", "elsewhere")
+        for blocks, kinds, covered, elsewhere in zip(
                 *(batch.column(c).to_pylist() for c in columns), strict=True):
+            stream, lengths = stream_of(blocks, codes)
             mask = np.frombuffer(covered or bytes(len(stream)), np.uint8).astype(bool)
             if elsewhere:
-                found = windows_of(np.array(stream, np.int64).view(np.uint64)).astype(np.int64)
+                found = windows_of(stream).astype(np.int64)
                 for i in np.flatnonzero(np.isin(found, elsewhere)):
                     mask[i:i + MIN_WORDS] = True
-            gone, at = set(), 0
-            for place, length in zip(places, lengths, strict=True):
-                if place >= 0 and mask[at:at + length].mean() >= COVERED:
-                    gone.add(place)
+            kept, at = [], 0
+            for text, kind, length in zip(blocks, kinds, lengths, strict=True):
+                if kind == ARTICLE or kind != GONE and mask[at:at + length].mean() < COVERED:
+                    kept.append(text)
                 at += length
-            out.append("\n".join(t for i, t in enumerate(main) if i not in gone))
+            out.append("\n".join(kept))
         return [out]
 
     return run
@@ -302,9 +310,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Blocks follow each other in page order, joined by a line feed; white space inside a block is
     one space; character references are decoded. A null or empty page has an empty text. Blocks
-    outside an article, or marked by a class word within one, that are covered to half or more by substrings of six words which other
-    pages of the same host have too are left out; hosts come from ``url`` (null and odd ones
-    share a host named ''). A host's streams are dealt to shards of about 256 pages; the
+    outside an article, or marked by a class word within one, that are covered to half or more by
+    substrings of six words which other pages of the same host have too, in an article or not,
+    are left out; hosts come from ``url`` (null and odd ones
+    share a host named ''). All words of the pages of a host with such a block are dealt to shards of about 256 pages; the
     distinct runs of six words of every shard, those that it holds twice too, are compared between
     shards by name, so sharding changes no result.
     Rows that repeat are pages of their own. Other columns are not read.
@@ -314,23 +323,27 @@ def extract_text(pages: DataFrame) -> DataFrame:
                         F.monotonically_increasing_id().alias("row"))
     parsed = stored(map_batches(rows, _parse, PARSED, keep=("page_id", "url", "host", "row")),
                     "parsed")
-    streams = parsed.filter(F.size("stream") > 0).select("row", "host", "stream", "undecided")
     shards = F.ceil(F.count("*") / SHARD_PAGES).cast("int")
-    hosts = stored(streams.groupBy("host").agg(shards.alias("shards"),
-                                               F.max("undecided").alias("undecided")), "hosts")
-    dealt = (lookup_join(streams.drop("undecided"), hosts, ["host"], limit=LOOKUP_BYTES)
-             .withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards"))))
-    covered = stored(dealt.groupBy("host", "shard").applyInArrow(
-        host_cover, "row long, host string, covered binary"), "covered")
-    closed = parsed.filter(~F.col("undecided"))
-    texts = closed.select("page_id", "url", F.array_join("main", "\n").alias("text"))
-    if not hosts.filter("undecided").isEmpty():
-        several = hosts.filter("undecided AND shards > 1").select("host", "shards")
+    hosts = stored(parsed.groupBy("host").agg(shards.alias("shards"),
+                                              F.max("undecided").alias("undecided"))
+                   .filter("undecided").drop("undecided"), "hosts")
+    main = F.expr(f"transform(filter(arrays_zip(blocks, kinds), b -> b.kinds <> {GONE}), "
+                  "b -> b.blocks)")
+    texts = parsed.filter(~F.col("undecided")).select(
+        "page_id", "url", F.array_join(main, "\n").alias("text"))
+    if not hosts.isEmpty():
+        opened = (lookup_join(parsed.filter(F.size("blocks") > 0), hosts, ["host"],
+                              limit=LOOKUP_BYTES)
+                  .withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards"))))
+        dealt = map_batches(opened, _streams, "stream array<long>", keep=("row", "host", "shard"))
+        covered = stored(dealt.groupBy("host", "shard").applyInArrow(
+            host_cover, "row long, host string, covered binary"), "covered")
+        several = hosts.filter("shards > 1").select("host")
         names = stored(flat_batches(
-            dealt.drop("shards").join(several.select("host"), "host", "left_semi")
+            dealt.join(several, "host", "left_semi")
             .join(covered.drop("host"), "row"), _page_windows,
             "row long, name long, open boolean"), "windows")
-        placed = names.join(dealt.select("row", "host", "shard"), "row")
+        placed = names.join(opened.select("row", "host", "shard"), "row")
         repeated = stored(placed.groupBy("host", "name")
                           .agg(F.min("shard").alias("low"), F.max("shard").alias("high"))
                           .filter("low <> high").select("host", "name"), "repeated")

@@ -95,6 +95,20 @@ def test_runs_on_two_pages_of_one_shard_and_one_of_another(make_pages, monkeypat
     assert texts(ht.extract_text(make_pages(*pages))) == expected
 
 
+@pytest.mark.parametrize("pages_a_shard", [256, 2])
+def test_quotes_from_articles_of_other_pages_go(make_pages, monkeypatch, pages_a_shard):
+    """A list of what other pages' articles say repeats them; what no page says stays."""
+    monkeypatch.setattr(ht, "SHARD_PAGES", pages_a_shard)
+    said = [" ".join(f"own{i}x{k}" for k in range(12)) for i in range(8)]
+    pages = [(i, f"http://h.example/{i}", f"<article><p>{text}</p></article>")
+             for i, text in enumerate(said)]
+    teasers = "".join(f"<div>{text}</div>" for text in said)
+    pages.append((8, "http://h.example/", f"{teasers}<div>one line that no other page has</div>"))
+    pages.append((9, "http://other.example/", f"<div>{said[0]}</div>"))
+    assert texts(ht.extract_text(make_pages(*pages))) == {
+        **dict(enumerate(said)), 8: "one line that no other page has", 9: said[0]}
+
+
 def test_copies_of_an_article_stay(make_pages):
     page = "<nav>n</nav><article><p>" + "the same long text of all copies " * 5 + "</p></article>"
     got = texts(ht.extract_text(make_pages(*[(i, "http://h.example/", page) for i in range(9)])))
