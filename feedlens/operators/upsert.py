@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.times import instant
 from feedlens.schema import BRONZE_COLS, COUNT_COLS
-from feedlens.session import BROADCAST_BYTES, measured
+from feedlens.session import BROADCAST_BYTES, materialize, measured
 
 KEY = "item_id"
 
@@ -30,6 +30,22 @@ def dedup_batch(batch: DataFrame) -> DataFrame:
             .select(*[F.col(KEY) if c == KEY else F.col(f"_best.{c}") for c in batch.columns]))
 
 
+def dedup_stored(batch: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``dedup_batch`` of a stored batch: only rows of repeated keys move.
+
+    Keys are counted by themselves, and the repeated ones sent to all tasks; where these do not
+    fit, all rows are grouped.
+    """
+    repeated = materialize(batch.groupBy(KEY).count().filter("count > 1").select(KEY), "repeated")
+    if not repeated.bytes:
+        return batch
+    if not repeated.fits(limit):
+        return dedup_batch(batch)
+    keys = F.broadcast(repeated.table)
+    return batch.join(keys, KEY, "left_anti").unionByName(
+        dedup_batch(batch.join(keys, KEY, "left_semi")))
+
+
 def existing_keys(incoming: DataFrame, stored: DataFrame,
                   limit: int = BROADCAST_BYTES) -> DataFrame:
     """Those keys of ``stored`` that can matter to ``incoming``.

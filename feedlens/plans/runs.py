@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 
-from feedlens.operators.enrich import Enrichment, enrich
+from feedlens.operators.enrich import Enrichment, enriched
 from feedlens.operators.normalize import normalize
 from feedlens.schema import FeedConfig
 from feedlens.sources.files import read_drop
@@ -37,7 +37,9 @@ def run_bronze(store: FeedStore, incoming: DataFrame, batch: int, as_of: Moment)
 def run_silver(store: FeedStore, using: Enrichment, batch: int) -> None:
     """Enrich the batch's new items, and earlier ones that have no Silver row yet."""
     if batch not in store.batches("silver", committed=True):
-        store.write_silver(enrich(store.pending(batch), using), batch)
+        by_day = not store.without_silver(batch) or store.done(batch).fits()
+        rows, in_place = enriched(store.pending(batch), using)
+        store.write_silver(rows, batch, stay=by_day and in_place)
 
 
 def run_gold(store: FeedStore, batch: int | None = None) -> None:

@@ -33,17 +33,16 @@ from pyspark.sql import types as T
 
 from feedlens.functions.times import instant
 from feedlens.operators.gold import engaged, gold_items
-from feedlens.operators.upsert import KEY, dedup_batch, not_in
+from feedlens.operators.upsert import KEY, dedup_stored
 from feedlens.plans.metrics import newest
 from feedlens.plans.summary import SUMMARY_SCHEMA, summarize
 from feedlens.schema import BRONZE_COLS, BRONZE_SCHEMA, COUNT_COLS, GOLD_SCHEMA, SILVER_SCHEMA
-from feedlens.session import (hadoop_path, lookup_join, materialize, measured, remove,
-                              scratch_path)
+from feedlens.session import (PACKED, Measured, hadoop_path, lookup_join, materialize, measured,
+                              remove, scratch_path)
 
 DAY = "created_day"
 BUCKETS, FOLD_AFTER = 16, 16
-PACKED = {"compression": "zstd"}
-SMALL_FILE = 8 << 20
+SMALL_FILE, FEW_FILES = 8 << 20, 4
 SAME = "text_en_as_original"
 MARK = T.StructField(SAME, T.BooleanType())
 BATCH = T.StructField("batch", T.LongType())
@@ -157,12 +156,17 @@ class FeedStore:
         rows.write.mode("errorifexists").parquet(f"{self.path('runs')}/batch={batch}")
         return batch
 
-    def write_batch(self, part: str, rows: DataFrame, batch: int) -> None:
-        """Write a batch folder, unless an earlier attempt of its run has committed it."""
+    def write_batch(self, part: str, rows: DataFrame, batch: int, stay: bool = False) -> None:
+        """Write a batch folder, unless an earlier attempt of its run has committed it.
+
+        With ``stay`` rows are written by the tasks that have them.
+        """
         if batch not in self.batches(part, committed=True):
             inner = FOLDERS[part][1:]
+            if part == "items":  # in no folders, but a day's rows in few files
+                rows = rows.withColumn(DAY, F.to_date("created_at")).hint("rebalance", DAY)
             rows = rows.select(*[f.name for f in PARTS[part] if f.name != "batch"])
-            if inner:  # each folder's rows in few tasks, a large folder's in more than one
+            if inner and not stay:  # each folder's rows in few tasks, a large one's in several
                 rows = rows.hint("rebalance", *inner)
             rows.write.mode("overwrite").partitionBy(*inner).options(**PACKED).parquet(
                 f"{self.path(part)}/batch={batch}")
@@ -215,16 +219,17 @@ class FeedStore:
 
         New items are added with ``as_of`` as ingestion time; known ones only get their counts
         refreshed. Both readers give every item a key; a row without one cannot be merged. The
-        batch is written to the shared folder once, so that no task computes it twice. Keys are
+        batch is written to the shared folder once, so that no task computes it twice. Its texts
+        move once, to files by day, which Silver and Gold are then made of in place. Keys are
         committed before items: a run that fails between the two finds its own keys when it is
         called again, and no other run takes its items for new ones.
         """
         if batch not in self.batches("items", True):
-            rows = dedup_batch(incoming.select(*BRONZE_COLS)).filter(F.col(KEY).isNotNull())
+            rows = incoming.select(*BRONZE_COLS).filter(F.col(KEY).isNotNull())
             path = scratch_path(self.spark, "incoming")
             rows.select("*", self.bucket()).write.options(**PACKED).parquet(path)
             schema = T.StructType([*rows.schema, STATE["bucket"]])
-            rows = self.spark.read.schema(schema).parquet(path)
+            rows = dedup_stored(self.spark.read.schema(schema).parquet(path))
             self.write_batch("keys", self._merged(rows, batch), batch)
             own = self.read("keys").filter(F.col("batch") == batch)
             new = lookup_join(rows, own.filter(F.col("first") == batch).select(KEY), [KEY],
@@ -264,19 +269,27 @@ class FeedStore:
         """Every item up to ``batch`` without a Silver row of an earlier batch.
 
         Where all earlier batches have their Silver, these are the batch's own items, and nothing
-        is joined. Otherwise the items of the batches that lack it are held against Silver too.
+        is joined. Otherwise the items of the batches that lack it are held against Silver's keys too,
+        which are sent to them where they fit.
         """
         items, behind = self.items(), self.without_silver(batch)
         if not behind:
             return items.filter(F.col("batch") == batch).drop("batch")
-        done = self.read("silver").filter(F.col("batch") < batch)
-        return not_in(items.filter(F.col("batch").isin(batch, *behind)), done).drop("batch")
+        items = items.filter(F.col("batch").isin(batch, *behind))
+        return lookup_join(items, self.done(batch), [KEY], "left_anti").drop("batch")
+
+    def done(self, batch: int) -> Measured:
+        """Keys with a Silver row of an earlier batch."""
+        return measured(self.read("silver").filter(F.col("batch") < batch).select(KEY))
 
-    def write_silver(self, rows: DataFrame, batch: int) -> None:
-        """Write a batch's Silver; batches that it caught up with get an empty folder of theirs."""
+    def write_silver(self, rows: DataFrame, batch: int, stay: bool = False) -> None:
+        """Write a batch's Silver; batches that it caught up with get an empty folder of theirs.
+
+        With ``stay`` the rows stand as Bronze's files have them, by day already, and do not move.
+        """
         behind = self.without_silver(batch)
         rows = rows.withColumn(DAY, F.to_date("created_at"))
-        self.write_batch("silver", packed(rows), batch)
+        self.write_batch("silver", packed(rows), batch, stay)
         for earlier in sorted(behind):
             self.write_batch("silver", rows.sparkSession.createDataFrame([], PARTS["silver"]),
                              earlier)
@@ -308,13 +321,14 @@ class FeedStore:
         Days are replaced when the job commits, so a failed run leaves the old ones in place, and
         a day can always be rebuilt from Silver. A full rebuild also removes days without rows. A
         day with very many items is written by several tasks. Engagements that fit are sent to
-        the rows; where Silver's files, each of one day, are large, its rows then do not move.
+        the rows; where Silver's files, each of one day, are large or few a day, its rows then do
+        not move, and Gold has no more files than Silver.
         """
         days = None if batch is None else self.touched_days(batch)
         silver = on_days(self.read("silver"), days).drop("batch", DAY)
         counts = materialize(engaged(self.current_counts(days)), "engaged")
         gold = gold_items(silver, counts).withColumn(DAY, F.to_date("created_at"))
-        self._write_days("gold", packed(gold), stay=counts.fits() and self._mean_size("silver") >= SMALL_FILE)
+        self._write_days("gold", packed(gold), stay=counts.fits() and self._few_files("silver"))
         self._write_days("summary", summarize(on_days(self.read("gold"), days), DAY))
         if batch is None:
             present = {f"{DAY}={row[0] or '__HIVE_DEFAULT_PARTITION__'}"
@@ -328,11 +342,14 @@ class FeedStore:
         (rows if stay else rows.hint("rebalance", DAY)).write.mode("overwrite").partitionBy(
             DAY).options(**PACKED, partitionOverwriteMode="dynamic").parquet(self.path(part))
 
-    def _mean_size(self, part: str) -> float:
-        """Bytes of a part's files on average."""
+    def _few_files(self, part: str) -> bool:
+        """Whether the files of a part laid out by batch and day are large, or few a day."""
         files, where = hadoop_path(self.spark, self.path(part))
         found = files.getContentSummary(where)
-        return found.getLength() / max(found.getFileCount(), 1)
+        folders = files.globStatus(hadoop_path(self.spark, f"{self.path(part)}/batch=*/{DAY}=*")[1])
+        days = {status.getPath().getName() for status in folders or []}
+        return (found.getLength() >= SMALL_FILE * max(found.getFileCount(), 1)
+                or found.getFileCount() <= FEW_FILES * len(days))
 
     def _days(self, part: str) -> set[str]:
         """Names of a part's day folders."""

@@ -5,7 +5,8 @@ from conftest import at, table
 from pyspark.sql import functions as F
 
 from feedlens.operators.gold import gold_items
-from feedlens.operators.upsert import dedup_batch, existing_keys, merge_feed, not_in
+from feedlens.operators.upsert import (dedup_batch, dedup_stored, existing_keys, merge_feed,
+                                       not_in)
 from feedlens.schema import ENTITIES_TYPE, SILVER_SCHEMA
 from feedlens.sources.store import FeedStore
 
@@ -313,3 +314,43 @@ def test_an_english_text_is_stored_once(spark, feed, tmp_path, monkeypatch, smal
         written = spark.read.parquet(store.path(part))
         assert table(written.filter("text_en IS NOT NULL"), "item_id") == [("b",)]
     assert table(store.gold(), "item_id", "engagement") == [("a", 2), ("b", 2), ("c", 2)]
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 1])
+def test_a_stored_batch_moves_only_rows_of_repeated_keys(spark, feed, tmp_path, limit):
+    rows = [{"item_id": f"k{i}", "text": f"text {i}", "reactions": i % 3} for i in range(40)]
+    rows += [{"item_id": "k1", "text": text, "reactions": n} for text, n in (("b", 7), ("c", 7), ("d", 0))]
+    feed(*rows).write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    got = dedup_stored(batch, limit)
+    assert table(got) == table(dedup_batch(batch))
+    assert len(table(got)) == 40 and ("k1", "c") in table(got, "item_id", "text")
+    once = batch.filter("item_id <> 'k1'")
+    assert "Exchange" not in dedup_stored(once, limit)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_moves_its_texts_once(spark, feed, tmp_path, monkeypatch):
+    """Bronze deals a batch to files by day; Silver and Gold are written by the tasks that read it."""
+    moved, frame = [], type(spark.range(0))
+    real = frame.hint
+
+    def hint(self, name, *columns):
+        moved.append((name, columns, any("text" in c for c in self.columns)))
+        return real(self, name, *columns)
+
+    monkeypatch.setattr(frame, "hint", hint)
+    store = FeedStore(spark, str(tmp_path)).create()
+    days = [DAY1, DAY2, DAY1]
+    store.upsert(feed(*[{"item_id": k, "created_at": day, "reactions": 2}
+                        for k, day in zip("abc", days)]), 0, DAY1)
+    store.write_silver(silver_rows(spark, *[
+        {"item_id": k, "created_at": day, "original_text": "t", "text_en": "t"}
+        for k, day in zip("abc", days)]), 0, stay=True)
+    store.write_gold(0)
+    assert [columns for name, columns, texts in moved if texts] == [("created_day",)]
+    assert table(store.gold(), "item_id", "engagement") == [("a", 2), ("b", 2), ("c", 2)]
+    from feedlens.sources import store as module
+    monkeypatch.setattr(module, "FEW_FILES", 0)
+    store.write_gold(0)  # with many small files Gold's days are put together anew
+    assert [columns for name, columns, texts in moved if texts] == [("created_day",)] * 2
+    assert table(store.gold(), "item_id", "engagement") == [("a", 2), ("b", 2), ("c", 2)]
