@@ -27,17 +27,29 @@ def translate(items: DataFrame, memory: DataFrame | Measured, limit: int = BROAD
 
     ``memory`` has ``lang``, ``text_hash`` and ``text_en``; of several translations of one text the
     smallest counts, and rows in English are not used.
-    English items look up their own key, which is never found, so that copies of one English
+    Of a memory too large to be sent to the items, its keys are sent, where these fit, and only
+    items with a translation move. English items never look anything up, so copies of one English
     text do not meet in one task.
     """
-    keyed = items.withColumn(
-        "text_hash", F.when(is_english(), F.col("item_id")).otherwise(text_hash(F.col("text"))))
+    keyed = items.withColumn("text_hash", F.when(~is_english(), text_hash(F.col("text"))))
     memory = measured(memory)
-    known = (memory.table.filter(F.col("lang") != "en").groupBy(*MEMORY_KEY)
-             .agg(F.min("text_en").alias("_found")))
-    return (lookup_join(keyed, Measured(known, memory.bytes), MEMORY_KEY, "left", limit)
-            .withColumn("text_en", F.when(is_english(), F.col("text")).otherwise(F.col("_found")))
-            .drop("_found", "text_hash").select(*items.columns, "text_en"))
+    usable = memory.table.filter(F.col("lang") != "en")
+    known = usable.groupBy(*MEMORY_KEY).agg(F.min("text_en").alias("_found"))
+    asking, rest = keyed, []
+    if not memory.fits(limit):
+        own = F.when(is_english(), F.col("text"))
+        asking = keyed.filter(~is_english())
+        rest = [keyed.filter(is_english()).withColumn("_found", own)]
+        keys = measured(usable.select(*MEMORY_KEY).distinct())
+        if keys.fits(limit):
+            held = F.broadcast(keys.table)
+            rest.append(asking.join(held, MEMORY_KEY, "left_anti").withColumn("_found", own))
+            asking = asking.join(held, MEMORY_KEY, "left_semi")
+    found = lookup_join(asking, Measured(known, memory.bytes), MEMORY_KEY, "left", limit)
+    for rows in rest:
+        found = found.unionByName(rows)
+    return (found.withColumn("text_en", F.when(is_english(), F.col("text"))
+                             .otherwise(F.col("_found"))).select(*items.columns, "text_en"))
 
 
 def pending_translations(items: DataFrame, memory: DataFrame) -> DataFrame:

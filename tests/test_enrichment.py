@@ -169,6 +169,21 @@ def test_translation_memory(spark, limit):
         ("ca", "adeu", 2), ("ca", "hola", 1), (None, "none", 1)]
 
 
+def test_a_large_memory_moves_only_items_that_it_translates(spark):
+    """English items and those without a translation stay in their tasks."""
+    rows = items(spark, *[f"text {i}" for i in range(30)]).withColumn(
+        "lang", F.when(F.col("text") < "text 2", "en").when(F.col("text") < "text 28", "es"))
+    known = {"text 22": "long " * 200, "text 25": "longer " * 200}
+    memory = spark.createDataFrame([("es", *pair) for pair in known.items()],
+                                   "lang STRING, text STRING, text_en STRING").select(
+        "lang", text_hash(F.col("text")).alias("text_hash"), "text_en")
+    done = translate(rows, memory, 400)
+    assert table(done) == table(translate(rows, memory)) and done.count() == 30
+    assert dict(table(done.filter("lang = 'es' AND text_en IS NOT NULL"), "text", "text_en")) == known
+    text = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in text and "Join LeftSemi" in text and "Join LeftAnti" in text
+
+
 def test_reply_parsing(spark):
     replies = ['Sure: {"bucket": "content", "action": "Send slides"} ok',
                '{"bucket": "panic", "action": "Run"}', "no json", "{broken", None,
