@@ -7,9 +7,9 @@ of its pages are put one after another, a suffix array finds the long substrings
 distinct pages, and blocks that those cover are boilerplate, while unique runs stay.
 
 The streams hold the words of articles too, so what is quoted from them on other pages is found.
-Blocks inside an article are not put to that test: passages and whole texts that several articles
-share are main text, and covering alone would remove them. A host whose blocks all stand in an
-article or in such a region has nothing that the test could decide, so its streams are not made.
+Every page goes through the suffix array, but blocks inside an article are not put to that test:
+passages and whole texts that several articles share are main text, and covering alone would
+remove them.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import html
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -223,21 +224,7 @@ def windows_of(stream: np.ndarray, least: int = MIN_WORDS) -> np.ndarray:
 
 KINDS = ("article", "marked", "outside", "boilerplate")
 ARTICLE, GONE = KINDS.index("article"), KINDS.index("boilerplate")
-PARSED = "blocks array<string>, kinds array<tinyint>, undecided boolean"
-
-
-def _parse():
-    def run(batch: pa.RecordBatch):
-        out: list[list] = [[] for _ in range(3)]
-        for source in batch.column("html").to_pylist():
-            blocks = parse_page(source).blocks
-            kinds = [KINDS.index(kind) for _, kind in blocks]
-            row = ([text for text, _ in blocks], kinds, not {*kinds} <= {ARTICLE, GONE})
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
-        return out
-
-    return run
+PARSED = "blocks array<string>, kinds array<tinyint>, undecided boolean, shard long, covered binary"
 
 
 def stream_of(blocks: list[str], codes: WordCodes) -> tuple[np.ndarray, list[int]]:
@@ -246,28 +233,43 @@ def stream_of(blocks: list[str], codes: WordCodes) -> tuple[np.ndarray, list[int
     return codes.of([word for words in own for word in words]), [len(words) for words in own]
 
 
-def _streams():
+def _parse(size: int):
+    """Blocks of each page, and the words covered within its shard, a byte each: up to ``size``
+    pages of one host that stand together. A shard is named by the number of its first row."""
     codes = WordCodes()
-    return lambda batch: [[stream_of(blocks, codes)[0].astype(np.int64)
-                           for blocks in batch.column("blocks").to_pylist()]]
 
+    def run(batch: pa.RecordBatch):
+        blocks, kinds, streams, shards, masks = ([None] * batch.num_rows for _ in range(5))
+        hosts: dict[str, list[int]] = {}
+        for i, (source, host) in enumerate(zip(batch.column("html").to_pylist(),
+                                               batch.column("host").to_pylist(), strict=True)):
+            found = parse_page(source).blocks
+            blocks[i] = [text for text, _ in found]
+            kinds[i] = [KINDS.index(kind) for _, kind in found]
+            streams[i] = stream_of(blocks[i], codes)[0]
+            hosts.setdefault(host, []).append(i)
+        numbers = batch.column("row").to_pylist()
+        for pages in hosts.values():
+            for at in range(0, len(pages), size):
+                shard = pages[at:at + size]
+                covered = repeated_cover([streams[i] for i in shard], shard)
+                for i, mask in zip(shard, covered, strict=True):
+                    shards[i], masks[i] = numbers[shard[0]], mask.astype(np.uint8).tobytes()
+        undecided = [not {*own} <= {ARTICLE, GONE} for own in kinds]
+        return [blocks, kinds, undecided, shards, masks]
 
-def host_cover(table: pa.Table) -> pa.Table:
-    """Covered words of each stream of one shard of a host, as a byte each."""
-    streams = [np.array(s, np.int64).view(np.uint64) for s in table.column("stream").to_pylist()]
-    covered = repeated_cover(streams, list(range(len(streams))))
-    return pa.table({"row": table.column("row"), "host": table.column("host"),
-                     "covered": pa.array([c.astype(np.uint8).tobytes() for c in covered],
-                                         pa.binary())})
+    return run
 
 
 def _page_windows():
     """Windows of all pages, each once a page, and whether their shard has covered them."""
+    codes = WordCodes()
+
     def run(batch: pa.RecordBatch):
         rows, names, opened = [], [], []
-        for row, stream, covered in zip(*(batch.column(c).to_pylist()
-                                          for c in ("row", "stream", "covered")), strict=True):
-            found = windows_of(np.array(stream, np.int64).view(np.uint64))
+        for row, blocks, covered in zip(*(batch.column(c).to_pylist()
+                                          for c in ("row", "blocks", "covered")), strict=True):
+            found = windows_of(stream_of(blocks, codes)[0])
             mask = np.frombuffer(covered, np.uint8)
             free = [not mask[i:i + MIN_WORDS].all() for i in range(len(found))]
             seen = dict(sorted(zip(found.astype(np.int64).tolist(), free)))  # open, if anywhere
@@ -289,7 +291,7 @@ def _remaining():
         for blocks, kinds, covered, elsewhere in zip(
                 *(batch.column(c).to_pylist() for c in columns), strict=True):
             stream, lengths = stream_of(blocks, codes)
-            mask = np.frombuffer(covered or bytes(len(stream)), np.uint8).astype(bool)
+            mask = np.frombuffer(covered, np.uint8).astype(bool)
             if elsewhere:
                 found = windows_of(stream).astype(np.int64)
                 for i in np.flatnonzero(np.isin(found, elsewhere)):
@@ -313,49 +315,37 @@ def extract_text(pages: DataFrame) -> DataFrame:
     outside an article, or marked by a class word within one, that are covered to half or more by
     substrings of six words which other pages of the same host have too, in an article or not,
     are left out; hosts come from ``url`` (null and odd ones
-    share a host named ''). All words of the pages of a host with such a block are dealt to shards of about 256 pages; the
-    distinct runs of six words of every shard, those that it holds twice too, are compared between
+    share a host named ''). Every page goes through the suffix array of its shard, up to
+    256 pages of one host that stand together in the table; the distinct runs of six words of every
+    shard of a host with a block to decide, those that it holds twice too, are compared between
     shards by name, so sharding changes no result.
     Rows that repeat are pages of their own. Other columns are not read.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"),
                         F.monotonically_increasing_id().alias("row"))
-    parsed = stored(map_batches(rows, _parse, PARSED, keep=("page_id", "url", "host", "row")),
-                    "parsed")
-    shards = F.ceil(F.count("*") / SHARD_PAGES).cast("int")
-    hosts = stored(parsed.groupBy("host").agg(shards.alias("shards"),
-                                              F.max("undecided").alias("undecided"))
-                   .filter("undecided").drop("undecided"), "hosts")
-    main = F.expr(f"transform(filter(arrays_zip(blocks, kinds), b -> b.kinds <> {GONE}), "
-                  "b -> b.blocks)")
-    texts = parsed.filter(~F.col("undecided")).select(
-        "page_id", "url", F.array_join(main, "\n").alias("text"))
-    if not hosts.isEmpty():
-        opened = (lookup_join(parsed.filter(F.size("blocks") > 0), hosts, ["host"],
-                              limit=LOOKUP_BYTES)
-                  .withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards"))))
-        dealt = map_batches(opened, _streams, "stream array<long>", keep=("row", "host", "shard"))
-        covered = stored(dealt.groupBy("host", "shard").applyInArrow(
-            host_cover, "row long, host string, covered binary"), "covered")
-        several = hosts.filter("shards > 1").select("host")
-        names = stored(flat_batches(
-            dealt.join(several, "host", "left_semi")
-            .join(covered.drop("host"), "row"), _page_windows,
-            "row long, name long, open boolean"), "windows")
+    parsed = stored(map_batches(rows, partial(_parse, SHARD_PAGES), PARSED,
+                                keep=("page_id", "url", "host", "row")), "parsed")
+    wanted = parsed.filter("undecided")
+    hosts = stored(wanted.select("host").distinct(), "hosts")
+    elsewhere = F.lit(None).cast("array<long>")
+    if hosts.isEmpty():
+        met = parsed.withColumn("elsewhere", elsewhere)
+    else:
+        opened = lookup_join(parsed.drop("page_id", "url", "kinds"), hosts, ["host"], "left_semi",
+                             limit=LOOKUP_BYTES)
+        names = stored(flat_batches(opened, _page_windows, "row long, name long, open boolean"),
+                       "windows")
         placed = names.join(opened.select("row", "host", "shard"), "row")
         repeated = stored(placed.groupBy("host", "name")
                           .agg(F.min("shard").alias("low"), F.max("shard").alias("high"))
                           .filter("low <> high").select("host", "name"), "repeated")
-        wanted = parsed.filter("undecided").select("row")
-        elsewhere = (placed.filter("open").join(wanted, "row", "left_semi")
-                     .join(repeated, ["host", "name"])
-                     .groupBy("row").agg(F.collect_set("name").alias("elsewhere")))
-        decided = map_batches(parsed.filter("undecided")
-                              .join(covered.drop("host"), "row", "left")
-                              .join(elsewhere, "row", "left"), _remaining, "text string",
-                              keep=("page_id", "url"))
-        texts = texts.unionByName(decided)
+        found = (placed.filter("open").join(wanted.select("row"), "row", "left_semi")
+                 .join(repeated, ["host", "name"])
+                 .groupBy("row").agg(F.collect_set("name").alias("elsewhere")))
+        met = (wanted.join(found, "row", "left")
+               .unionByName(parsed.filter(~F.col("undecided")).withColumn("elsewhere", elsewhere)))
+    texts = map_batches(met, _remaining, "text string", keep=("page_id", "url"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
