@@ -27,7 +27,7 @@ from feedlens.plans import metrics
 from feedlens.plans.runs import (incoming_from_folder, incoming_from_payloads, run_all,
                                  run_bronze)
 from feedlens.schema import (COUNT_COLS, LOCAL_ZONE, TOPICS, FeedConfig)
-from feedlens.session import materialize, scratch_path
+from feedlens.session import hadoop_path, materialize, scratch_path
 from feedlens.sources.files import preview_json, read_drop, read_json, write_json
 from feedlens.sources.payloads import (COMMENTS_PAYLOAD, METADATA_PAYLOAD, POSTS_PAYLOAD,
                                        flatten_comments, flatten_metadata, flatten_posts,
@@ -353,6 +353,16 @@ def arriving_files(spark, sf_dir, least: int) -> int:
     return max(least, -(-sum(sizes) // (64 << 20)))
 
 
+def arrive(rows: DataFrame, folder: str, files: int) -> int:
+    """Write rows as JSON lines to ``files`` files or more, by the tasks that have them, next to
+    what is there; returns how many files came."""
+    where, found = hadoop_path(rows.sparkSession, f"{folder}/*.json")
+    before = len(where.globStatus(found) or [])
+    most = max(1, -(-rows.count() // files))
+    rows.write.mode("append").option("maxRecordsPerFile", most).json(folder)
+    return len(where.globStatus(found)) - before
+
+
 @query
 def stream_upsert(spark, sf_dir):
     """The feed as arriving files, half of them per micro-batch, merged into the stored Bronze
@@ -390,10 +400,9 @@ def stream_all_layers(spark, sf_dir):
     store, using = FeedStore(spark, f"{base}/store"), fx.enrichment(spark, sf_dir)
     files = max(2, -(-arriving_files(spark, sf_dir, 2) // 2))
     for part, enrichment in ((0, None), (1, using)):
-        rows.filter(F.col("part") == part).drop("part").repartition(files, "item_id") \
-            .write.mode("append").json(f"{base}/drop")
+        came = arrive(rows.filter(F.col("part") == part).drop("part"), f"{base}/drop", files)
         run_stream(store, f"{base}/drop", CONFIG, fx.AS_OF, f"{base}/progress", enrichment,
-                   files_per_batch=-(-files // 2)).awaitTermination()
+                   files_per_batch=max(1, -(-came // 2))).awaitTermination()
     return store.gold()
 
 

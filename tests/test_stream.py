@@ -129,6 +129,16 @@ def test_items_of_a_bronze_only_stream_are_enriched_later(spark, tmp_path):
     assert not store.without_silver(9)
 
 
+def test_files_arrive_without_moving_rows(spark, tmp_path):
+    from checks import queries
+    rows = spark.range(100).selectExpr("id", "concat('text ', id) AS text").coalesce(1)
+    folder = str(tmp_path / "drop")
+    assert queries.arrive(rows, folder, 4) == 4
+    assert queries.arrive(rows.limit(0), folder, 4) <= 1
+    assert queries.arrive(rows, folder, 3) == 3
+    assert spark.read.json(folder).count() == 200
+
+
 def test_files_that_arrive_grow_in_number_not_in_size(spark, tmp_path):
     from checks.queries import arriving_files
     for name, key in (("documents", "doc_id"), ("conversations", "conv_id")):
